@@ -12,7 +12,6 @@ class Folder:
 
     def __init__(self, spark: SparkSession, path: str):
         self._jvm = spark._jvm
-        self._spark = spark
         self.path = path.rstrip("/")
         self._fs = self._at().getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -51,5 +50,8 @@ class Folder:
             raise OSError(f"could not write {self.path}/{child}")
 
     def read_json(self, child: str):
-        rows = self._spark.read.text(f"{self.path}/{child}", wholetext=True).collect()
-        return json.loads(rows[0][0])
+        stream = self._fs.open(self._at(child))
+        try:
+            return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
