@@ -385,8 +385,9 @@ def _fct_incremental(spark, d):
     r = Retail(spark, d)
     path = scratch(spark, "fct_orders")
     early = r.int_orders_enriched.filter(F.col("order_date") < F.lit(CUT))
-    retail.load_fct_orders(early, r.dim_customers, path, loaded_at=LOADED_AT)
-    return retail.load_fct_orders(r.int_orders_enriched, r.dim_customers, path, loaded_at=LOADED_AT)
+    options = {"period": "month", "loaded_at": LOADED_AT}
+    retail.load_fct_orders(early, r.dim_customers, path, **options)
+    return retail.load_fct_orders(r.int_orders_enriched, r.dim_customers, path, **options)
 
 
 # --- history -----------------------------------------------------------------------------------------

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions import mapping, metrics, parsing, text
 from orderloom.functions.metrics import AsOf
-from orderloom.operators.incremental import newer_than
+from orderloom.operators.incremental import high_water_mark, newer_than
 from orderloom.operators.lookup import left_lookup
 from orderloom.operators.staging import Staging
-from orderloom.sources.tables import newest_partition, snapshot_table, upsert_table, with_loaded_at
+from orderloom.sources.tables import newest_partition, read_table, snapshot_table, upsert_table, with_loaded_at
 
 PRICE = "decimal(14,4)"
 SHARE = "decimal(9,6)"
+PERIOD = "order_period"
+PERIOD_FORMATS = {"day": "yyyy-MM-dd", "month": "yyyy-MM", "year": "yyyy"}
 HISTORY_CHECK = ("tier", "country_code", "is_marketing_opted_in")
 
 
@@ -154,29 +156,40 @@ def fct_orders(enriched: DataFrame, customers: DataFrame, loaded_at: dt.datetime
 
 
 # --- loads ----------------------------------------------------------------------------------------
+def loaded_until(spark: SparkSession, path: str) -> dt.date | None:
+    """Latest order date in the stored fact, null before the first load. Only the newest period is
+    read, and that one is found by folder name."""
+    newest = newest_partition(spark, path, PERIOD)
+    if newest is None:
+        return None
+    stored = read_table(spark, path).filter(F.col(PERIOD).cast("string") == newest)
+    return high_water_mark(stored, "order_date")
+
+
 def load_fct_orders(
     enriched: DataFrame,
     customers: DataFrame,
     path: str,
     *,
+    period: str = "day",
     full_refresh: bool = False,
     inclusive: bool = False,
     lookback_days: int = 0,
     loaded_at: dt.datetime | None = None,
 ) -> DataFrame:
-    """Incremental load of the order fact, stored by order date.
+    """Incremental load of the order fact, stored in one partition per ``period`` of order dates:
+    days for volumes of gigabytes a day, months or years below that.
 
-    The mark comes from the names of the date folders, so no stored row is read for it. Of several
-    rows with one order id in a batch the latest order date wins, then the larger of the remaining
-    values in column order.
+    Of several rows with one order id in a batch the latest order date wins, then the larger of the
+    remaining values in column order.
     """
-    mark = None if full_refresh else newest_partition(enriched.sparkSession, path, "order_date")
-    if mark is not None:
-        mark = dt.date.fromisoformat(mark)
+    mark = None if full_refresh else loaded_until(enriched.sparkSession, path)
     new = newer_than(enriched, "order_date", mark, inclusive=inclusive, lookback_days=lookback_days)
     facts = fct_orders(new, customers, loaded_at)
+    facts = facts.withColumn(PERIOD, F.date_format("order_date", PERIOD_FORMATS[period]))
     order = [F.col("order_date").desc(), *[F.col(c).desc() for c in enriched.columns if c != "order_date"]]
-    return upsert_table(facts, path, ["order_id"], ["order_date"], order_by=order, full_refresh=full_refresh)
+    stored = upsert_table(facts, path, ["order_id"], [PERIOD], order_by=order, full_refresh=full_refresh)
+    return stored.drop(PERIOD)
 
 
 def snapshot_customers(customers: DataFrame, path: str, now: dt.datetime) -> DataFrame:

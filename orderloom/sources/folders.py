@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 
 class Folder:
-    """Existence, listing, delete and rename through Hadoop's file system client."""
+    """Existence, size, listing, delete and rename through Hadoop's file system client."""
 
     def __init__(self, spark: SparkSession, path: str):
         self._jvm = spark._jvm
@@ -21,6 +21,10 @@ class Folder:
     def exists(self, child: str = "") -> bool:
         return self._fs.exists(self._at(child))
 
+    def size(self) -> int:
+        """Bytes of all files below, or of the file itself."""
+        return self._fs.getContentSummary(self._at()).getLength()
+
     def folders(self, child: str = "") -> list[str]:
         """Names of visible sub-folders."""
         if not self.exists(child):

@@ -3,22 +3,47 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from orderloom.sources.folders import Folder
+
+# An input is dealt out to all cores between these sizes: below, a scan is over before a shuffle would
+# have started; above, it has several splits anyway (128 MB is Spark's split size).
+WORTH_SPREADING = 1 << 20
+ONE_SPLIT = 128 << 20
+
 
 def read_raw(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """CSV with a header row. Columns are named by ``schema`` and checked against the header, so a
-    reordered file fails instead of filling the wrong columns. Empty fields are null."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
+    """CSV with a header row, columns taken by name and cast to ``schema``. Empty fields are null.
+
+    The header of the first file sets the order; every other file is checked against it, so a file
+    with moved columns fails instead of filling the wrong ones.
+    """
+    named = (
+        spark.read.option("header", True)
         .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("escape", '"')
         .csv(path)
     )
+    return named.select(*[F.col(f.name).cast(f.dataType) for f in schema])
 
 
 def source(spark: SparkSession, name: str, root: str | None = None) -> DataFrame:
     """A declared input: Parquet under ``root``, or the catalog table ``name``."""
-    return spark.table(name) if root is None else spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+    if root is None:
+        return spark.table(name)
+    path = f"{root.rstrip('/')}/{name}.parquet"
+    return spread(spark.read.parquet(path), path)
+
+
+def spread(df: DataFrame, path: str) -> DataFrame:
+    """Use all cores on an input that would be one task.
+
+    Row-heavy work on a single small file runs on one core, however many there are. Inputs of at most
+    one split are dealt out to all cores; that bounds the shuffle. Larger inputs stay as they are.
+    """
+    size = Folder(df.sparkSession, path).size()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if WORTH_SPREADING <= size <= ONE_SPLIT else df

@@ -39,7 +39,7 @@ O2C_RAW = {
     ),
     "raw_invoices": _text(
         "invoice_id order_id customer_id invoice_date due_date invoice_amount tax_amount total_amount "
-        "payment_terms payment_status days_overdue notes"
+        "payment_status payment_terms days_overdue notes"
     ),
     "raw_payments": _text(
         "payment_id invoice_id customer_id payment_date amount payment_method reference_number bank_ref notes"
