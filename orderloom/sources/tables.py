@@ -79,13 +79,28 @@ def write_table(
     return spark.read.schema(df.schema).parquet(target)
 
 
-def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """Newest complete version. ``schema`` fixes types that partition folders only suggest."""
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """Newest complete version. ``schema`` fixes types that partition folders only suggest.
+
+    Reading changes nothing: where a writer was lost between deciding on a swap and finishing it, the
+    partitions still waiting beside the table are read in place of the old ones.
+    """
     version = current_version(spark, path)
     if version is None:
         raise FileNotFoundError(f"no complete version under {path}")
-    finish_replacing(spark, version)
-    return (spark.read if schema is None else spark.read.schema(schema)).parquet(version)
+    table, staged = Folder(spark, version), Folder(spark, f"{version}/{STAGED}")
+    plain = (spark.read if schema is None else spark.read.schema(schema)).parquet(version)
+    if not staged.exists("_ready"):
+        return plain
+    plan = staged.read_json("_ready")
+    waiting = _leaves(staged, plan["depth"])
+    kept = [p for p in _leaves(table, plan["depth"]) if p not in {*waiting, *plan["emptied"]}]
+    parts = [
+        spark.read.schema(plain.schema).option("basePath", at.path).parquet(*[f"{at.path}/{p}" for p in names])
+        for at, names in ((table, kept), (staged, waiting))
+        if names
+    ]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]) if parts else plain.filter("false")
 
 
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
