@@ -105,7 +105,9 @@ class O2C:
 
     @cached_property
     def fct_order_lines(self) -> DataFrame:
-        return o2c.fct_order_lines(self.int_order_lines_enriched, self.dim_customers, self.dim_products)
+        return o2c.build_fct_order_lines(
+            self.stg_order_lines, self.stg_sales_orders, self.stg_shipments, self.dim_customers, self.dim_products
+        )
 
     @cached_property
     def fct_invoices(self) -> DataFrame:

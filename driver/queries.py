@@ -92,6 +92,13 @@ def _unflagged(spark, d):
     )
 
 
+@register("o2c_fct_order_lines_composed", oracle.flat("o2c_fct_order_lines", schemas.O2C["fct_order_lines"]))
+def _composed(spark, d):
+    """The fact on top of the enriched lines, as two datasets."""
+    c = O2C(spark, d)
+    return o2c.fct_order_lines(c.int_order_lines_enriched, c.dim_customers, c.dim_products)
+
+
 # --- flagship: revenue and delivery by region ------------------------------------------------------
 @register(
     "region_performance",

@@ -61,7 +61,6 @@ def matches(column: str, regex: str) -> Check:
 
 
 ROW_KINDS = ("not_null", "accepted", "between", "matches")
-REPORT = "check string, column string, failures bigint, passed boolean"
 
 
 def row_fails(check: Check) -> Column:
@@ -105,35 +104,72 @@ def run_checks(
 ) -> DataFrame:
     """One report row per check: ``check, column, failures, passed``.
 
-    All row-level checks of the table share one aggregate over one scan. ``unique`` counts repeated
-    keys. ``relationships`` first reduces the child to its distinct keys with their row counts
-    (summed up in the map tasks, so a hot key is one row per task) and only then looks for parents.
+    ``df`` is evaluated twice at most, however many checks there are: once for all row-level checks
+    (one aggregate), once for all checks that compare keys.
     """
+    indexed = list(enumerate(checks))
+    by_row = [(i, c) for i, c in indexed if c.kind in ROW_KINDS]
+    by_key = [(i, c) for i, c in indexed if c.kind not in ROW_KINDS]
     reports = []
-    by_row = [c for c in checks if c.kind in ROW_KINDS]
     if by_row:
-        counts = df.agg(*[F.count_if(row_fails(c)).alias(f"n{i}") for i, c in enumerate(by_row)])
-        entries = [
-            F.struct(F.lit(c.name).alias("check"), F.lit(c.column).alias("column"), F.col(f"n{i}").alias("failures"))
-            for i, c in enumerate(by_row)
-        ]
-        reports.append(counts.select(F.inline(F.array(*entries))))
-    for check in checks:
-        if check.kind == "unique":
-            found = failing(df, check).agg(F.count("*").alias("failures"))
-        elif check.kind == "relationships":
-            scoped = df if check.scope is None else df.filter(check.scope)
-            keys = scoped.groupBy(check.column).agg(F.count("*").alias("_rows"))
-            parent, parent_column = check.args
-            lost = orphans(keys, check.column, parents[parent], parent_column)
-            found = lost.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("failures"))
-        else:
-            continue
-        reports.append(found.select(F.lit(check.name).alias("check"), F.lit(check.column).alias("column"), "failures"))
-    report = reports[0]
-    for other in reports[1:]:
-        report = report.unionByName(other)
-    return report.withColumn("passed", F.col("failures") == 0)
+        counts = df.agg(*[F.count_if(row_fails(c)).alias(f"n{i}") for i, c in by_row])
+        pairs = [F.struct(F.lit(i).alias("_check"), F.col(f"n{i}").alias("failures")) for i, _ in by_row]
+        reports.append(counts.select(F.inline(F.array(*pairs))))
+    if by_key:
+        reports.append(_key_failures(df, by_key, parents or {}))
+    found = reports[0] if len(reports) == 1 else reports[0].unionByName(reports[1])
+    names = F.array(*[F.lit(c.name) for c in checks])
+    columns = F.array(*[F.lit(c.column) for c in checks])
+    return found.select(
+        names[F.col("_check")].alias("check"),
+        columns[F.col("_check")].alias("column"),
+        "failures",
+        (F.col("failures") == 0).alias("passed"),
+    )
+
+
+def _key_failures(df: DataFrame, checks: Sequence[tuple[int, Check]], parents: dict[str, DataFrame]) -> DataFrame:
+    """``(_check, failures)`` for ``unique`` and ``relationships`` together.
+
+    Every row gives one (check, key) pair per check; pairs are counted in the tasks before they are
+    shuffled, so a hot key is one pair per task. Counts above one are repeated keys, pairs that meet
+    no parent key are orphans. A check without pairs fails nowhere.
+    """
+    pairs = [
+        F.struct(
+            F.lit(i).alias("_check"),
+            (F.col(c.column) if c.scope is None else F.when(F.expr(c.scope), F.col(c.column)))
+            .cast("string")
+            .alias("_key"),
+        )
+        for i, c in checks
+    ]
+    keys = df.select(F.inline(F.array(*pairs))).filter(F.col("_key").isNotNull())
+    counted = keys.groupBy("_check", "_key").agg(F.count("*").alias("_rows"))
+    known = None
+    for i, c in checks:
+        if c.kind == "relationships":
+            parent, column = c.args
+            side = parents[parent].select(
+                F.lit(i).alias("_check"), F.col(column).cast(df.schema[c.column].dataType).cast("string").alias("_key")
+            )
+            known = side if known is None else known.unionByName(side)
+    if known is None:
+        found = counted.withColumn("_found", F.lit(False))
+    else:
+        known = known.filter(F.col("_key").isNotNull()).groupBy("_check", "_key").agg(F.lit(True).alias("_found"))
+        found = counted.join(known, ["_check", "_key"], "left")
+    uniques = [i for i, c in checks if c.kind == "unique"]
+    is_unique = F.col("_check").isin(uniques) if uniques else F.lit(False)
+    repeated = F.when(F.col("_rows") > 1, 1).otherwise(0)
+    lost = F.when(F.col("_found").isNull(), F.col("_rows")).otherwise(0)
+    per_check = found.groupBy("_check").agg(
+        F.sum(F.when(is_unique, repeated).otherwise(lost)).cast("bigint").alias("failures")
+    )
+    every = df.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(i) for i, _ in checks])).alias("_check"), F.lit(0).cast("bigint").alias("failures")
+    )
+    return per_check.unionByName(every).groupBy("_check").agg(F.sum("failures").alias("failures"))
 
 
 def store_failures(

@@ -30,12 +30,15 @@ def read_raw(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return named.select(*[F.col(f.name).cast(f.dataType) for f in schema])
 
 
-def source(spark: SparkSession, name: str, root: str | None = None) -> DataFrame:
-    """A declared input: Parquet under ``root``, or the catalog table ``name``."""
+def source(
+    spark: SparkSession, name: str, root: str | None = None, schema: StructType | str | None = None
+) -> DataFrame:
+    """A declared input: Parquet under ``root``, or the catalog table ``name``. With a declared
+    ``schema`` no file is opened to find it out."""
     if root is None:
         return spark.table(name)
     path = f"{root.rstrip('/')}/{name}.parquet"
-    return spread(spark.read.parquet(path), path)
+    return spread((spark.read if schema is None else spark.read.schema(schema)).parquet(path), path)
 
 
 def spread(df: DataFrame, path: str) -> DataFrame:
