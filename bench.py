@@ -1,8 +1,8 @@
 """Headline queries, timed one after the other; prints one JSON line.
 
 ``BENCH_SF_DIR`` names the data folder, ``BENCH_CPUS`` the local cores, ``BENCH_QUERIES`` (optional)
-a comma-separated subset. Every query computes all rows and columns (``noop`` sink), after one
-untimed pass that warms up the JVM.
+a comma-separated subset. Every query computes all rows and columns (``noop`` sink): after one
+untimed pass that warms up the JVM, the better of two timed passes counts.
 """
 
 from __future__ import annotations
@@ -54,7 +54,8 @@ def main() -> None:
 
     for name in names:
         run(name)
-    seconds = {name: round(run(name), 3) for name in names}
+    passes = [{name: run(name) for name in names} for _ in range(2)]
+    seconds = {name: round(min(p[name] for p in passes), 3) for name in names}
     scale = re.search(r"sf([0-9.]+)", sf_dir)
     print(
         json.dumps(

@@ -19,6 +19,11 @@ SCALE_DEFAULTS = {
 }
 
 
+# Only settable when a session starts. One query of the marts compiles dozens of generated classes;
+# with the usual 100 entries a few queries in turn evict each other's and recompile them every time.
+START_DEFAULTS = {"spark.sql.codegen.cache.maxEntries": "2000"}
+
+
 def apply_scale_defaults(spark: SparkSession) -> SparkSession:
     """Set ``SCALE_DEFAULTS`` where the session says nothing; explicit settings win."""
     chosen = spark.conf.getAll
@@ -37,7 +42,7 @@ def local_session(name: str = "orderloom", cores: str | int = "*", **conf: str)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
     )
-    for key, value in {**SCALE_DEFAULTS, **conf}.items():
+    for key, value in {**SCALE_DEFAULTS, **START_DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
