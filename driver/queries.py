@@ -22,7 +22,7 @@ from orderloom.operators.incremental import incremental_filter
 from orderloom.operators.lookup import as_of_join, left_lookup, orphans
 from orderloom.operators.rollup import first_orders, order_rollup, payment_totals
 from orderloom.operators.upsert import upsert
-from orderloom.plans import checks, o2c, receivables, retail
+from orderloom.plans import build, checks, o2c, receivables, retail
 from orderloom.session import apply_scale_defaults, work_dir
 from orderloom.sources import schemas
 from orderloom.sources.readers import read_raw
@@ -545,6 +545,39 @@ def _stored(spark, d):
     return report
 
 
+def _build_sql(prefix: str, suites: dict[str, list[quality.Check]]) -> str:
+    rows = []
+    for dataset, suite in suites.items():
+        parents = {c.args[0]: f"{prefix}_{c.args[0]}" for c in suite if c.kind == "relationships"}
+        for check in suite:
+            rows.append(f"SELECT '{dataset}' AS dataset, * FROM ({oracle.check_rows(f'{prefix}_{dataset}', check, parents)})")
+    return "\nUNION ALL\n".join(rows)
+
+
+@register("build_o2c", oracle.with_models(_build_sql("o2c", checks.O2C)))
+def _build_o2c(spark, d):
+    """All marts stored, then the report of all checks."""
+    c = O2C(spark, d)
+    return build.build_o2c({name: c.raw(name) for name in inputs.O2C}, scratch(spark, "o2c"), AS_OF)
+
+
+# the stored fact holds each order once
+_ONE_PER_ORDER = """SELECT * EXCLUDE (place) FROM (
+    SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY order_date DESC, customer_id DESC, product_id DESC,
+        status DESC, quantity DESC NULLS LAST, unit_price DESC NULLS LAST, discount_pct DESC) AS place
+    FROM (_FCT_) AS loaded) AS ranked WHERE place = 1"""
+_STORED_MODELS = oracle.MODELS | {
+    "retail_fct_orders": _ONE_PER_ORDER.replace("_FCT_", oracle.MODELS["retail_fct_orders"])
+}
+
+
+@register("build_retail", oracle.with_models(_build_sql("retail", checks.RETAIL), _STORED_MODELS))
+def _build_retail(spark, d):
+    r = Retail(spark, d)
+    raw = {name: r.raw(name) for name in inputs.RETAIL}
+    return build.build_retail(raw, scratch(spark, "retail"), LOADED_AT, AS_OF, period="month")
+
+
 # --- reports --------------------------------------------------------------------------------------------
 @register(
     "aging_summary",

@@ -94,7 +94,8 @@ def as_of_join(
     overlap. The plain form is an equi join on the key with the range as a residual test, right as
     long as keys have few versions (the snapshot opens at most one per run). ``slice_days`` is for
     long histories and hot keys: both sides also meet on a time slice, so a key is spread over its
-    slices and a fact is only tested against versions touching its slice.
+    slices and a fact is only tested against versions touching its slice. A version is repeated once
+    per slice it spans, so slices should be about as long as versions live.
     """
     versions = history.select(on, valid_from, valid_to, *columns)
     keys = [on]

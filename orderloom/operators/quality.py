@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import or_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -186,8 +188,8 @@ def store_failures(
     by_row = [c for c in checks if c.kind in ROW_KINDS]
     if by_row:
         broken = F.array_compact(F.array(*[F.when(row_fails(c), F.lit(c.name)) for c in by_row]))
-        tagged = df.withColumn("_broken", broken).filter(F.size("_broken") > 0)
-        rows = tagged.withColumn("check", F.explode("_broken")).drop("_broken")
+        bad = df.filter(reduce(or_, [row_fails(c) for c in by_row]))
+        rows = bad.withColumn("check", F.explode(broken))
         rows.write.mode("overwrite").partitionBy("check").parquet(f"{path}/rows")
     for check in checks:
         if check.kind not in ROW_KINDS:

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.functions.mapping import flag
+
 
 @dataclass(frozen=True)
 class Staging:
@@ -33,10 +37,10 @@ class Staging:
         Blank text is a missing value, not a rejected one.
         """
         kept = raw if self.key is None else raw.filter(F.col(self.key).isNotNull())
-        unreadable = [
-            F.when((F.trim(F.col(source)) != "") & self.columns[name].isNull(), F.lit(name))
+        unreadable = {
+            name: flag((F.trim(F.col(source)) != "") & self.columns[name].isNull())
             for name, source in self.typed.items()
-        ]
-        return kept.withColumn("rejected_columns", F.array_compact(F.array(*unreadable))).filter(
-            F.size("rejected_columns") > 0
-        )
+        }
+        # the names are put together for rejected rows only
+        names = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in unreadable.items()]))
+        return kept.filter(reduce(or_, unreadable.values())).withColumn("rejected_columns", names)

@@ -198,8 +198,8 @@ def upsert_table(
 
     # Read three times below: written once, so that a load time or a source that moves on cannot
     # make the three reads differ.
-    scratch = f"{version}/_batch-{uuid.uuid4().hex}"
-    fresh.write.parquet(scratch)
+    scratch = f"{version}/_batch"
+    fresh.write.mode("overwrite").parquet(scratch)
     fresh = spark.read.schema(batch.schema).parquet(scratch)
     stored = spark.read.schema(batch.schema).parquet(version)
 

@@ -57,7 +57,7 @@ def test_upsert_moves_rows_between_partitions(spark, frame, folder):
         assert tuples(got.select("id", "d", "v")) == expected
     version = current_version(spark, folder)
     assert "d=2024-01-02" not in os.listdir(version)  # the row that was there has moved
-    assert not [n for n in os.listdir(version) if n.startswith("_batch") or n == "_staged"]
+    assert not [n for n in os.listdir(version) if n in ("_batch", "_staged")]
     assert newest_partition(spark, folder, "d") == "2024-01-04"
 
 
