@@ -1,0 +1,118 @@
+"""Operators against plain Python on random small inputs."""
+
+import datetime as dt
+import random
+
+import pytest
+from conftest import tuples
+from pyspark.sql import functions as F
+
+from orderloom.operators.dedupe import dedupe_first
+from orderloom.operators.history import scd2_apply
+from orderloom.operators.lookup import as_of_join, left_lookup
+from orderloom.operators.quality import relationships, run_checks, unique
+from orderloom.sources.tables import read_history, read_table, snapshot_table, upsert_table
+
+SEEDS = [1, 2, 3]
+DAY0 = dt.date(2024, 1, 1)
+
+
+def day(n):
+    return DAY0 + dt.timedelta(days=n)
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_dedupe(frame, seed):
+    r = random.Random(seed)
+    rows = [(r.choice(["a", "b", None]), r.choice([1, 2, None]), i) for i in r.sample(range(100), 60)]
+    expected = {}
+    for k, v, i in sorted(rows, key=lambda x: x[2]):
+        expected.setdefault((k, v), (k, v, i))
+    got = dedupe_first(frame("k string, v int, i int", *rows), ["k", "v"], ["i"])
+    assert {tuple(x) for x in got.collect()} == set(expected.values()) and got.count() == len(expected)
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_stored_upserts(spark, frame, folder, seed):
+    r = random.Random(seed)
+    state = {}
+    for step in range(4):
+        batch = {f"k{r.randrange(12)}": (r.choice([None, *range(6)]), step) for _ in range(r.randrange(1, 8))}
+        rows = [(k, None if d is None else day(d), v) for k, (d, v) in batch.items()]
+        upsert_table(frame("k string, d date, v int", *rows), folder, ["k"], ["d"])
+        state |= {k: (k, d, v) for k, d, v in rows}
+    assert tuples(read_table(spark, folder).select("k", "d", "v")) == sorted(
+        state.values(), key=lambda row: tuple((v is not None, str(v)) for v in row)
+    )
+
+
+def history_by_hand(runs):
+    versions = []  # [key, tier, note, start, end]
+    for now, rows in runs:
+        for k, tier, note in rows:
+            current = next((v for v in versions if v[0] == k and v[4] is None), None)
+            if current is None or current[1] != tier:
+                if current is not None:
+                    current[4] = now
+                versions.append([k, tier, note, now, None])
+    return [tuple(v) for v in versions]
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_history_and_point_in_time(spark, frame, folder, seed):
+    r = random.Random(seed)
+    runs = []
+    for step in range(4):
+        keys = r.sample(range(8), r.randrange(2, 8))
+        runs.append((dt.datetime(2024, 1, 1 + 10 * step), [(f"k{k}", r.choice(["A", "B", None]), str(step)) for k in keys]))
+    history = None
+    for now, rows in runs:
+        state = frame("k string, tier string, note string", *rows)
+        history = scd2_apply(history, state, ["k"], ["tier"], now)
+        snapshot_table(state, folder, ["k"], ["tier"], now)
+    versions = history_by_hand(runs)
+    columns = ("k", "tier", "note", "valid_from", "valid_to")
+    order = lambda rows: sorted(rows, key=lambda row: tuple((v is not None, str(v)) for v in row))
+    assert tuples(history.select(*columns)) == order(versions)
+    assert tuples(read_history(spark, folder).select(*columns)) == order(versions)
+
+    facts = [(f"k{r.randrange(10)}", day(r.randrange(-3, 45)), i) for i in range(40)]
+    at = lambda d: dt.datetime(d.year, d.month, d.day)
+    expected = order(
+        (i, next((v[1] for v in versions if v[0] == k and v[3] <= at(d) and (v[4] is None or at(d) < v[4])), None))
+        for k, d, i in facts
+    )
+    for slice_days in (None, 7):
+        got = as_of_join(frame("k string, d date, i int", *facts), history, "k", "d", ["tier"], slice_days=slice_days)
+        assert tuples(got.select("i", "tier")) == expected
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_lookups_and_key_checks(frame, seed):
+    r = random.Random(seed)
+    left = [(r.choice(["h", "h", None, *"abcdef"]), i) for i in range(80)]
+    right = {k: k.upper() for k in r.sample("habcdefxyz", 5)}
+    lf, rf = frame("k string, i int", *left), frame("k string, w string", *right.items())
+    expected = sorted((i, right.get(k)) for k, i in left)
+    for share in (None, 0.2):
+        got = left_lookup(lf, rf, "k", isolate_share=share).select("i", "w").collect()
+        assert sorted(tuple(x) for x in got) == expected
+    keys = [k for k, _ in left if k is not None]
+    report = run_checks(lf, [unique("k"), relationships("k", "p", "k"), unique("i")], {"p": rf.union(rf)})
+    assert {(x.check, x.failures) for x in report.collect()} == {
+        ("unique_k", sum(keys.count(k) > 1 for k in set(keys))),
+        ("relationships_k_p", sum(k not in right for k in keys)),
+        ("unique_i", 0),
+    }
+
+
+def test_isolation_is_visible_in_the_plan(spark):
+    left = spark.range(1000).select(F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).alias("k"), "id")
+    right = spark.range(1000).select(F.col("id").alias("k"), (-F.col("id")).alias("w"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = left_lookup(left, right, "k", isolate_share=0.1)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Union" in plan and "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
