@@ -12,7 +12,7 @@ from orderloom.functions.metrics import AsOf
 from orderloom.operators.incremental import high_water_mark, newer_than
 from orderloom.operators.lookup import left_lookup
 from orderloom.operators.staging import Staging
-from orderloom.sources.tables import newest_partition, read_table, snapshot_table, upsert_table, with_loaded_at
+from orderloom.sources.tables import newest_partition, snapshot_table, upsert_table, with_loaded_at
 
 PRICE = "decimal(14,4)"
 SHARE = "decimal(9,6)"
@@ -160,10 +160,7 @@ def loaded_until(spark: SparkSession, path: str) -> dt.date | None:
     """Latest order date in the stored fact, null before the first load. Only the newest period is
     read, and that one is found by folder name."""
     newest = newest_partition(spark, path, PERIOD)
-    if newest is None:
-        return None
-    stored = read_table(spark, path).filter(F.col(PERIOD).cast("string") == newest)
-    return high_water_mark(stored, "order_date")
+    return None if newest is None else high_water_mark(newest, "order_date")
 
 
 def load_fct_orders(

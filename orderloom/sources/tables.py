@@ -232,18 +232,20 @@ def _without(schema: StructType, names: Sequence[str]) -> StructType:
     return StructType([f for f in schema if f.name not in names])
 
 
-def newest_partition(spark: SparkSession, path: str, column: str) -> str | None:
-    """Largest value of the first partition column, read from folder names without opening a file.
+def newest_partition(spark: SparkSession, path: str, column: str) -> DataFrame | None:
+    """Rows of the partition with the largest value, null for a table without any.
 
-    For values that sort as text, such as dates; null for a table without rows.
+    The partition is found by folder name, without opening a file, for values that sort as text such
+    as dates; its rows come without the partition column. For writers: an interrupted swap is
+    completed first.
     """
     version = current_version(spark, path)
     if version is None:
         return None
-    prefix = f"{column}="
-    values = [f[len(prefix):] for f in Folder(spark, version).folders() if f.startswith(prefix)]
-    values = [v for v in values if v != "__HIVE_DEFAULT_PARTITION__"]
-    return max(values) if values else None
+    finish_replacing(spark, version)
+    names = [f for f in Folder(spark, version).folders() if f.startswith(f"{column}=")]
+    known = [f for f in names if f != partition_folder(column, None)]
+    return spark.read.parquet(f"{version}/{max(known)}") if known else None
 
 
 # --- snapshot history -----------------------------------------------------------------------------

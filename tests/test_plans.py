@@ -101,11 +101,12 @@ def test_retail_marts(shop):
     assert facts["R1"] == ("SILVER", dt.datetime(2024, 6, 2)) and facts["R4"][0] is None
 
 
-def test_incremental_fact(shop, spark, folder, frame):
+@pytest.mark.parametrize("period", ["day", "month", "year"])
+def test_incremental_fact(shop, spark, folder, period):
     orders, customers, products = map(lambda f, df: f(df), (retail.stg_orders, retail.stg_customers, retail.stg_products), shop)
     enriched, people = retail.int_orders_enriched(orders, products), retail.dim_customers(customers, AS_OF)
     path = f"{folder}/fact"
-    load = lambda df, **o: retail.load_fct_orders(df, people, path, loaded_at=dt.datetime(2024, 6, 2), **o)
+    load = lambda df, **o: retail.load_fct_orders(df, people, path, period=period, loaded_at=dt.datetime(2024, 6, 2), **o)
     ids = lambda df: sorted(r.order_id for r in df.collect())
     assert ids(load(enriched.filter("order_id in ('R1', 'R2')"))) == ["R1", "R2"]
     assert ids(load(enriched)) == ["R1", "R2", "R3", "R4"]
