@@ -19,12 +19,14 @@ class Staging:
 
     ``columns`` are all outputs, each computed from raw columns in a single ``select``, so that an
     output may carry the name of a raw column without shadowing it. ``typed`` names the outputs that
-    come from a cast or a parse, with the raw column each one reads. ``key`` is the raw column
-    whose null rows are dropped (None keeps all rows).
+    come from a cast or a parse, with the raw column each one reads; where an output goes on from
+    there (null to zero, zero to null), ``parsed`` holds what the parse alone gave. ``key`` is the raw
+    column whose null rows are dropped (None keeps all rows).
     """
 
     columns: Mapping[str, Column]
     typed: Mapping[str, str] = field(default_factory=dict)
+    parsed: Mapping[str, Column] = field(default_factory=dict)
     key: str | None = None
 
     def rows(self, raw: DataFrame) -> DataFrame:
@@ -38,7 +40,7 @@ class Staging:
         """
         kept = raw if self.key is None else raw.filter(F.col(self.key).isNotNull())
         unreadable = {
-            name: flag((F.trim(F.col(source)) != "") & self.columns[name].isNull())
+            name: flag((F.trim(F.col(source)) != "") & self.parsed.get(name, self.columns[name]).isNull())
             for name, source in self.typed.items()
         }
         # the names are put together for rejected rows only

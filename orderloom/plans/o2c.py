@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,14 +83,16 @@ def sales_orders_staging(mode: str = "try") -> Staging:
             "po_number": text.blank_to_null(F.col("po_number")),
             "notes": text.blank_to_null(F.col("notes")),
         },
-        typed={n: n for n in ("order_date", "requested_ship_date")},
+        typed={n: n for n in ("order_date", "requested_ship_date")} | {"order_discount_pct": "discount_pct"},
+        parsed={"order_discount_pct": discount},
     )
 
 
 def order_lines_staging(mode: str = "try") -> Staging:
     quantity = parsing.word_number(F.col("quantity"))
     price = parsing.cast_text(F.col("unit_price"), PRICE, mode)
-    discount = parsing.or_zero(parsing.cast_text(F.col("line_discount_pct"), PCT, mode), PCT)
+    stated_discount = parsing.cast_text(F.col("line_discount_pct"), PCT, mode)
+    discount = parsing.or_zero(stated_discount, PCT)
     stated = parsing.cast_text(F.col("line_total"), AMOUNT, mode)
     return Staging(
         columns={
@@ -100,11 +104,13 @@ def order_lines_staging(mode: str = "try") -> Staging:
             "has_unparseable_quantity": quantity.isNull(),
             "notes": text.blank_to_null(F.col("notes")),
         },
-        typed={"quantity": "quantity", "unit_price": "unit_price"},
+        typed={n: n for n in ("quantity", "unit_price", "line_discount_pct", "line_total")},
+        parsed={"line_discount_pct": stated_discount, "line_total": stated},
     )
 
 
 def shipments_staging(mode: str = "try") -> Staging:
+    weight = parsing.cast_text(F.col("weight_lbs"), WEIGHT, mode)
     return Staging(
         columns={
             **_same("shipment_id", "order_id"),
@@ -118,28 +124,30 @@ def shipments_staging(mode: str = "try") -> Staging:
             "ship_to_state": text.upper_clean(F.col("ship_to_state")),
             "ship_to_zip": text.trimmed(F.col("ship_to_zip")),
             "status": text.upper_clean(F.col("status")),
-            "weight_lbs": parsing.zero_to_null(parsing.cast_text(F.col("weight_lbs"), WEIGHT, mode)),
+            "weight_lbs": parsing.zero_to_null(weight),
             "notes": text.blank_to_null(F.col("notes")),
         },
-        typed={"ship_date": "ship_date"},
+        typed={"ship_date": "ship_date", "weight_lbs": "weight_lbs"},
+        parsed={"weight_lbs": weight},
     )
 
 
 def invoices_staging(mode: str = "try") -> Staging:
+    amounts = ("invoice_amount", "tax_amount", "total_amount")
+    overdue = parsing.parse_int(F.col("days_overdue"), mode)
     return Staging(
         columns={
             **_same("invoice_id", "order_id", "customer_id"),
             "invoice_date": parsing.parse_date(F.col("invoice_date")),
             "due_date": parsing.parse_date(F.col("due_date")),
-            "invoice_amount": parsing.cast_text(F.col("invoice_amount"), AMOUNT, mode),
-            "tax_amount": parsing.cast_text(F.col("tax_amount"), AMOUNT, mode),
-            "total_amount": parsing.cast_text(F.col("total_amount"), AMOUNT, mode),
+            **{name: parsing.cast_text(F.col(name), AMOUNT, mode) for name in amounts},
             "payment_terms": text.upper_clean(F.col("payment_terms")),
             "payment_status": text.upper_clean(F.col("payment_status")),
-            "days_overdue": parsing.or_zero(parsing.parse_int(F.col("days_overdue"), mode), "int"),
+            "days_overdue": parsing.or_zero(overdue, "int"),
             "notes": text.blank_to_null(F.col("notes")),
         },
-        typed={n: n for n in ("invoice_date", "due_date", "invoice_amount", "tax_amount", "total_amount")},
+        typed={n: n for n in ("invoice_date", "due_date", *amounts, "days_overdue")},
+        parsed={"days_overdue": overdue},
     )
 
 
@@ -184,8 +192,15 @@ def stg_invoices(raw: DataFrame, mode: str = "try") -> DataFrame:
 
 
 def stg_payments(raw: DataFrame, mode: str = "try") -> DataFrame:
-    """Staged payments, one per invoice and amount: the one with the lowest id stays."""
-    return dedupe_first(payments_staging(mode).rows(raw), ["invoice_id", "amount"], ["payment_id"])
+    """Staged payments, one per invoice and amount: the one with the lowest id stays.
+
+    Missing amounts of an invoice count as equal. Unreadable ones are told apart by their text, so
+    that no payment disappears because two of them could not be read.
+    """
+    staging = payments_staging(mode)
+    unread = F.when(staging.columns["amount"].isNull(), text.blank_to_null(F.col("amount")))
+    rows = replace(staging, columns={**staging.columns, "_unread": unread}).rows(raw)
+    return dedupe_first(rows, ["invoice_id", "amount", "_unread"], ["payment_id"]).drop("_unread")
 
 
 # --- enriched lines and invoices ------------------------------------------------------------------

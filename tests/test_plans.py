@@ -207,6 +207,36 @@ def test_o2c_staging(trade):
     }
 
 
+def test_values_with_a_default_are_quarantined_too(frame):
+    def raw(name, **values):
+        columns = schemas.O2C_RAW[name].names
+        return frame(", ".join(f"{c} string" for c in columns), tuple(values.get(c) for c in columns))
+
+    def rejected(staging, df):
+        rows = staging.rejected(df).collect()
+        return rows[0].rejected_columns if rows else []
+
+    lines = o2c.order_lines_staging()
+    assert rejected(lines, raw("raw_order_lines", quantity="abc", line_discount_pct="ten", line_total="-")) == [
+        "quantity", "line_discount_pct", "line_total",
+    ]
+    assert rejected(lines, raw("raw_order_lines", quantity="two", unit_price="1.5", line_total=" ")) == []
+    assert rejected(o2c.sales_orders_staging(), raw("raw_sales_orders", discount_pct="x")) == ["order_discount_pct"]
+    assert rejected(o2c.shipments_staging(), raw("raw_shipments", weight_lbs="0")) == []
+    assert rejected(o2c.shipments_staging(), raw("raw_shipments", weight_lbs="heavy")) == ["weight_lbs"]
+    assert rejected(o2c.invoices_staging(), raw("raw_invoices", days_overdue="?", due_date="soon")) == ["due_date", "days_overdue"]
+
+
+def test_payments_that_cannot_be_read_are_kept_apart(frame):
+    columns = schemas.O2C_RAW["raw_payments"].names
+    rows = [("P1", "V", "abc"), ("P2", "V", "xyz"), ("P3", "V", "abc"), ("P4", "V", None), ("P5", "V", " "), ("P6", None, None)]
+    raw = frame(
+        ", ".join(f"{c} string" for c in columns),
+        *[tuple({"payment_id": p, "invoice_id": i, "amount": a}.get(c) for c in columns) for p, i, a in rows],
+    )
+    assert sorted(r.payment_id for r in o2c.stg_payments(raw).collect()) == ["P1", "P2", "P4", "P6"]
+
+
 def test_enriched_lines(trade):
     assert by_key(trade.lines_enriched, "line_id", "customer_id", "revenue", "cost", "gross_profit", "is_on_time_delivery", "days_to_ship") == {
         "L1": ("B1", D("13500.00"), D("4500.00"), D("9000.00"), False, 11),
