@@ -123,7 +123,7 @@ def region_performance(spark, d):
 # --- column functions ------------------------------------------------------------------------------
 @register(
     "clean_status_map",
-    f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+    f"""SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey,
                {oracle.recode("raw", mapping.STAGED_STATUS, oracle.code("raw"))} AS passed_through,
                {oracle.recode("raw", mapping.ORDER_STATUS, "'Unknown'")} AS with_default
         FROM (SELECT *, CASE WHEN l_tax < 0.02 THEN NULL WHEN l_returnflag = 'A' THEN ' comp'
@@ -246,7 +246,8 @@ def _sales_orders_rejected(spark, d):
 # --- operators ---------------------------------------------------------------------------------------
 @register(
     "dedupe_first",
-    """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice
+    """SELECT l_orderkey, l_partkey, l_suppkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity,
+              l_extendedprice
        FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_partkey,
                                                 l_suppkey, l_linenumber, l_quantity) = 1""",
 )
@@ -293,7 +294,7 @@ def _orphans(spark, d):
 
 @register(
     "left_lookup_isolated",
-    """SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_linestatus, n.n_name
+    """SELECT l.l_orderkey, CAST(l.l_linenumber AS BIGINT) AS l_linenumber, l.l_partkey, l.l_linestatus, n.n_name
        FROM (SELECT *, CASE WHEN l_returnflag = 'R' THEN 7 ELSE l_suppkey END AS key FROM lineitem) AS l
        LEFT JOIN (SELECT s_suppkey, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey) AS n
        ON n.s_suppkey = l.key""",
@@ -458,8 +459,8 @@ def _snapshot(spark, d):
 
 
 _AS_OF = oracle.with_models(f"""
-    SELECT f.order_id, f.product_id, CAST(f.order_date AS VARCHAR) AS order_date, f.customer_id, f.quantity,
-           v.tier AS tier, v.country_code
+    SELECT f.order_id, f.product_id, CAST(f.order_date AS VARCHAR) AS order_date, f.customer_id,
+           CAST(f.quantity AS BIGINT) AS quantity, v.tier AS tier, v.country_code
     FROM retail_stg_orders f LEFT JOIN ({_version_sql()}) AS v
     ON v.customer_id = f.customer_id AND f.order_date >= v.valid_from
        AND (v.valid_to IS NULL OR f.order_date < v.valid_to)""")
