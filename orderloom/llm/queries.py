@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontamination, quality
+from orderloom.llm import decontamination, quality, warc
+from orderloom.llm.shipping import shared_path, stored
 from orderloom.session import apply_scale_defaults
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,3 +128,31 @@ def quality_rules(spark, d):
         ((F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))).alias("base_failed"),
         F.col("rejected_by").isNull().alias("kept"),
     )
+
+
+# --- 10: WARC --------------------------------------------------------------------------------------------------------
+WARC_SQL = """
+    WITH p AS (SELECT page_id, encode(coalesce(html, '')) payload FROM pages),
+    d AS (SELECT page_id, octet_length(payload) payload_bytes, sha256(payload) payload_digest FROM p),
+    f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) first FROM d)
+    SELECT page_id, CAST(payload_bytes AS BIGINT) payload_bytes, payload_digest,
+        CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END record_type,
+        CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END refers_to
+    FROM f"""
+
+
+@register("op10_warc", WARC_SQL)
+def warc_round_trip(spark, d):
+    path = shared_path(spark, "archives")
+    warc.write_captures(table(spark, d, "pages"), path)
+    records = stored(warc.read_records(spark, path), "records")
+    found = warc.resolve_revisits(warc.captures(records))
+    revisit = F.col("response.type") == "revisit"
+    original = F.when(revisit, F.col("original"))
+    return found.select(
+        warc.page_id_of(found).cast("long").alias("page_id"),
+        F.coalesce(original["payload_bytes"], F.col("response.payload_bytes")).alias("payload_bytes"),
+        F.coalesce(original["payload_digest"], F.col("response.payload_digest")).alias("payload_digest"),
+        F.col("response.type").alias("record_type"),
+        original["page_id"].cast("long").alias("refers_to"),
+    )
