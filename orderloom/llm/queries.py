@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontamination, quality, warc
+from orderloom.llm import decontamination, quality, simhash, warc
 from orderloom.llm.shipping import shared_path, stored
 from orderloom.session import apply_scale_defaults
 
@@ -130,6 +130,13 @@ def quality_rules(spark, d):
     )
 
 
+# --- 9: SimHash near duplicates --------------------------------------------------------------------------------------
+@register("op9_simhash")
+def simhash_groups(spark, d):
+    found = simhash.groups(table(spark, d, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 # --- 10: WARC --------------------------------------------------------------------------------------------------------
 WARC_SQL = """
     WITH p AS (SELECT page_id, encode(coalesce(html, '')) payload FROM pages),
