@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontamination, quality, simhash, warc
+from orderloom.llm import decontamination, quality, simhash, urls, warc
 from orderloom.llm.shipping import shared_path, stored
 from orderloom.session import apply_scale_defaults
 
@@ -130,6 +130,20 @@ def quality_rules(spark, d):
     )
 
 
+# --- 8: URL filters --------------------------------------------------------------------------------------------------
+URL_RULES = (
+    urls.Rule("block", "net"),
+    urls.Rule("allow", "example.net", "/en/"),
+    urls.Rule("block", "example.com", "/de/"),
+    urls.Rule("allow", "org", "/fr/"),
+)
+
+
+@register("op8_url_filters")
+def url_filters(spark, d):
+    return urls.judge(table(spark, d, "pages"), URL_RULES)
+
+
 # --- 9: SimHash near duplicates --------------------------------------------------------------------------------------
 @register("op9_simhash")
 def simhash_groups(spark, d):
