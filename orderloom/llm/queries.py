@@ -166,7 +166,9 @@ WARC_SQL = """
 def warc_round_trip(spark, d):
     path = shared_path(spark, "archives")
     warc.write_captures(table(spark, d, "pages"), path)
-    records = stored(warc.read_records(spark, path), "records")
+    read = warc.read_records(spark, path)  # the bodies of responses are measured there and not needed beyond
+    body = F.when(F.col("type") == "metadata", F.col("payload"))
+    records = stored(read.withColumn("payload", body), "records")
     found = warc.resolve_revisits(warc.captures(records))
     revisit = F.col("response.type") == "revisit"
     original = F.when(revisit, F.col("original"))
