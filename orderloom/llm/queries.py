@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontamination, quality, simhash, urls, warc
+from orderloom.llm import bpe, decontamination, quality, simhash, urls, warc
 from orderloom.llm.shipping import shared_path, stored
 from orderloom.session import apply_scale_defaults
 
@@ -84,6 +85,22 @@ def benchmark_decontamination(spark, d):
     )
 
 
+# --- 3: BPE encoding and decoding ------------------------------------------------------------------------------------
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register("op3_bpe")
+def bpe_round_trip(spark, d):
+    tokens = bpe.encode(table(spark, d, "documents").select("doc_id", "text"), TOKENIZER)
+    decoded = bpe.decode(tokens.select("doc_id", "n_tokens", "ids"), TOKENIZER)
+    return decoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 # --- 7: quality rules ------------------------------------------------------------------------------------------------
 QUALITY_SQL = r"""
     WITH words AS (
