@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, decontamination, quality, simhash, urls, warc
+from orderloom.llm import bpe, decontamination, pii, quality, simhash, urls, warc
 from orderloom.llm.shipping import shared_path, stored
 from orderloom.session import apply_scale_defaults
 
@@ -101,6 +101,25 @@ def bpe_round_trip(spark, d):
     )
 
 
+# --- 6: personal data ------------------------------------------------------------------------------------------------
+def _listed(spans):
+    return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+
+
+@register("op6_pii")
+def personal_data(spark, d):
+    found = pii.find(table(spark, d, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        *(
+            F.size(F.filter("base", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+            for kind in pii.KINDS
+        ),
+        F.sha2(_listed("base").cast("binary"), 256).alias("base_sha256"),
+        _listed("spans").alias("spans"),
+    )
+
+
 # --- 7: quality rules ------------------------------------------------------------------------------------------------
 QUALITY_SQL = r"""
     WITH words AS (
