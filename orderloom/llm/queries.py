@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, decontamination, pii, quality, simhash, urls, warc
+from orderloom.llm import bpe, decontamination, html, licenses, pii, quality, simhash, urls, warc
 from orderloom.llm.shipping import shared_path, stored
 from orderloom.session import apply_scale_defaults
 
@@ -101,7 +101,62 @@ def bpe_round_trip(spark, d):
     )
 
 
+# --- 4: HTML extraction ----------------------------------------------------------------------------------------------
+@register("op4_html")
+def html_extraction(spark, d):
+    return html.extract(table(spark, d, "pages").select("page_id", "url", "html"))
+
+
+# --- 5: license scans ------------------------------------------------------------------------------------------------
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _license_sql() -> str:
+    pattern, named = licenses.matcher()
+    known = ", ".join(f"({_quoted(s)}, {_quoted(i)})" for s, i in licenses.SENTENCES.items())
+    rules = ", ".join(f"({_quoted(ids)}, {_quoted(name)})" for ids, name in named.items())
+    text = "coalesce(text, '')"
+    for wrap in licenses.WRAPS:
+        text = f"regexp_replace({text}, {_quoted(wrap)}, " + r"'\1 \2', 'g')"
+    return rf"""
+    WITH known(sentence, id) AS (VALUES {known}),
+    rules(ids, name) AS (VALUES {rules}),
+    parts AS (
+        SELECT doc_id, string_split_regex(translate({text}, {CAPITALS}), {_quoted(licenses.ENDS)}) parts FROM documents),
+    numbered AS (SELECT doc_id, unnest(parts) part, unnest(range(len(parts))) k FROM parts),
+    hits AS (
+        SELECT doc_id, k, id
+        FROM numbered JOIN known ON trim(regexp_replace(part, '[^a-z0-9]+', ' ', 'g'), ' ') = sentence),
+    by_doc AS (
+        SELECT doc_id, count(*) n, string_agg(id, ',' ORDER BY k) ids, string_agg(id || ' ', '' ORDER BY k) spaced
+        FROM hits GROUP BY doc_id),
+    matched AS (
+        SELECT doc_id, unnest(m) ids, unnest(range(len(m))) k
+        FROM (SELECT doc_id, regexp_extract_all(spaced, {_quoted(pattern.pattern.replace(chr(92) + '-', '-').replace(chr(92) + ' ', ' '))}) m FROM by_doc)),
+    named AS (
+        SELECT doc_id, string_agg(name, ',' ORDER BY k) licenses FROM matched JOIN rules USING (ids) GROUP BY doc_id)
+    SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) n_sentences, coalesce(ids, '') sentence_ids,
+        coalesce(licenses, '') licenses
+    FROM documents LEFT JOIN by_doc USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+
+@register("op5_license_scans", _license_sql())
+def license_scans(spark, d):
+    found = licenses.scan(table(spark, d, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.size("sentence_ids").cast("long").alias("n_sentences"),
+        F.concat_ws(",", "sentence_ids").alias("sentence_ids"),
+        F.concat_ws(",", "licenses").alias("licenses"),
+    )
+
+
 # --- 6: personal data ------------------------------------------------------------------------------------------------
+def _is(kind):
+    return lambda span: span["kind"] == kind
+
+
 def _listed(spans):
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
 
@@ -111,10 +166,7 @@ def personal_data(spark, d):
     found = pii.find(table(spark, d, "documents").select("doc_id", "text"))
     return found.select(
         "doc_id",
-        *(
-            F.size(F.filter("base", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
-            for kind in pii.KINDS
-        ),
+        *(F.size(F.filter("base", _is(kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS),
         F.sha2(_listed("base").cast("binary"), 256).alias("base_sha256"),
         _listed("spans").alias("spans"),
     )
