@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, decontamination, html, licenses, pii, quality, simhash, urls, warc
+from orderloom.llm import bpe, decontamination, html, licenses, pii, quality, simhash, substrings, urls, warc
 from orderloom.llm.shipping import shared_path, stored
 from orderloom.session import apply_scale_defaults
 
@@ -38,6 +38,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 CAPITALS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 
+# --- 1: substring dedup ----------------------------------------------------------------------------------------------
+SUBSTRING_SQL = r"""
+    WITH words AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w FROM documents),
+    windows AS (
+        SELECT doc_id, i, sha256(array_to_string(w[i:i + 49], ' ')) win
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) i FROM words)),
+    firsts AS (SELECT win, min(doc_id) first FROM windows GROUP BY win),
+    gone AS (
+        SELECT DISTINCT doc_id, unnest(range(i, i + 50)) p
+        FROM windows JOIN firsts USING (win) WHERE first < doc_id),
+    gone_by_doc AS (SELECT doc_id, count(*) n, list(p) ps FROM gone GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) n_words, CAST(coalesce(n, 0) AS BIGINT) n_removed,
+        sha256(array_to_string(CASE WHEN n IS NULL THEN w ELSE list_filter(w, lambda x, k: NOT list_contains(ps, k)) END, ' ')) kept_sha256
+    FROM words LEFT JOIN gone_by_doc USING (doc_id)"""
+
+
+@register("op1_substring_dedup", SUBSTRING_SQL)
+def substring_dedup(spark, d):
+    found = substrings.dedupe(table(spark, d, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 # --- 2: benchmark decontamination ------------------------------------------------------------------------------------
 DECONTAMINATION_SQL = rf"""
     WITH words AS (
