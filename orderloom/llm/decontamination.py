@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from orderloom.llm.shipping import pieces, raw_texts, ready
+from orderloom.llm.shipping import pieces, raw_texts, ready, set_aside
 from orderloom.llm.words import ALNUM, Words, covered, word_table
 
 _, LOWER = word_table(b"", lower=True)
@@ -162,13 +162,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove must be 'documents' or 'spans', not {remove!r}")
     text = names.get("text", "text")
-    clash = {m.name for m in MARKS} & set(docs.columns)
-    if clash - {text}:  # keep the caller's columns of these names apart while marking
-        docs_in = docs.withColumnsRenamed({c: f"_own_{c}" for c in clash})
-    else:
-        docs_in = docs
-    marked = mark(docs_in, benchmark, n, **names)
-    back = [F.col(f"_own_{c}" if c in clash else c).alias(c) for c in docs.columns]
+    apart, back = set_aside(docs, {m.name for m in MARKS} - {text})
+    marked = mark(apart, benchmark, n, **names)
     if remove == "documents":
         return marked.where(F.size("hits") == 0).select(*back)
 

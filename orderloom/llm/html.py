@@ -2,7 +2,7 @@
 
 Each node has a density: its characters per tag, lowered by the share of them in links. The node whose children's densities
 add up to the most is the content, and with it what beside its path to the body is at least as dense as the least dense node on that
-path. Inline markup does not count as tags of its own, so emphasis inside a paragraph leaves its density alone.
+path below the body. Inline markup does not count as tags of its own, so emphasis inside a paragraph leaves its density alone.
 """
 
 from __future__ import annotations
@@ -167,7 +167,7 @@ def main_text(html: str) -> str:
     path = [best]
     while path[-1] != body:
         path.append(tree.parent[path[-1]])
-    floor = min(dense[k] for k in path)
+    floor = min((dense[k] for k in path[:-1]), default=math.inf)  # the body itself holds all the clutter
     on_path, chosen = set(path), {best}
     for k in path[1:]:
         chosen.update(

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from orderloom.llm.shipping import ready, raw_texts
+from orderloom.llm.shipping import raw_texts, ready, set_aside
 
 
 
@@ -219,6 +219,5 @@ def judge(
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] | None = None, **options) -> DataFrame:
     """The documents that no rule rejects, in their own columns."""
-    own = {c: f"_own_{c}" for c in ("rejected_by", "rules_run") if c in docs.columns}
-    judged = judge(docs.withColumnsRenamed(own), rules, **options)
-    return judged.where("rejected_by is null").select(*(F.col(own.get(c, c)).alias(c) for c in docs.columns))
+    apart, back = set_aside(docs, {"rejected_by", "rules_run"})
+    return judge(apart, rules, **options).where("rejected_by is null").select(*back)

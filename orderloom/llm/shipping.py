@@ -8,7 +8,8 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderloom.session import work_dir
 
@@ -61,8 +62,13 @@ def raw_texts(column: pa.Array) -> list[bytes]:
     return [v or b"" for v in column.cast(pa.binary()).to_pylist()]
 
 
-def with_columns(batch: pa.RecordBatch, schema: pa.Schema, **made: pa.Array) -> pa.RecordBatch:
-    """The rows of ``batch`` in the columns of ``schema``: those in ``made``, and the input's own for the rest."""
-    return pa.RecordBatch.from_arrays(
-        [made[n] if n in made else batch.column(n) for n in schema.names], schema=schema
-    )
+def set_aside(df: DataFrame, names: set[str]) -> tuple[DataFrame, list[Column]]:
+    """``df`` with the columns of these names renamed out of the way, and the expressions that bring back all its columns."""
+    renamed: dict[str, str] = {}
+    for c in df.columns:
+        if c in names:
+            new = f"_{c}"
+            while new in df.columns or new in renamed.values():
+                new = f"_{new}"
+            renamed[c] = new
+    return df.withColumnsRenamed(renamed), [F.col(f"`{renamed.get(c, c)}`").alias(c) for c in df.columns]

@@ -23,7 +23,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from orderloom.llm.shipping import pieces, raw_texts, ready, stored
 from orderloom.llm.words import Words, covered, mix
@@ -123,7 +122,7 @@ def _tried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 PARTS = pa.schema(
-    [("witness", pa.int64()), ("salt", pa.int32()), ("role", pa.int8()), ("doc", pa.int64()), ("start", pa.int64()), ("words", pa.string())]
+    [("witness", pa.int64()), ("salt", pa.int32()), ("role", pa.int8()), ("doc", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("words", pa.string())]
 )
 
 
@@ -132,7 +131,7 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches):
         raw = raw_texts(batch.column("text"))
         s = Segments(raw)
-        ids = batch.column("doc").to_pylist()
+        ids, of_row = batch.column("doc").to_pylist(), batch.column("row").to_pylist()
         marks = {
             (k, m["anchor"], m["segment"]): m for k, ms in enumerate(batch.column("marks").to_pylist()) for m in ms
         }
@@ -167,11 +166,12 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts_of = s.words.doc
         for k, a, b in _runs(texts_of, own):
             words = s.words.bytes_of(a, b + WINDOW).decode()
-            rows += [(ids[k], salt, 0, ids[k], a - int(s.words.first[k]), words) for salt in range(int(salts_of[k]))]
+            rows += [(ids[k], salt, 0, ids[k], of_row[k], a - int(s.words.first[k]), words) for salt in range(int(salts_of[k]))]
         names = list(known)
         for k, a, b in _runs(texts_of, witness >= 0, witness):
             home, salts = names[witness[a]]
-            rows.append((home, ids[k] % salts, 1, ids[k], a - int(s.words.first[k]), s.words.bytes_of(a, b + WINDOW).decode()))
+            words = s.words.bytes_of(a, b + WINDOW).decode()
+            rows.append((home, ids[k] % salts, 1, ids[k], of_row[k], a - int(s.words.first[k]), words))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), PARTS, strict=True)], schema=PARTS)
 
@@ -237,22 +237,23 @@ def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come by witness and salt, its passages first."""
     key, shard = None, Shard()
     for batch in batches:
-        rows: list[tuple[int, int, int]] = []
-        columns = [batch.column(c).to_pylist() for c in ("witness", "salt", "role", "doc", "start", "words")]
-        for witness, salt, role, doc, start, words in zip(*columns, strict=True):
+        rows: list[tuple[int, int, int, int]] = []
+        columns = [batch.column(c).to_pylist() for c in PARTS.names]
+        for witness, salt, role, doc, row, start, words in zip(*columns, strict=True):
             if (witness, salt) != key:
                 key, shard = (witness, salt), Shard()
             if role == 0:
                 shard.add(words)
             else:
-                rows += [(doc, start + a, start + b) for a, b in shard.locate(words)]
+                rows += [(doc, row, start + a, start + b) for a, b in shard.locate(words)]
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["doc", "start", "stop"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["doc", "row", "start", "stop"])
 
 
 def locate(texts: DataFrame) -> DataFrame:
-    """``doc``, ``start``, ``stop``: ranges of words of documents that windows of 50 words cover which
-    also start in a document with a smaller id. ``texts`` has ``doc`` (long, no nulls) and ``text``."""
+    """``doc``, ``row``, ``start``, ``stop``: ranges of words of documents that windows of 50 words cover which also
+    start in a document with a smaller id. ``texts`` has ``doc`` (long, no nulls), ``text``, and ``row`` (long), which
+    tells texts under one id apart."""
     ready(texts)
     anchors = texts.mapInArrow(_anchors, "doc long, anchor long, segment long")
     often = anchors.groupBy("anchor").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select("anchor")
@@ -291,12 +292,11 @@ def locate(texts: DataFrame) -> DataFrame:
     )
     found = salted(hits).groupBy("doc").agg(F.collect_list(F.struct("anchor", "hash", "witness", "salts")).alias("hits"))
     both = marks.join(found, "doc", "left")
-    parts = texts.join(both, "doc").mapInArrow(_parts, "witness long, salt int, role byte, doc long, start long, words string")
+    parts = texts.join(both, "doc").mapInArrow(_parts, "witness long, salt int, role byte, doc long, row long, start long, words string")
     dealt = parts.repartition("witness", "salt").sortWithinPartitions("witness", "salt", "role")
-    return dealt.mapInArrow(_located, "doc long, start long, stop long")
+    return dealt.mapInArrow(_located, "doc long, row long, start long, stop long")
 
 
-SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())])
 KEPT = "doc_id long, n_words long, n_removed long, kept string, removed array<struct<start: long, stop: long>>"
 
 
@@ -305,14 +305,14 @@ def dedupe(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataF
     exclusive) of every document: each word is removed that lies in a window of 50 words which also starts in a document with a smaller id.
 
     Words are runs of anything but space and the control characters 9 to 13. Null and empty texts have no words, texts of fewer than 50
-    words lose none, and a document never loses words to itself. Rows that share an id are one document: they are not
-    duplicates of each other. A document with a null id neither loses words nor takes any. Other columns are left out.
+    words lose none, and a document never loses words to itself. Rows that share an id are not
+    duplicates of each other, whatever their texts. A document with a null id neither loses words nor takes any. Other columns are left out.
     """
-    slim = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text).alias("text"))
+    slim = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("row"), F.col(text).alias("text"))
     named = slim.where("doc is not null")
-    spans = locate(named).groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    spans = locate(named).groupBy("doc").agg(F.collect_list(F.struct("row", "start", "stop")).alias("spans"))
     joined = named.join(spans, "doc", "left").unionByName(
-        slim.where("doc is null").withColumn("spans", F.lit(None).cast(T.ArrayType(SPAN)))
+        slim.where("doc is null").withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
     )
     return joined.mapInArrow(_kept, KEPT).withColumnRenamed("doc_id", id_col)
 
@@ -321,8 +321,10 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     removed_type = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
     for batch in pieces(batches):
         n_words, n_removed, kept, removed = [], [], [], []
-        for raw, spans in zip(raw_texts(batch.column("text")), batch.column("spans").to_pylist(), strict=True):
+        columns = raw_texts(batch.column("text")), batch.column("row").to_pylist(), batch.column("spans").to_pylist()
+        for raw, row, spans in zip(*columns, strict=True):
             words = raw.split()
+            spans = [s for s in spans or () if s["row"] == row]
             merged: list[dict] = []
             if spans:
                 gone = covered(len(words), np.array([s["start"] for s in spans]), np.array([s["stop"] for s in spans]))

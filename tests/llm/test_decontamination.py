@@ -1,0 +1,66 @@
+import random
+import re
+
+import pytest
+
+from orderloom.llm import decontamination as d
+
+WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return WORDS.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def brute(text, items, n=10):
+    w, hit, ids = words(text), set(), set()
+    for i, t in items:
+        v = words(t)
+        size = min(n, len(v))
+        windows = {tuple(v[a : a + size]) for a in range(len(v) - size + 1)} if size else set()
+        for a in range(len(w) - size + 1) if size else ():
+            if tuple(w[a : a + size]) in windows:
+                hit.update(range(a, a + size))
+                ids.add(str(i))
+    return len(w), len(hit), sorted(ids)
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 60])
+def test_same_as_brute_force(spark, block_bytes):
+    rnd = random.Random(5)
+    vocab = ["a", "B", "c3", "été", "日本", "x"]
+    line = lambda k, sep: sep.join(rnd.choice(vocab) for _ in range(k))
+    items = [(i, line(rnd.choice([0, 1, 3, 9, 10, 14]), ", ")) for i in range(8)] + [(3, "a b"), (9, None)]
+    docs = [(i, line(rnd.randrange(60), rnd.choice([" ", "\n", "--"]))) for i in range(60)]
+    docs += [(100 + i, f"start {t} end") for i, t in items if t]
+    got = d.mark(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"),
+        block_bytes=block_bytes,
+    ).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        assert (r.n_words, sum(h.stop - h.start for h in r.hits), r.items) == brute(r.text, items)
+
+
+def test_removal_of_documents_and_of_spans(spark):
+    docs = spark.createDataFrame([(1, "Keep, ONE two three! end", "h"), (2, "clean", "h"), (3, None, None)], "doc_id long, text string, hits string")
+    items = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
+    assert sorted(r.doc_id for r in d.decontaminate(docs, items).collect()) == [2, 3]
+    cut = d.decontaminate(docs, items, remove="spans")
+    assert cut.columns == docs.columns
+    assert sorted(tuple(r) for r in cut.collect()) == [(1, "Keep, ! end", "h"), (2, "clean", "h"), (3, None, None)]
+    with pytest.raises(ValueError):
+        d.decontaminate(docs, items, remove="words")
+
+
+def test_edges(spark, edges, nothing):
+    items = spark.createDataFrame([(1, "lorem ipsum"), (None, "one")], "item_id long, text string")
+    rows = d.mark(edges, items).collect()
+    assert len(rows) == 12
+    assert [(r.n_words, r.items) for r in rows if r.doc_id in (1, 2, 3)] == [(0, [])] * 3
+    assert [r.items for r in rows if r.doc_id == 8] == [["null"], []]
+    assert all(r.hits[0].stop - r.hits[0].start == 2 and len(r.hits) == 4000 for r in rows if r.doc_id == 4)
+    kept = d.decontaminate(edges, items)
+    assert kept.columns == edges.columns and {r.hits for r in kept.collect()} == {"own"}
+    assert d.mark(nothing, items).collect() == []
+    assert all(r.hits == [] for r in d.mark(edges, items.where("false")).collect())

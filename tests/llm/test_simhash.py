@@ -1,0 +1,126 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from orderloom.llm import simhash as s
+
+
+def fingerprint(text, size=3):
+    text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    runs = [" ".join(w[i : i + size]) for i in range(len(w) - size + 1)] if len(w) >= size else [" ".join(w)] if w else []
+    hashes = [xxhash.xxh64(r.encode(), seed=42).intdigest() for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def classes(items, near):
+    """Smallest member of each item's class, by comparing all pairs."""
+    root = {i: i for i in items}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in items:
+        for b in items:
+            if a < b and near(a, b):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {i: find(i) for i in items}
+
+
+@pytest.mark.parametrize("radius", [1, 3, 4])
+def test_every_pair_within_the_radius_shares_a_bucket(radius):
+    masks = s.masks(radius)
+    assert len(masks) == 2 ** (radius + 1) - 1
+    rnd = random.Random(6)
+    for _ in range(3000):
+        flips = sum(1 << p for p in rnd.sample(range(64), rnd.randrange(radius + 1)))
+        assert any(not flips & m for m in masks)
+
+
+@pytest.mark.parametrize("bucket_rows", [256, 3])
+def test_links_connect_exactly_what_brute_force_connects(spark, bucket_rows):
+    rnd = random.Random(8)
+    centres = [rnd.getrandbits(64) for _ in range(4)]
+    values = {c ^ sum(1 << rnd.randrange(64) for _ in range(rnd.randrange(7))) for c in centres for _ in range(40)}
+    values |= {rnd.getrandbits(64) for _ in range(40)} | {0, 7, 1 << 63}
+    ids = dict(enumerate(sorted(values)))
+    df = spark.createDataFrame([(i, s._signed(v)) for i, v in ids.items()] + [(None, 0)], "id long, fingerprint long")
+    pairs = s.links(df, 3, bucket_rows=bucket_rows)
+    expected = classes(ids, lambda a, b: bin(ids[a] ^ ids[b]).count("1") <= 3)
+    comp = {r.id: r.component for r in s.components(pairs).collect()}
+    got = {i: comp.get(i, ("alone", i)) for i in ids}
+    names = {}
+    assert all(names.setdefault(got[i], expected[i]) == expected[i] for i in ids)
+    assert len(names) == len(set(expected.values()))
+    for a, b in [(r.a, r.b) for r in pairs.collect()]:
+        assert expected[a] == expected[b]
+
+
+def test_components_of_a_long_chain(spark):
+    chain = spark.range(600).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    more = spark.createDataFrame([(1000, 1001), (1001, 1000), (7, 7)], "a long, b long")
+    rows = s.components(chain.unionByName(more)).collect()
+    assert len(rows) == 603 and len({r.component for r in rows if r.id <= 600}) == 1
+    assert len({r.component for r in rows}) == 2
+
+
+def some_docs():
+    rnd = random.Random(9)
+    docs = []
+    for i in range(25):
+        words = [rnd.choice("Alpha beta gamma delta eps zeta été".split()) + str(rnd.randrange(40)) for _ in range(rnd.randrange(0, 120))]
+        docs.append((i, " ".join(words)))
+        if words and i % 3 == 0:
+            words[rnd.randrange(len(words))] = "changed"
+            docs.append((100 + i, "\n".join(words)))
+    return docs + [(200, None), (201, ""), (202, "one two"), (203, "ONE  two")]
+
+
+def test_groups_same_as_brute_force(spark):
+    docs = some_docs()
+    prints = {i: fingerprint(t) for i, t in docs}
+    expected = classes(prints, lambda a, b: bin(prints[a] ^ prints[b]).count("1") <= 3)
+    got = {r.doc_id: (r.fingerprint % 2**64, r.component_id) for r in s.groups(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {i: (prints[i], expected[i]) for i in prints}
+
+
+def test_near_copies_are_found_and_others_left(spark):
+    rnd = random.Random(10)
+    vocab = [f"word{i}" for i in range(400)] + ["the", "of", "and"] * 60
+    base = [[rnd.choice(vocab) for _ in range(400)] for _ in range(12)]
+    docs = [(i, " ".join(w)) for i, w in enumerate(base)]
+    for i, w in enumerate(base):
+        for k in range(3):
+            changed = list(w)
+            for p in rnd.sample(range(400), 3):
+                changed[p] = "new"
+            docs.append((100 + 10 * i + k, " ".join(changed)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r.doc_id: r.group_id for r in s.near_duplicates(df).collect()}
+    assert all(found[i] == i for i in range(12))
+    assert np.mean([found[100 + 10 * i + k] == i for i in range(12) for k in range(3)]) >= 0.9
+    kept = {r.doc_id for r in s.keep_one(df).collect()}
+    assert set(range(12)) <= kept and len(kept) <= 16
+
+
+def test_edges(edges, nothing):
+    rows = s.groups(edges).collect()
+    assert len(rows) == 12
+    by = {}
+    for r in rows:
+        by.setdefault(r.doc_id, []).append((r.fingerprint, r.component_id))
+    assert [by[i] for i in (1, 2, 3)] == [[(0, 1)]] * 3
+    assert (0, 1) in by[None]
+    assert by[4][0][1] == by[5][0][1] == 4
+    kept = s.keep_one(edges)
+    assert kept.columns == edges.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert ids.count(None) == 2 and ids.count(1) == 1 and 2 not in ids and 5 not in ids
+    assert s.groups(nothing).collect() == [] and s.keep_one(nothing).collect() == []
