@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+import struct
 import sys
 import unicodedata
 from collections.abc import Iterator
@@ -29,8 +31,17 @@ from orderloom.llm.shipping import ready
 
 #: The splitting pattern of byte-level vocabularies (a fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The same for texts of characters below U+0250 only, in plain ranges that the standard engine matches several times faster.
+LATIN_LETTER = r"A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+LATIN_NUMBER = r"0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+LATIN_SPACE = r"\t-\r \u0085\u00a0"
+LATIN = re.compile(
+    f"'(?:[stmd]|re|ve|ll)| ?[{LATIN_LETTER}]+| ?[{LATIN_NUMBER}]+| ?[^{LATIN_SPACE}{LATIN_LETTER}{LATIN_NUMBER}]+"
+    f"|[{LATIN_SPACE}]+(?![^{LATIN_SPACE}])|[{LATIN_SPACE}]+"
+)
+BEYOND_LATIN = re.compile(r"[^\u0000-\u024f]")
 #: How many distinct pieces, and pairs, a worker remembers before it starts again.
-CACHE = 300_000
+CACHE = 400_000
 
 
 def byte_chars() -> dict[str, int]:
@@ -54,6 +65,7 @@ class Codec:
         self.added = {a["content"]: a["id"] for a in spec["added_tokens"]}
         self.id_of = {t.decode("latin-1"): i for i, t in self.bytes_of.items()}
         self.text_of = {i: t for t, i in self.id_of.items()}
+        self.size = {i: len(t) for t, i in self.id_of.items()}
 
         self.rank: dict[int, int] = {}
         self.halves: dict[int, tuple[int, int]] = {}
@@ -105,8 +117,8 @@ class Codec:
         return self._odd
 
     def split(self, text: str) -> list[str]:
-        if text.isascii():
-            return self.usual.findall(text)
+        if not BEYOND_LATIN.search(text):
+            return LATIN.findall(text)
         odd, exact = self._newer()
         return (exact if odd.search(text) else self.usual).findall(text)
 
@@ -148,40 +160,43 @@ class Codec:
 
     def merge_piece(self, piece: str) -> list[int]:
         """The tokens of a piece given as one character per byte."""
-        if (whole := self.id_of.get(piece)) is not None and len(piece) == 1:
-            return [whole]
-        n = len(piece)
-        longest, start_of = [0] * n, [n] * n
+        n, size, fits = len(piece), self.size, self.fits
+        longest, length = [0] * n, [0] * n
         for end, token in self.automaton.iter(piece):
-            start = end - len(self.text_of[token]) + 1
-            if start_of[start] == n or len(self.text_of[token]) > start_of[start]:
-                longest[start], start_of[start] = token, len(self.text_of[token])
-        open_at = bytearray(b"\1" * (n + 1))
+            m = size[token]
+            if m > length[end - m + 1]:
+                longest[end - m + 1], length[end - m + 1] = token, m
+        closed = bytearray(n + 1)
         out: list[int] = []
-        at, token = 0, longest[0]
+        at, token, last = 0, longest[0], -1
         while at < n:
-            last = out[-1] if out else None
             candidate: int | None = token
             while candidate is not None:
-                end = at + len(self.text_of[candidate])
-                if open_at[end] and (last is None or self.compatible(last, candidate)):
-                    break
-                candidate = self._shorter(candidate)
+                end = at + size[candidate]
+                if not closed[end]:
+                    if last < 0:
+                        break
+                    fit = fits.get((last, candidate))
+                    if self.compatible(last, candidate) if fit is None else fit:
+                        break
+                candidate = self.shorter[candidate] if candidate in self.shorter else self._shorter(candidate)
             if candidate is None:  # nothing fits behind the last token: take it back and end it earlier
-                open_at[at] = 0
+                closed[at] = 1
                 token = out.pop()
-                at -= len(self.text_of[token])
+                at -= size[token]
+                last = out[-1] if out else -1
             else:
                 out.append(candidate)
-                at = end
-                token = longest[at] if at < n else token
+                last, at = candidate, end
+                if at < n:
+                    token = longest[at]
         return out
 
     def _piece(self, piece: str) -> bytes:
         ids = self.merge_piece(piece.encode().decode("latin-1"))
         if len(self.known) >= CACHE:
             self.known.clear()
-        packed = np.array(ids, dtype="<u4").tobytes()
+        packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= 64:
             self.known[piece] = packed
         return packed
