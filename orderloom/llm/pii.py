@@ -254,7 +254,7 @@ def _tags(line: Line, spans: list[Span]) -> list[int]:
     return out
 
 
-def train(rows: list[str], steps: int = 150, rate: float = 0.15, decay: float = 0.02) -> Model:
+def train(rows: list[str], steps: int = 150, rate: float = 0.15, decay: float = 0.1) -> Model:
     """Fit the field on lines with spans written ``{kind:text}``: full-batch gradient ascent (Adam) on the log-likelihood
     with a Gaussian prior. The table is meant to be small: it is held in memory as a whole."""
     index: dict[str, int] = {}
