@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from driver import inputs
-from orderloom.plans import o2c, retail
+from orderloom.plans import o2c, receivables, retail
 
 AS_OF = dt.date(2001, 12, 31)
 LOADED_AT = dt.datetime(2002, 1, 1)
@@ -113,6 +113,10 @@ class O2C:
     def fct_invoices(self) -> DataFrame:
         return o2c.fct_invoices(self.int_invoices_enriched, self.dim_customers)
 
+    @cached_property
+    def invoice_aging(self) -> DataFrame:
+        return receivables.invoice_aging(self.fct_invoices, AS_OF)
+
     @cached_property
     def orders_with_lines(self) -> DataFrame:
         return o2c.orders_with_lines(self.stg_sales_orders, self.int_order_lines_enriched)

@@ -10,13 +10,31 @@ from __future__ import annotations
 import re
 
 from driver.inputs import O2C, RETAIL, plain
-from orderloom.functions import mapping, metrics, parsing, text
-from orderloom.operators.quality import Check
 
 AS_OF = "DATE '2001-12-31'"
 LOADED_AT = "TIMESTAMP '2002-01-01 00:00:00'"
 
 
+# --- fixed values, stated here on their own: a wrong one in the library shows ------------------------------
+STAGED_STATUS = {"COMP": "COMPLETED"}
+ORDER_STATUS = {
+    "COMP": "Completed", "COMPLETED": "Completed", "PENDING": "Pending", "CANCELLED": "Cancelled", "REFUND": "Refunded",
+    "REFUNDED": "Refunded",
+}
+SALES_CHANNEL = {"WEB": "Web", "MOBILE": "Mobile", "MOBILE APP": "Mobile"}
+COUNTRY = {"USA": "US", "UNITED STATES": "US"}
+PAYMENT_METHOD = {"WIRE TRANSFER": "WIRE_TRANSFER", "WIRE": "WIRE_TRANSFER"}
+REGIONS = {
+    "Northeast": ("CT", "ME", "MA", "NH", "NJ", "NY", "PA", "RI", "VT"),
+    "Southeast": ("AL", "AR", "DE", "DC", "FL", "GA", "KY", "LA", "MD", "MS", "NC", "OK", "SC", "TN", "TX", "VA", "WV"),
+    "Midwest": ("IL", "IN", "IA", "KS", "MI", "MN", "MO", "NE", "ND", "OH", "SD", "WI"),
+    "West": ("AK", "AZ", "CA", "CO", "HI", "ID", "MT", "NV", "NM", "OR", "UT", "WA", "WY"),
+}
+NEW_CUSTOMER_DAYS = 90
+NUMBER_WORDS = {"ONE": 1, "TWO": 2, "THREE": 3, "FOUR": 4, "FIVE": 5}
+TITLE_DELIMITERS = '!?@"^#$&~_,.:;+-*%/|\\[](){}<>'
+
+
 # --- pieces ---------------------------------------------------------------------------------------
 def code(x: str) -> str:
     return f"upper(trim({x}))"
@@ -44,7 +62,7 @@ def dec(x: str, width: int, scale: int) -> str:
 
 
 def titled(x: str) -> str:
-    marks = "".join("\\" + ch for ch in text.TITLE_DELIMITERS).replace("'", "''")
+    marks = "".join("\\" + ch for ch in TITLE_DELIMITERS).replace("'", "''")
     pieces = f"regexp_extract_all(lower(trim({x})), '[\\s{marks}]|[^\\s{marks}]+')"
     return f"CASE WHEN {x} IS NULL THEN NULL ELSE array_to_string(list_transform({pieces}, lambda w: upper(w[1]) || w[2:]), '') END"
 
@@ -54,13 +72,13 @@ def capital(x: str) -> str:
 
 
 def words_to_number(x: str) -> str:
-    arms = " ".join(f"WHEN {quote(w)} THEN {n}" for w, n in parsing.NUMBER_WORDS.items())
+    arms = " ".join(f"WHEN {quote(w)} THEN {n}" for w, n in NUMBER_WORDS.items())
     return f"CASE {code(x)} {arms} ELSE {dec(f'trim({x})', 12, 0)} END"
 
 
 def region(x: str) -> str:
     arms = " ".join(
-        f"WHEN list_contains({codes.split()!r}, {x}) THEN '{name}'" for name, codes in mapping.REGIONS.items()
+        f"WHEN list_contains({list(codes)!r}, {x}) THEN '{name}'" for name, codes in REGIONS.items()
     )
     return f"CASE {arms} ELSE 'Other' END"
 
@@ -106,7 +124,7 @@ MODELS |= {f"o2c_{name}": plain(sql) for name, sql in O2C.items()}
 MODELS["retail_stg_orders"] = f"""
     SELECT id AS order_id, cust_id AS customer_id, prod_id AS product_id,
            TRY_CAST(substr(order_dt, 1, 10) AS DATE) AS order_date,
-           {recode("stat", mapping.STAGED_STATUS, code("stat"))} AS status,
+           {recode("stat", STAGED_STATUS, code("stat"))} AS status,
            TRY_CAST(qty AS INTEGER) AS quantity, {dec("disc_pct", 9, 6)} AS discount_pct,
            {code("channel")} AS channel, promo_cd AS promo_code
     FROM retail_raw_orders WHERE id IS NOT NULL"""
@@ -124,9 +142,9 @@ MODELS["retail_stg_products"] = f"""
     FROM retail_raw_products WHERE id IS NOT NULL"""
 MODELS["retail_int_orders_enriched"] = f"""
     SELECT o.order_id, o.customer_id, product_id, o.order_date,
-           {recode("o.status", mapping.ORDER_STATUS, "'Unknown'")} AS status, o.quantity,
+           {recode("o.status", ORDER_STATUS, "'Unknown'")} AS status, o.quantity,
            p.list_price AS unit_price, ifnull(o.discount_pct, 0) AS discount_pct,
-           {recode("o.channel", mapping.SALES_CHANNEL, "'Other'")} AS channel, o.promo_code,
+           {recode("o.channel", SALES_CHANNEL, "'Other'")} AS channel, o.promo_code,
            {amounts("o.quantity", "p.list_price", "p.cost_price", "CAST(ifnull(o.discount_pct, 0) AS DECIMAL(9,6))")},
            p.product_name, p.category, p.brand
     FROM retail_stg_orders o LEFT JOIN retail_stg_products p USING (product_id)"""
@@ -134,7 +152,7 @@ MODELS["retail_dim_customers"] = f"""
     SELECT customer_id, first_name || ' ' || last_name AS full_name, first_name, last_name, email, country_code,
            registered_date AS registration_date, tier, is_marketing_opted_in,
            {days("registered_date", AS_OF)} AS days_since_signup,
-           ifnull({days("registered_date", AS_OF)} <= {metrics.NEW_CUSTOMER_DAYS}, false) AS is_new_customer
+           ifnull({days("registered_date", AS_OF)} <= {NEW_CUSTOMER_DAYS}, false) AS is_new_customer
     FROM retail_stg_customers"""
 MODELS["retail_dim_products"] = f"""
     SELECT *, round(list_price - cost_price, 2) AS gross_margin, {margin("list_price", "cost_price")} AS margin_pct
@@ -148,7 +166,7 @@ MODELS["o2c_stg_customers"] = f"""
     SELECT customer_id, {titled("company_name")} AS company_name, {titled("industry")} AS industry,
            {titled("contact_name")} AS contact_name, lower(trim(email)) AS email, {blank("phone")} AS phone,
            trim(billing_address) AS billing_address, {titled("city")} AS city, {code("state")} AS state,
-           {recode("country", mapping.COUNTRY, code("country"))} AS country, {code("payment_terms")} AS payment_terms,
+           {recode("country", COUNTRY, code("country"))} AS country, {code("payment_terms")} AS payment_terms,
            {dec("credit_limit", 12, 2)} AS credit_limit, {code("status")} AS status,
            {either_date("created_date")} AS created_date
     FROM o2c_raw_customers"""
@@ -197,7 +215,7 @@ MODELS["o2c_stg_payments"] = f"""
     WITH typed AS (
         SELECT payment_id, invoice_id, customer_id, {either_date("payment_date")} AS payment_date,
                {dec("amount", 14, 2)} AS amount,
-               {recode("payment_method", mapping.PAYMENT_METHOD, f"nullif({code('payment_method')}, '')")}
+               {recode("payment_method", PAYMENT_METHOD, f"nullif({code('payment_method')}, '')")}
                    AS payment_method,
                {blank("reference_number")} AS reference_number, {blank("bank_ref")} AS bank_ref,
                {blank("notes")} AS notes,
@@ -312,8 +330,70 @@ def flat(model: str, columns: dict[str, str]) -> str:
     return with_models(f"SELECT {shown(columns)} FROM {model}")
 
 
+# --- quarantine ------------------------------------------------------------------------------------
+def _iso(x: str) -> str:
+    return f"CAST(try_strptime({x}, '%Y-%m-%d') AS DATE)"
+
+
+_BOOLEAN = "CASE WHEN list_contains(['1', 'TRUE', '0', 'FALSE'], upper(trim({0}))) THEN true END"
+#: Of each staged table its raw table and, by output, the raw column and what reading it gives.
+READ = {
+    "retail_orders": ("retail_raw_orders", {
+        "order_date": ("order_dt", "TRY_CAST(substr(order_dt, 1, 10) AS DATE)"), "quantity": ("qty", "TRY_CAST(qty AS INTEGER)"),
+        "discount_pct": ("disc_pct", dec("disc_pct", 9, 6)),
+    }),
+    "retail_customers": ("retail_raw_customers", {
+        "registered_date": ("reg_dt", _iso("reg_dt")), "is_marketing_opted_in": ("mrktng_opt_in", _BOOLEAN.format("mrktng_opt_in")),
+    }),
+    "retail_products": ("retail_raw_products", {
+        "list_price": ("lst_price", dec("lst_price", 14, 4)), "cost_price": ("cst_price", dec("cst_price", 14, 4)),
+        "is_active": ("is_active", _BOOLEAN.format("is_active")), "launch_date": ("launch_dt", _iso("launch_dt")),
+    }),
+    "o2c_customers": ("o2c_raw_customers", {
+        "credit_limit": ("credit_limit", dec("credit_limit", 12, 2)), "created_date": ("created_date", either_date("created_date")),
+    }),
+    "o2c_products": ("o2c_raw_products", {
+        "unit_price": ("unit_price", dec("unit_price", 12, 2)), "cost_price": ("cost_price", dec("cost_price", 12, 2)),
+        "lead_time_days": ("lead_time_days", "TRY_CAST(lead_time_days AS INTEGER)"), "created_date": ("created_date", _iso("created_date")),
+    }),
+    "o2c_orders": ("o2c_raw_sales_orders", {
+        "order_date": ("order_date", either_date("order_date")),
+        "requested_ship_date": ("requested_ship_date", either_date("requested_ship_date")),
+        "order_discount_pct": ("discount_pct", dec("discount_pct", 5, 2)),
+    }),
+    "o2c_order_lines": ("o2c_raw_order_lines", {
+        "quantity": ("quantity", words_to_number("quantity")), "unit_price": ("unit_price", dec("unit_price", 12, 2)),
+        "line_discount_pct": ("line_discount_pct", dec("line_discount_pct", 5, 2)), "line_total": ("line_total", dec("line_total", 14, 2)),
+    }),
+    "o2c_shipments": ("o2c_raw_shipments", {
+        "ship_date": ("ship_date", _iso("ship_date")), "weight_lbs": ("weight_lbs", dec("weight_lbs", 8, 2)),
+    }),
+    "o2c_invoices": ("o2c_raw_invoices", {
+        "invoice_date": ("invoice_date", either_date("invoice_date")), "due_date": ("due_date", either_date("due_date")),
+        "invoice_amount": ("invoice_amount", dec("invoice_amount", 14, 2)), "tax_amount": ("tax_amount", dec("tax_amount", 14, 2)),
+        "total_amount": ("total_amount", dec("total_amount", 14, 2)), "days_overdue": ("days_overdue", "TRY_CAST(days_overdue AS INTEGER)"),
+    }),
+    "o2c_payments": ("o2c_raw_payments", {
+        "payment_date": ("payment_date", either_date("payment_date")), "amount": ("amount", dec("amount", 14, 2)),
+    }),
+}
+
+
+def rejected(name: str, key: str) -> str:
+    """Rows with text that cannot be read, and the outputs it was for."""
+    raw, read = READ[name]
+    arms = ", ".join(
+        f"CASE WHEN trim({column}) <> '' AND ({value}) IS NULL THEN {quote(output)} END"
+        for output, (column, value) in sorted(read.items())
+    )
+    kept = f"WHERE {key} IS NOT NULL" if name.startswith("retail") else ""
+    return with_models(f"""
+        SELECT {key}, rejected FROM (SELECT {key}, concat_ws(',', {arms}) AS rejected FROM {raw} {kept}) AS named
+        WHERE rejected <> ''""")
+
+
 # --- checks ---------------------------------------------------------------------------------------
-def check_rows(model: str, check: Check, parents: dict[str, str]) -> str:
+def check_rows(model: str, check, parents: dict[str, str]) -> str:
     """One report row for a check."""
     scope = f"({check.scope})" if check.scope else "true"
     c = check.column
@@ -350,5 +430,5 @@ def _literal(value) -> str:
     return f"DATE {quote(value)}" if hasattr(value, "isoformat") else str(value)
 
 
-def check_report(model: str, checks: list[Check], parents: dict[str, str]) -> str:
+def check_report(model: str, checks, parents: dict[str, str]) -> str:
     return with_models("\nUNION ALL\n".join(check_rows(model, c, parents) for c in checks))

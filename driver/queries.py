@@ -25,7 +25,7 @@ from orderloom.operators.upsert import upsert
 from orderloom.plans import build, checks, o2c, receivables, retail
 from orderloom.session import apply_scale_defaults, work_dir
 from orderloom.sources import schemas
-from orderloom.sources.readers import read_raw
+from orderloom.sources.readers import read_malformed, read_raw
 from orderloom.sources.tables import range_sort, read_history, read_table, upsert_table, write_table
 from orderloom.streaming.upserts import stream_upsert
 
@@ -78,7 +78,7 @@ for _name, _columns in schemas.O2C.items():
 
 @register("o2c_invoice_aging", oracle.flat("o2c_invoice_aging", schemas.O2C["invoice_aging"]))
 def _invoice_aging(spark, d):
-    return receivables.invoice_aging(O2C(spark, d).fct_invoices, AS_OF)
+    return O2C(spark, d).invoice_aging
 
 
 @register(
@@ -175,11 +175,12 @@ def _quantity(spark, d):
     oracle.with_models(f"""
         SELECT id, trim(first_nm) AS trimmed, {oracle.code("tier")} AS upper_text,
                lower(trim(email_addr)) AS lower_text, {oracle.capital("last_nm")} AS capitalized,
-               {oracle.blank("substr(first_nm, 1, 1)")} AS blank_or_letter, contains(upper(email_addr), '00') AS has_zeros
-        FROM retail_raw_customers WHERE email_addr IS NOT NULL"""),
+               {oracle.blank("substr(first_nm, 1, 1)")} AS blank_or_letter,
+               ifnull(contains(upper(email_addr), '00'), false) AS has_zeros
+        FROM retail_raw_customers"""),
 )
 def _text(spark, d):
-    return Retail(spark, d).raw("raw_customers").filter(F.col("email_addr").isNotNull()).select(
+    return Retail(spark, d).raw("raw_customers").select(
         "id",
         text.trimmed(F.col("first_nm")).alias("trimmed"),
         text.upper_clean(F.col("tier")).alias("upper_text"),
@@ -224,23 +225,30 @@ def _regions(spark, d):
 
 
 # --- quarantine -------------------------------------------------------------------------------------
-@register(
-    "retail_orders_rejected",
-    oracle.with_models("SELECT id, qty, 'quantity' AS rejected FROM retail_raw_orders WHERE qty = 'n/a'"),
-)
-def _orders_rejected(spark, d):
-    rejected = retail.orders_staging().rejected(Retail(spark, d).raw("raw_orders"))
-    return rejected.select("id", "qty", F.array_join("rejected_columns", ",").alias("rejected"))
+# staged table: raw table, staging, its key, the columns a reader wants to see
+_STAGINGS = {
+    "retail_orders": (Retail, "raw_orders", retail.orders_staging, "id"),
+    "retail_customers": (Retail, "raw_customers", retail.customers_staging, "id"),
+    "retail_products": (Retail, "raw_products", retail.products_staging, "id"),
+    "o2c_customers": (O2C, "raw_customers", o2c.customers_staging, "customer_id"),
+    "o2c_products": (O2C, "raw_products", o2c.products_staging, "product_id"),
+    "o2c_orders": (O2C, "raw_sales_orders", o2c.sales_orders_staging, "order_id"),
+    "o2c_order_lines": (O2C, "raw_order_lines", o2c.order_lines_staging, "line_id"),
+    "o2c_shipments": (O2C, "raw_shipments", o2c.shipments_staging, "shipment_id"),
+    "o2c_invoices": (O2C, "raw_invoices", o2c.invoices_staging, "invoice_id"),
+    "o2c_payments": (O2C, "raw_payments", o2c.payments_staging, "payment_id"),
+}
 
 
-@register(
-    "o2c_orders_rejected",
-    oracle.with_models("""
-        SELECT order_id, order_date, 'order_date' AS rejected FROM o2c_raw_sales_orders WHERE order_date = 'TBD'"""),
-)
-def _sales_orders_rejected(spark, d):
-    rejected = o2c.sales_orders_staging().rejected(O2C(spark, d).raw("raw_sales_orders"))
-    return rejected.select("order_id", "order_date", F.array_join("rejected_columns", ",").alias("rejected"))
+def _register_rejected(name: str, family, raw: str, staging, key: str) -> None:
+    @register(f"{name}_rejected", oracle.rejected(name, key))
+    def _rejected(spark, d):
+        rows = staging().rejected(family(spark, d).raw(raw))
+        return rows.select(key, F.array_join(F.array_sort("rejected_columns"), ",").alias("rejected"))
+
+
+for _name, _staging in _STAGINGS.items():
+    _register_rejected(_name, *_staging)
 
 
 # --- operators ---------------------------------------------------------------------------------------
@@ -437,7 +445,7 @@ def _version_sql() -> str:
 _HISTORY = oracle.with_models(f"""
     SELECT customer_id, tier, country_code, is_marketing_opted_in, CAST(valid_from AS VARCHAR) AS valid_from,
            CAST(valid_to AS VARCHAR) AS valid_to,
-           sha256(customer_id || '|' || CAST(epoch_us(valid_from) AS VARCHAR)) AS version_id
+           sha256(length(customer_id) || ':' || customer_id || '|' || CAST(epoch_us(valid_from) AS VARCHAR)) AS version_id
     FROM ({_version_sql()}) AS versions""")
 
 
@@ -529,7 +537,10 @@ def _where(spark, d):
     oracle.with_models("""
         SELECT 'not_null_list_price' AS "check", product_id FROM retail_stg_products WHERE list_price IS NULL
         UNION ALL SELECT 'accepted_category', product_id FROM retail_stg_products
-        WHERE category NOT IN ('APPAREL', 'FOOTWEAR', 'ACCESSORIES')"""),
+        WHERE category NOT IN ('APPAREL', 'FOOTWEAR', 'ACCESSORIES')
+        UNION ALL SELECT 'not_null_product_id', product_id FROM retail_stg_products WHERE product_id IS NULL
+        UNION ALL SELECT 'unique_product_id', product_id FROM retail_stg_products
+        GROUP BY product_id HAVING count(*) > 1"""),
 )
 def _stored(spark, d):
     suite = checks.RETAIL["stg_products"]
@@ -538,7 +549,6 @@ def _stored(spark, d):
     stored = [
         quality.read_failures(spark, c, path).select(F.lit(c.name).alias("check"), "product_id")
         for c in suite
-        if c.kind in quality.ROW_KINDS
     ]
     report = stored[0]
     for other in stored[1:]:
@@ -622,11 +632,13 @@ def _dso_rep(spark, d):
 
 def _on_time_sql(by: str) -> str:
     group = f"{by}, " if by else ""
+    per_order = f"""SELECT {group}order_id, bool_and(is_on_time_delivery) AS on_time
+        FROM o2c_orders_with_shipments WHERE ship_date IS NOT NULL GROUP BY ALL"""
     return oracle.with_models(f"""
         SELECT {group}shipped_orders, on_time_orders,
                {oracle.half_up("CAST(on_time_orders AS HUGEINT) * 10000", "CAST(shipped_orders AS HUGEINT)", 4)} AS on_time_rate
-        FROM (SELECT {group}count(*) AS shipped_orders, count(*) FILTER (WHERE is_on_time_delivery) AS on_time_orders
-              FROM o2c_orders_with_shipments WHERE ship_date IS NOT NULL GROUP BY ALL) AS counts""")
+        FROM (SELECT {group}count(*) AS shipped_orders, count(*) FILTER (WHERE on_time) AS on_time_orders
+              FROM ({per_order}) AS orders GROUP BY ALL) AS counts""")
 
 
 @register("on_time_rate", _on_time_sql(""))
@@ -658,23 +670,91 @@ def _clustered(spark, d):
     return read_table(spark, path)
 
 
-@register("stream_upsert", oracle.flat("o2c_stg_sales_orders", schemas.O2C["stg_sales_orders"]))
+_MOVED = "CAST(substr(order_id, 4) AS BIGINT) % 7 = 0"
+_STREAMED = f"""SELECT * REPLACE (CASE WHEN {_MOVED} THEN DATE '2002-01-15' ELSE order_date END AS order_date)
+    FROM o2c_stg_sales_orders"""
+
+
+@register(
+    "stream_upsert",
+    oracle.with_models(f"SELECT {oracle.shown(schemas.O2C['stg_sales_orders'])} FROM ({_STREAMED}) AS streamed"),
+)
 def _stream(spark, d):
-    """Raw orders arriving as files, streamed into the staged order table."""
-    landing, target = scratch(spark, "landing"), scratch(spark, "streamed_orders")
-    O2C(spark, d).raw("raw_sales_orders").write.parquet(landing)
-    query = stream_upsert(
-        spark,
-        landing,
-        schemas.O2C_RAW["raw_sales_orders"],
-        target,
-        ["order_id"],
-        ["order_month"],
-        scratch(spark, "stream_checkpoint"),
-        transform=lambda raw: o2c.stg_sales_orders(raw).withColumn(
-            "order_month", F.date_format("order_date", "yyyy-MM")
-        ),
-        order_by=[F.col(c) for c in schemas.O2C["stg_sales_orders"]],
-    )
-    query.awaitTermination()
+    """Raw orders arriving as files, streamed into the staged order table; a seventh of them comes again with a
+    later date, in several micro-batches, and leaves its old partition."""
+    landing, target, progress = (scratch(spark, name) for name in ("landing", "streamed_orders", "stream_checkpoint"))
+    raw = O2C(spark, d).raw("raw_sales_orders")
+    moved = raw.filter("cast(substr(order_id, 4) as bigint) % 7 = 0").withColumn("order_date", F.lit("2002-01-15"))
+    for rows, files in ((raw, 1), (moved, 3)):
+        rows.repartition(files, "order_id").write.mode("append").parquet(landing)
+        query = stream_upsert(
+            spark,
+            landing,
+            schemas.O2C_RAW["raw_sales_orders"],
+            target,
+            ["order_id"],
+            ["order_month"],
+            progress,
+            transform=lambda rows: o2c.stg_sales_orders(rows).withColumn(
+                "order_month", F.date_format("order_date", "yyyy-MM")
+            ),
+            order_by=[F.col(c) for c in schemas.O2C["stg_sales_orders"]],
+            max_files_per_trigger=2,
+        )
+        query.awaitTermination()
     return read_table(spark, target).drop("order_month")
+
+
+# --- stored tables: harder cases ----------------------------------------------------------------------
+def _order_columns(spark, d) -> DataFrame:
+    return O2C(spark, d).stg_sales_orders.select("order_id", "customer_id", "order_date", "order_status")
+
+
+@register("upsert_unpartitioned", _UPSERTED)
+def _upsert_unpartitioned(spark, d):
+    """A table without partitions keeps the rows that the batch does not replace."""
+    orders, path = _order_columns(spark, d), scratch(spark, "orders_whole")
+    upsert_table(orders, path, ["order_id"])
+    return upsert_table(_order_changes(orders), path, ["order_id"])
+
+
+@register("upsert_replayed", _UPSERTED)
+def _upsert_replayed(spark, d):
+    """One batch applied twice, to a table partitioned by a column whose name starts with an underscore."""
+    orders, path = _order_columns(spark, d), scratch(spark, "orders_replayed")
+    month = F.date_format("order_date", "yyyy-MM")
+    upsert_table(orders.withColumn("_month", month), path, ["order_id"], ["_month"])
+    for _ in range(2):
+        upsert_table(_order_changes(orders).withColumn("_month", month), path, ["order_id"], ["_month"])
+    return read_table(spark, path).drop("_month")
+
+
+@register(
+    "table_by_postal_code",
+    oracle.with_models("SELECT shipment_id, trim(ship_to_zip) AS ship_to_zip FROM o2c_raw_shipments"),
+)
+def _by_postal_code(spark, d):
+    """Postal codes as partition values keep their leading zero."""
+    path = scratch(spark, "shipments_by_zip")
+    write_table(O2C(spark, d).stg_shipments.select("shipment_id", "ship_to_zip"), path, ["ship_to_zip"])
+    return read_table(spark, path)
+
+
+@register(
+    "csv_malformed",
+    oracle.with_models("""
+        SELECT shipment_id || CASE WHEN CAST(substr(shipment_id, 6) AS BIGINT) % 2 = 0 THEN ',too,many,fields' ELSE ',few' END
+               AS line
+        FROM o2c_raw_shipments WHERE CAST(substr(shipment_id, 6) AS BIGINT) % 5 < 2"""),
+)
+def _malformed(spark, d):
+    """Two fifths of the lines have too many or too few fields for the header; none is lost or cut."""
+    path = scratch(spark, "malformed")
+    number = F.substring("shipment_id", 6, 18).cast("bigint")
+    line = F.concat(
+        "shipment_id", F.when(number % 5 >= 2, ",b,c").when(number % 2 == 0, ",too,many,fields").otherwise(",few")
+    )
+    lines = O2C(spark, d).raw("raw_shipments").select(line.alias("shipment_id,b,c"))
+    lines.write.option("header", True).option("sep", "\t").csv(path)  # no tab anywhere: lines as they are
+    return read_malformed(spark, path).select("line")
+

@@ -27,10 +27,10 @@ SALES_ORDER_STATUS = {"ON HOLD": "ON_HOLD"}
 PAYMENT_METHOD = {"WIRE TRANSFER": "WIRE_TRANSFER", "WIRE": "WIRE_TRANSFER"}
 FREIGHT_CARRIERS = ("FEDEX FREIGHT", "FEDEX FREIGHT INC")
 REGIONS = {
-    "Northeast": "CT ME MA NH NJ NY PA RI VT",
-    "Southeast": "AL AR DE DC FL GA KY LA MD MS NC OK SC TN TX VA WV",
-    "Midwest": "IL IN IA KS MI MN MO NE ND OH SD WI",
-    "West": "AK AZ CA CO HI ID MT NV NM OR UT WA WY",
+    "Northeast": ("CT", "ME", "MA", "NH", "NJ", "NY", "PA", "RI", "VT"),
+    "Southeast": ("AL", "AR", "DE", "DC", "FL", "GA", "KY", "LA", "MD", "MS", "NC", "OK", "SC", "TN", "TX", "VA", "WV"),
+    "Midwest": ("IL", "IN", "IA", "KS", "MI", "MN", "MO", "NE", "ND", "OH", "SD", "WI"),
+    "West": ("AK", "AZ", "CA", "CO", "HI", "ID", "MT", "NV", "NM", "OR", "UT", "WA", "WY"),
 }
 REGION_DEFAULT = "Other"
 # ------------------------------------------------------------------------------------------------
@@ -74,7 +74,7 @@ def carrier_of(c: Column) -> Column:
 
 def region_of(state: Column) -> Column:
     """Sales region of a two-letter state code."""
-    rules = [(state.isin(*codes.split()), F.lit(name)) for name, codes in REGIONS.items()]
+    rules = [(state.isin(*codes), F.lit(name)) for name, codes in REGIONS.items()]
     return map_rules(rules, REGION_DEFAULT)
 
 

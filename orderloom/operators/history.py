@@ -14,9 +14,11 @@ VALIDITY = ("valid_from", "valid_to", "version_id")
 
 
 def version_id(keys: Sequence[str | Column], valid_from: Column) -> Column:
-    """Stable id of a version: hash of the key and the start in microseconds (no time zone in it)."""
+    """Stable id of a version: hash of the key columns, told apart and nulls included, and the start in
+    microseconds (no time zone in it)."""
     parts = [(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]
-    return F.sha2(F.concat_ws("|", *parts, F.unix_micros(valid_from).cast("string")), 256)
+    told_apart = [F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts]
+    return F.sha2(F.concat_ws("|", *told_apart, F.unix_micros(valid_from).cast("string")), 256)
 
 
 def scd2_start(current: DataFrame, keys: Sequence[str], now: dt.datetime | Column) -> DataFrame:

@@ -18,17 +18,21 @@ def high_water_mark(target: DataFrame, column: str):
     return target.agg(F.max(column)).first()[0]
 
 
-def newer_than(df: DataFrame, column: str, mark, *, inclusive: bool = False, lookback_days: int = 0) -> DataFrame:
+def newer_than(
+    df: DataFrame, column: str, mark, *, inclusive: bool = False, lookback_days: int = 0, undated: bool = False
+) -> DataFrame:
     """Rows past ``mark``; all rows if there is no mark.
 
     The mark is a literal, so the filter reaches the scan (partition pruning, row-group skipping).
     ``inclusive`` picks up late rows of the marked day, ``lookback_days`` re-reads changed older
-    ones; both are safe in front of an upsert by key.
+    ones, ``undated`` keeps rows without a value, which no mark can tell from new ones; all are
+    safe in front of an upsert by key.
     """
     if mark is None:
         return df
     start = mark - dt.timedelta(days=lookback_days) if lookback_days else mark
-    return df.filter(F.col(column) >= F.lit(start) if inclusive else F.col(column) > F.lit(start))
+    new = F.col(column) >= F.lit(start) if inclusive else F.col(column) > F.lit(start)
+    return df.filter(new | F.col(column).isNull() if undated else new)
 
 
 def incremental_filter(df: DataFrame, column: str, target: DataFrame | None, **options) -> DataFrame:

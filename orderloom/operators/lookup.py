@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of the lookup side that may be broadcast for isolated keys; counted before the broadcast.
-MAX_BROADCAST_ROWS = 100_000
 EPOCH = "1970-01-01"
 
 
@@ -33,20 +31,24 @@ def left_lookup(
     *,
     unique: bool = False,
     isolate_share: float | None = None,
+    broadcast_bytes: int = 64 << 20,
+    salts: int = 64,
 ) -> DataFrame:
     """All rows of ``left`` with ``columns`` of the row of ``right`` that has the same key.
 
     No broadcast hint: Spark broadcasts ``right`` only where its size, estimated or measured at run
     time, is under the session's threshold, and otherwise sort-merges, splitting skewed partitions
     of ``left``. With ``isolate_share`` the keys holding at least that share of ``left`` are found
-    first and joined without a shuffle of their rows (see ``_isolated_lookup``).
+    first. Their rows are joined without a shuffle as long as the lookup rows of these keys, measured
+    as text, stay under ``broadcast_bytes``; beyond that each hot key is dealt out over ``salts``
+    tasks and its lookup rows are repeated that often.
     """
     side = right if columns is None else right.select(on, *columns)
     if unique:
         assert_unique(side, [on])
     if isolate_share is None:
         return left.join(side, on, "left")
-    return _isolated_lookup(left, side, on, isolate_share)
+    return _isolated_lookup(left, side, on, isolate_share, broadcast_bytes, salts)
 
 
 def frequent_keys(df: DataFrame, key: str, share: float) -> list:
@@ -59,22 +61,25 @@ def frequent_keys(df: DataFrame, key: str, share: float) -> list:
     return [value for value in found if value is not None]
 
 
-def _isolated_lookup(left: DataFrame, side: DataFrame, on: str, share: float) -> DataFrame:
-    """Rows with a frequent or null key take the broadcast path, all others the shuffle.
-
-    The broadcast holds the lookup rows of at most ``1 / share`` keys; its rows are counted first
-    and a side that is too long goes through the ordinary join.
-    """
+def _isolated_lookup(
+    left: DataFrame, side: DataFrame, on: str, share: float, broadcast_bytes: int, salts: int
+) -> DataFrame:
+    """Rows with a frequent key apart from all others; rows with a null key go with them."""
     hot = frequent_keys(left, on, share)
     if not hot:
         return left.join(side, on, "left")
     hot_side = side.filter(F.col(on).isin(hot))
-    if hot_side.limit(MAX_BROADCAST_ROWS + 1).count() > MAX_BROADCAST_ROWS:
-        return left.join(side, on, "left")
     is_hot = F.coalesce(F.col(on).isin(hot), F.lit(True))
-    in_place = left.filter(is_hot).join(F.broadcast(hot_side), on, "left")
+    hot_rows = left.filter(is_hot)
+    size = hot_side.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    if size <= broadcast_bytes:
+        joined = hot_rows.join(F.broadcast(hot_side), on, "left")
+    else:
+        salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+        repeated = hot_side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        joined = hot_rows.withColumn("_salt", salt).join(repeated, [on, "_salt"], "left").drop("_salt")
     shuffled = left.filter(~is_hot).join(side, on, "left")
-    return in_place.unionByName(shuffled)
+    return joined.unionByName(shuffled)
 
 
 def as_of_join(

@@ -5,16 +5,21 @@ A null value passes every check but ``not_null``. ``where`` restricts a check to
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 from operator import or_
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from orderloom.operators.lookup import orphans
+from orderloom.sources.folders import Folder
+
+ROWS_SCHEMA = "_schema"
 
 
 @dataclass(frozen=True)
@@ -31,9 +36,22 @@ class Check:
 
     @property
     def name(self) -> str:
-        """``kind_column``, with the parent for relationships: a column may have several."""
-        parent = f"_{self.args[0]}" if self.kind == "relationships" else ""
-        return f"{self.kind}_{self.column}{parent}"
+        """``kind_column``, with what else tells checks of one kind on one column apart: the parent, the
+        bounds, and pattern and scope as digests."""
+        parts = [self.kind, self.column]
+        if self.kind == "relationships":
+            parts.append(str(self.args[0]))
+        elif self.kind == "between":
+            parts += ["any" if v is None else str(v) for v in self.args]
+        elif self.kind == "matches":
+            parts.append(_digest(self.args[0]))
+        if self.scope is not None:
+            parts += ["where", _digest(self.scope)]
+        return "_".join(parts)
+
+
+def _digest(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()[:8]
 
 
 def unique(column: str) -> Check:
@@ -191,14 +209,38 @@ def store_failures(
         bad = df.filter(reduce(or_, [row_fails(c) for c in by_row]))
         rows = bad.withColumn("check", F.explode(broken))
         rows.write.mode("overwrite").partitionBy("check").parquet(f"{path}/rows")
+        Folder(df.sparkSession, f"{path}/rows").write_json(ROWS_SCHEMA, rows.schema.jsonValue())
     for check in checks:
         if check.kind not in ROW_KINDS:
             failing(df, check, parents).write.mode("overwrite").parquet(f"{path}/{check.name}")
     return [c.name for c in checks]
 
 
-def read_failures(spark, check: Check, path: str) -> DataFrame:
-    """Stored failures of one check."""
+def read_failures(spark: SparkSession, check: Check, path: str) -> DataFrame:
+    """Stored failures of one check; none if it passed."""
     if check.kind in ROW_KINDS:
-        return spark.read.parquet(f"{path}/rows").filter(F.col("check") == check.name).drop("check")
+        return _stored_rows(spark, path).filter(F.col("check") == check.name).drop("check")
     return spark.read.parquet(f"{path}/{check.name}")
+
+
+def _stored_rows(spark: SparkSession, path: str) -> DataFrame:
+    schema = StructType.fromJson(Folder(spark, f"{path}/rows").read_json(ROWS_SCHEMA))
+    return spark.read.schema(schema).parquet(f"{path}/rows")
+
+
+def stored_report(spark: SparkSession, checks: Sequence[Check], path: str) -> DataFrame:
+    """The report of ``run_checks`` from what ``store_failures`` has written, without another look at the data."""
+    found = None
+    if any(c.kind in ROW_KINDS for c in checks):
+        found = _stored_rows(spark, path).groupBy("check").agg(F.count("*").alias("failures"))
+    for check in checks:
+        if check.kind not in ROW_KINDS:
+            part = read_failures(spark, check, path).agg(F.count("*").alias("failures"))
+            part = part.select(F.lit(check.name).alias("check"), "failures")
+            found = part if found is None else found.unionByName(part)
+    names = F.array(*[F.struct(F.lit(c.name).alias("check"), F.lit(c.column).alias("column")) for c in checks])
+    declared = spark.range(1).select(F.inline(names))
+    failures = F.coalesce("failures", F.lit(0).cast("bigint"))
+    return declared.join(found, "check", "left").select(
+        "check", "column", failures.alias("failures"), (failures == 0).alias("passed")
+    )

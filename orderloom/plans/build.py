@@ -1,7 +1,7 @@
 """Whole builds: raw inputs to stored marts, checked.
 
-Dimensions are stored first and facts read the stored ones. Staging and enriched datasets are views:
-they are part of the plans of what is stored.
+Staged tables and dimensions are stored first and facts read the stored ones, so raw inputs are parsed once.
+Enriched datasets are views: they are part of the plans of what is stored.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.metrics import AsOf
 from orderloom.operators import quality
-from orderloom.plans import checks, o2c, retail
+from orderloom.operators.staging import Staging
+from orderloom.plans import checks, o2c, receivables, retail
 from orderloom.sources.readers import read_raw
 from orderloom.sources.tables import range_sort, write_table
 
@@ -27,16 +28,11 @@ def read_all(spark: SparkSession, folder: str, schemas: Mapping) -> dict[str, Da
 def build_o2c(
     raw: Mapping[str, DataFrame], out: str, as_of: AsOf = None, store_failures: bool = True
 ) -> DataFrame:
-    """Store the order-to-cash marts under ``out``; returns the report of all declared checks."""
-    data = {
-        "stg_customers": o2c.stg_customers(raw["raw_customers"]),
-        "stg_products": o2c.stg_products(raw["raw_products"]),
-        "stg_sales_orders": o2c.stg_sales_orders(raw["raw_sales_orders"]),
-        "stg_order_lines": o2c.stg_order_lines(raw["raw_order_lines"]),
-        "stg_shipments": o2c.stg_shipments(raw["raw_shipments"]),
-        "stg_invoices": o2c.stg_invoices(raw["raw_invoices"]),
-        "stg_payments": o2c.stg_payments(raw["raw_payments"]),
-    }
+    """Store staged tables, order-to-cash marts and the aging of open invoices under ``out``; returns the report of all
+    declared checks. Raw rows with unreadable text go to ``out/rejected``."""
+    data = stage_all(O2C_STAGING, raw, out)
+    data["stg_payments"] = write_table(o2c.stg_payments(raw["raw_payments"]), f"{out}/stg_payments")
+    store_rejected("stg_payments", o2c.payments_staging(), raw["raw_payments"], out)
     orders = data["stg_sales_orders"]
     data["dim_customers"] = write_table(
         o2c.dim_customers(data["stg_customers"], orders, as_of), f"{out}/dim_customers"
@@ -49,12 +45,45 @@ def build_o2c(
         f"{out}/fct_order_lines",
     )
     invoices = o2c.int_invoices_enriched(data["stg_invoices"], orders, data["stg_payments"], as_of)
+    by_date = range_sort("invoice_date")
     data["fct_invoices"] = write_table(
-        o2c.fct_invoices(invoices, data["dim_customers"]), f"{out}/fct_invoices", layout=range_sort("invoice_date")
+        o2c.fct_invoices(invoices, data["dim_customers"]), f"{out}/fct_invoices", layout=by_date
+    )
+    data["fct_invoice_aging"] = write_table(
+        receivables.invoice_aging(data["fct_invoices"], as_of), f"{out}/fct_invoice_aging", layout=by_date
     )
     return check_all(data, checks.O2C, f"{out}/test_failures" if store_failures else None)
 
 
+O2C_STAGING = {
+    "stg_customers": ("raw_customers", o2c.customers_staging),
+    "stg_products": ("raw_products", o2c.products_staging),
+    "stg_sales_orders": ("raw_sales_orders", o2c.sales_orders_staging),
+    "stg_order_lines": ("raw_order_lines", o2c.order_lines_staging),
+    "stg_shipments": ("raw_shipments", o2c.shipments_staging),
+    "stg_invoices": ("raw_invoices", o2c.invoices_staging),
+}
+RETAIL_STAGING = {
+    "stg_orders": ("raw_orders", retail.orders_staging),
+    "stg_customers": ("raw_customers", retail.customers_staging),
+    "stg_products": ("raw_products", retail.products_staging),
+}
+
+
+def stage_all(stagings: Mapping, raw: Mapping[str, DataFrame], out: str) -> dict[str, DataFrame]:
+    """Store every staged table, and beside it the raw rows with unreadable text."""
+    data = {}
+    for name, (source, make) in stagings.items():
+        staging = make()
+        data[name] = write_table(staging.rows(raw[source]), f"{out}/{name}")
+        store_rejected(name, staging, raw[source], out)
+    return data
+
+
+def store_rejected(name: str, staging: Staging, raw: DataFrame, out: str) -> None:
+    staging.rejected(raw).write.mode("overwrite").parquet(f"{out}/rejected/{name}")
+
+
 def build_retail(
     raw: Mapping[str, DataFrame],
     out: str,
@@ -63,13 +92,9 @@ def build_retail(
     store_failures: bool = True,
     **load_options,
 ) -> DataFrame:
-    """Store the retail marts under ``out``: dimensions anew, the order fact incrementally, customer
+    """Store staged tables and the retail marts under ``out``: dimensions anew, the order fact incrementally, customer
     history with a snapshot at ``now``. Returns the report of all declared checks."""
-    data = {
-        "stg_orders": retail.stg_orders(raw["raw_orders"]),
-        "stg_customers": retail.stg_customers(raw["raw_customers"]),
-        "stg_products": retail.stg_products(raw["raw_products"]),
-    }
+    data = stage_all(RETAIL_STAGING, raw, out)
     data["int_orders_enriched"] = retail.int_orders_enriched(data["stg_orders"], data["stg_products"])
     data["dim_customers"] = write_table(
         retail.dim_customers(data["stg_customers"], as_of), f"{out}/dim_customers"
@@ -85,11 +110,16 @@ def build_retail(
 def check_all(
     data: Mapping[str, DataFrame], suites: Mapping[str, list[quality.Check]], failures: str | None = None
 ) -> DataFrame:
-    """One report over all suites, with a ``dataset`` column; failing rows go under ``failures``."""
+    """One report over all suites, with a ``dataset`` column. Failing rows go under ``failures``, and the report is then
+    counted from them, so that no table is looked at a second time."""
     report = None
     for dataset, suite in suites.items():
-        if failures is not None:
-            quality.store_failures(data[dataset], suite, f"{failures}/{dataset}", data)
-        part = quality.run_checks(data[dataset], suite, data).select(F.lit(dataset).alias("dataset"), "*")
+        if failures is None:
+            part = quality.run_checks(data[dataset], suite, data)
+        else:
+            at = f"{failures}/{dataset}"
+            quality.store_failures(data[dataset], suite, at, data)
+            part = quality.stored_report(data[dataset].sparkSession, suite, at)
+        part = part.select(F.lit(dataset).alias("dataset"), "*")
         report = part if report is None else report.unionByName(part)
     return report

@@ -23,6 +23,7 @@ SHIPMENT_STATUSES = ("DELIVERED", "IN TRANSIT", "PENDING")
 REGION_NAMES = ("Northeast", "Southeast", "Midwest", "West", "Other")
 MAX_ORDER_REVENUE = 10000
 MAX_LINE_REVENUE = 500000
+AGING_NAMES = ("Current", "1-30 days overdue", "31-60 days overdue", "60+ days overdue", "No due date")
 ORDER_DATES = (dt.date(2020, 1, 1), dt.date(2030, 1, 1))
 
 
@@ -115,4 +116,6 @@ DOCUMENTED_O2C: dict[str, list[Check]] = {
     "stg_invoices": [relationships("order_id", "stg_sales_orders", "order_id")],
     "fct_order_lines": [between("quantity", 1, None), between("line_discount_pct", 0, 100)],
     "fct_invoices": [between("invoice_amount", 0.01, None)],
+    "invoice_aging": [accepted("aging_bucket", AGING_NAMES)],
+    "dim_customers": [not_null("company_name"), not_null("state"), not_null("payment_terms")],
 }

@@ -238,12 +238,13 @@ def int_order_lines_enriched(
     *,
     unique_shipments: bool = False,
 ) -> DataFrame:
-    """Lines with order, shipment and cost. Orders and shipments join on the same key, so the lines
-    are shuffled once for both. An order with several shipments repeats its lines, as a left join
+    """Lines with order, shipment and cost. The product comes first, while lines are narrow; orders
+    and shipments join on the same key, so the lines are shuffled once for both and come out
+    partitioned by order, as the order rollup needs them. An order with several shipments repeats its lines, as a left join
     does; ``unique_shipments`` checks beforehand that there is none."""
-    joined = left_lookup(lines.drop("notes"), orders.drop("notes"), "order_id")
+    joined = left_lookup(lines.drop("notes"), products, "product_id", ["cost_price"])
+    joined = left_lookup(joined, orders.drop("notes"), "order_id")
     joined = left_lookup(joined, _shipment_side(shipments), "order_id", unique=unique_shipments)
-    joined = left_lookup(joined, products, "product_id", ["cost_price"])
     computed = _line_metrics()
     return joined.select(*[computed[c].alias(c) if c in computed else c for c in schemas.O2C["int_order_lines_enriched"]])
 
@@ -312,9 +313,7 @@ PRODUCT_ATTRIBUTES = ("product_name", "category", "sku", "unit_of_measure", "gro
 def fct_order_lines(lines: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """Enriched lines with customer and product attributes; both sides are the dimensions.
 
-    Products come first: enrichment ended with a join on the product, so lines need not move again
-    for this one. ``build_fct_order_lines`` moves them even less, if the enriched lines themselves
-    are not needed."""
+    ``build_fct_order_lines`` moves lines less, if the enriched lines themselves are not needed."""
     joined = left_lookup(lines, products, "product_id", PRODUCT_ATTRIBUTES)
     joined = left_lookup(joined, _customer_side(customers), "customer_id")
     return _order_line_fact(joined)
@@ -327,13 +326,14 @@ def build_fct_order_lines(
 
     Same rows as ``fct_order_lines`` over ``int_order_lines_enriched``, with less movement of the
     largest input: customers are attached to orders, which are several times fewer than lines, and
-    products are joined once for both cost and attributes. Lines are shuffled by order and by
-    product, and by the latter only if products are too large to broadcast.
+    products are joined once for both cost and attributes. Lines are shuffled by product while they
+    are narrow (only if products are too large to broadcast), then once by order for both orders and
+    shipments.
     """
     known_orders = left_lookup(orders.drop("notes"), _customer_side(customers), "customer_id")
-    joined = left_lookup(lines.drop("notes"), known_orders, "order_id")
+    joined = left_lookup(lines.drop("notes"), products, "product_id", ["cost_price", *PRODUCT_ATTRIBUTES])
+    joined = left_lookup(joined, known_orders, "order_id")
     joined = left_lookup(joined, _shipment_side(shipments), "order_id")
-    joined = left_lookup(joined, products, "product_id", ["cost_price", *PRODUCT_ATTRIBUTES])
     return _order_line_fact(joined.select("*", *[v.alias(n) for n, v in _line_metrics().items()]))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions import mapping, metrics, parsing, text
@@ -173,19 +173,28 @@ def load_fct_orders(
     inclusive: bool = False,
     lookback_days: int = 0,
     loaded_at: dt.datetime | None = None,
+    old_rows_in: Column | str | None = None,
 ) -> DataFrame:
     """Incremental load of the order fact, stored in one partition per ``period`` of order dates:
     days for volumes of gigabytes a day, months or years below that.
 
+    Orders without a date are part of every load: no mark can tell whether they are new. ``old_rows_in`` is a
+    condition on the stored fact, usually on its period, that says where earlier rows of the same
+    orders may be; without it all periods are searched (order ids and periods only).
+
     Of several rows with one order id in a batch the latest order date wins, then the larger of the
     remaining values in column order.
     """
     mark = None if full_refresh else loaded_until(enriched.sparkSession, path)
-    new = newer_than(enriched, "order_date", mark, inclusive=inclusive, lookback_days=lookback_days)
+    new = newer_than(
+        enriched, "order_date", mark, inclusive=inclusive, lookback_days=lookback_days, undated=True
+    )
     facts = fct_orders(new, customers, loaded_at)
     facts = facts.withColumn(PERIOD, F.date_format("order_date", PERIOD_FORMATS[period]))
     order = [F.col("order_date").desc(), *[F.col(c).desc() for c in enriched.columns if c != "order_date"]]
-    stored = upsert_table(facts, path, ["order_id"], [PERIOD], order_by=order, full_refresh=full_refresh)
+    stored = upsert_table(
+        facts, path, ["order_id"], [PERIOD], order_by=order, old_rows_in=old_rows_in, full_refresh=full_refresh
+    )
     return stored.drop(PERIOD)
 
 

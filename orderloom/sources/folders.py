@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 
 class Folder:
-    """Existence, size, listing, delete and rename through Hadoop's file system client."""
+    """Existence, listing, delete and rename through Hadoop's file system client."""
 
     def __init__(self, spark: SparkSession, path: str):
         self._jvm = spark._jvm
@@ -21,17 +21,13 @@ class Folder:
     def exists(self, child: str = "") -> bool:
         return self._fs.exists(self._at(child))
 
-    def size(self) -> int:
-        """Bytes of all files below, or of the file itself."""
-        return self._fs.getContentSummary(self._at()).getLength()
-
     def folders(self, child: str = "") -> list[str]:
-        """Names of visible sub-folders."""
+        """Names of visible sub-folders; like Spark, ``_x=1`` is a partition and no hidden folder."""
         if not self.exists(child):
             return []
         entries = self._fs.listStatus(self._at(child))
         names = [e.getPath().getName() for e in entries if e.isDirectory()]
-        return sorted(n for n in names if not n.startswith(("_", ".")))
+        return sorted(n for n in names if "=" in n or not n.startswith(("_", ".")))
 
     def delete(self, child: str = "") -> None:
         self._fs.delete(self._at(child), True)

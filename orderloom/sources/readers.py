@@ -2,32 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from orderloom.sources.folders import Folder
+CORRUPT = "_corrupt"
 
-# An input is dealt out to all cores between these sizes: below, a scan is over before a shuffle would
-# have started; above, it has several splits anyway (128 MB is Spark's split size).
-WORTH_SPREADING = 1 << 20
-ONE_SPLIT = 128 << 20
 
-
-def read_raw(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_raw(spark: SparkSession, path: str, schema: StructType, *, multi_line: bool = False) -> DataFrame:
     """CSV with a header row, columns taken by name and cast to ``schema``. Empty fields are null.
 
-    The header of the first file sets the order; every other file is checked against it, so a file
-    with moved columns fails instead of filling the wrong ones.
+    The header of the first file sets the order; every other file is checked against it, so a file with moved columns fails
+    instead of filling the wrong ones. Rows with more or fewer fields than the header are not here but in
+    ``read_malformed``. ``multi_line`` allows line breaks inside quotes; a file is then read by one task.
     """
-    named = (
-        spark.read.option("header", True)
+    rows, columns = _named(spark, path, multi_line)
+    good = rows.filter(~_is_corrupt(columns))
+    return good.select(*[F.col(columns[f.name]).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def read_malformed(spark: SparkSession, path: str, *, multi_line: bool = False) -> DataFrame:
+    """``line`` and ``file`` of the rows that ``read_raw`` leaves out."""
+    rows, columns = _named(spark, path, multi_line)
+    bad = rows.filter(_is_corrupt(columns))
+    return bad.select(F.col(CORRUPT).alias("line"), F.col("_metadata.file_path").alias("file"))
+
+
+def _is_corrupt(columns: dict[str, str]) -> Column:
+    """Not as a null test, which the scan would answer before it has parsed the line; and with nothing of the first
+    column added, because Spark wants another column to be read besides."""
+    nothing = F.left(F.coalesce(F.col(f"`{next(iter(columns))}`"), F.lit("")), F.lit(0))
+    return F.concat(F.coalesce(F.col(CORRUPT), F.lit("")), nothing) != ""
+
+
+def _named(spark: SparkSession, path: str, multi_line: bool) -> tuple[DataFrame, dict[str, str]]:
+    """All rows as text with the malformed line beside them, and the column of each header name."""
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    header = reader.csv(path).schema
+    text = StructType([*header, StructField(CORRUPT, StringType())])
+    rows = (
+        spark.read.schema(text)
+        .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("columnPruning", False)  # fields are only counted where all are parsed
         .option("escape", '"')
+        .option("multiLine", multi_line)
         .csv(path)
     )
-    return named.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+    return rows, {f.name: f.name for f in header}
 
 
 def source(
@@ -38,15 +62,4 @@ def source(
     if root is None:
         return spark.table(name)
     path = f"{root.rstrip('/')}/{name}.parquet"
-    return spread((spark.read if schema is None else spark.read.schema(schema)).parquet(path), path)
-
-
-def spread(df: DataFrame, path: str) -> DataFrame:
-    """Use all cores on an input that would be one task.
-
-    Row-heavy work on a single small file runs on one core, however many there are. Inputs of at most
-    one split are dealt out to all cores; that bounds the shuffle. Larger inputs stay as they are.
-    """
-    size = Folder(df.sparkSession, path).size()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if WORTH_SPREADING <= size <= ONE_SPLIT else df
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)

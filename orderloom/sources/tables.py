@@ -18,11 +18,12 @@ from pyspark.sql.types import StructType
 from orderloom.operators.dedupe import dedupe_first
 from orderloom.operators.history import VALIDITY, scd2_changes, scd2_start
 from orderloom.operators.incremental import assert_schema
-from orderloom.operators.upsert import upsert
+from orderloom.operators.upsert import match_keys, upsert
 from orderloom.sources.folders import Folder
 
 Layout = Callable[[DataFrame], DataFrame]
 STAGED = "_staged"
+SCHEMA = "_schema"
 OPEN_SEGMENT = "open"
 
 
@@ -75,12 +76,22 @@ def write_table(
     number = int(versions[-1][2:]) + 1 if versions else 1
     rows = (layout or (balanced(*partition_by) if partition_by else lambda d: d))(df)
     target = f"{path.rstrip('/')}/v_{number:06d}"
-    rows.write.partitionBy(*partition_by).parquet(target)
+    Folder(spark, target).write_json(SCHEMA, df.schema.jsonValue())
+    rows.write.mode("append").partitionBy(*partition_by).parquet(target)
     return spark.read.schema(df.schema).parquet(target)
 
 
+def _read_version(spark: SparkSession, version: str, schema: StructType | None = None) -> DataFrame:
+    """A version in the given schema, else in the one it was written with: folder names alone would turn
+    ``02109`` into a number."""
+    folder = Folder(spark, version)
+    if schema is None and folder.exists(SCHEMA):
+        schema = StructType.fromJson(folder.read_json(SCHEMA))
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(version)
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Newest complete version. ``schema`` fixes types that partition folders only suggest.
+    """Newest complete version, in the schema it was written with unless another is given.
 
     Reading changes nothing: where a writer was lost between deciding on a swap and finishing it, the
     partitions still waiting beside the table are read in place of the old ones.
@@ -89,7 +100,7 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     if version is None:
         raise FileNotFoundError(f"no complete version under {path}")
     table, staged = Folder(spark, version), Folder(spark, f"{version}/{STAGED}")
-    plain = (spark.read if schema is None else spark.read.schema(schema)).parquet(version)
+    plain = _read_version(spark, version, schema)
     if not staged.exists("_ready"):
         return plain
     plan = staged.read_json("_ready")
@@ -114,13 +125,12 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str
 
 
 # --- replacing some partitions --------------------------------------------------------------------
-def partition_folder(column: str, value) -> str:
-    """``column=value`` as Spark names it."""
+def partition_folder(column: str, value: str | None) -> str:
+    """``column=value`` as Spark names it; ``value`` is text that Spark has made of it (``cast("string")``)."""
     if value is None or value == "":
         return f"{column}=__HIVE_DEFAULT_PARTITION__"
     special = set("\"#%'*/:=?\\{[]^\x7f") | {chr(i) for i in range(1, 32)}
-    text = str(value).lower() if isinstance(value, bool) else str(value)
-    return column + "=" + "".join(f"%{ord(ch):02X}" if ch in special else ch for ch in text)
+    return column + "=" + "".join(f"%{ord(ch):02X}" if ch in special else ch for ch in value)
 
 
 def replace_partitions(
@@ -162,7 +172,6 @@ def _leaves(folder: Folder, depth: int, at: str = "") -> list[str]:
         return [at]
     found = []
     for name in folder.folders(at):
-        # a partition folder of one null value starts with neither _ nor ., so none is hidden
         found += _leaves(folder, depth - 1, f"{at}/{name}" if at else name)
     return found
 
@@ -172,60 +181,55 @@ def upsert_table(
     batch: DataFrame,
     path: str,
     keys: Sequence[str],
-    partition_by: Sequence[str],
+    partition_by: Sequence[str] = (),
     *,
     order_by: Sequence[str | Column] | None = None,
     old_rows_in: Column | str | None = None,
     full_refresh: bool = False,
 ) -> DataFrame:
-    """Upsert ``batch`` into a partitioned table, rewriting only the partitions it touches.
+    """Upsert ``batch`` into a table, rewriting only the partitions it touches; all of a table without any.
 
     Touched are the partitions of the batch and those holding older rows of its keys: a row whose
     partition value changed must leave its old place. The search for older rows reads keys and
-    partition values only; ``old_rows_in`` may bound it where the caller knows how far back changes
-    reach. A first load or ``full_refresh`` writes the whole table.
+    partition values only; ``old_rows_in`` bounds it where the caller knows how far back changes
+    reach: rows outside it are neither looked for nor replaced. The list of touched partitions (one short text each)
+    comes to the driver, which swaps them; choose partitions of a size that a load touches thousands of them
+    at most. A null key is a key like any other. A first load or ``full_refresh`` writes the whole table.
     """
     spark = batch.sparkSession
     version = None if full_refresh else current_version(spark, path)
     fresh = batch if order_by is None else dedupe_first(batch, keys, order_by)
-    if version is not None:
-        finish_replacing(spark, version)
-    if version is None or not Folder(spark, version).folders():
+    if version is None:
         return write_table(fresh, path, partition_by)
-    stored = spark.read.parquet(version)
-    # the types of partition columns are only guessed from folder names
+    finish_replacing(spark, version)
+    stored = _read_version(spark, version)
+    # without a stored schema the types of partition columns are only guessed from folder names
     assert_schema(_without(stored.schema, partition_by), _without(batch.schema, partition_by))
+    if not partition_by:
+        return write_table(upsert(stored, fresh, keys), path)
 
     # Read three times below: written once, so that a load time or a source that moves on cannot
     # make the three reads differ.
     scratch = f"{version}/_batch"
     fresh.write.mode("overwrite").parquet(scratch)
     fresh = spark.read.schema(batch.schema).parquet(scratch)
-    stored = spark.read.schema(batch.schema).parquet(version)
+    stored = _read_version(spark, version, batch.schema)
 
     searched = stored if old_rows_in is None else stored.filter(old_rows_in)
-    replaced = searched.join(fresh.select(*keys), list(keys), "left_semi")
-    places = (
-        replaced.select(*partition_by).union(fresh.select(*partition_by)).distinct().collect()
-    )  # one row per touched partition
+    replaced = match_keys(searched, fresh, keys, "left_semi")
+    text = [F.col(c).cast("string").alias(c) for c in partition_by]
+    places = replaced.select(*text).union(fresh.select(*text)).distinct().collect()  # one row per touched partition
     if places:
-        here = F.lit(False)
-        if len(partition_by) == 1:
-            column = F.col(partition_by[0])
-            known = [p[0] for p in places if p[0] is not None]
-            here = here | column.isin(known) if known else here
-            here = here | column.isNull() if len(known) < len(places) else here
-        else:
-            for place in places:
-                one = F.lit(True)
-                for name in partition_by:
-                    one = one & F.col(name).eqNullSafe(F.lit(place[name]))
-                here = here | one
-        merged = upsert(stored.filter(here), fresh, keys)
-        folders = ["/".join(partition_folder(n, p[n]) for n in partition_by) for p in places]
-        replace_partitions(merged, version, partition_by, folders)
+        leaves = ["/".join(partition_folder(n, p[n]) for n in partition_by) for p in places]
+        table = Folder(spark, version)
+        there = [f"{version}/{leaf}" for leaf in leaves if table.exists(leaf)]
+        merged = fresh
+        if there:
+            old = spark.read.schema(batch.schema).option("basePath", version).parquet(*there)
+            merged = upsert(old, fresh, keys)
+        replace_partitions(merged, version, partition_by, leaves)
     Folder(spark, scratch).delete()
-    return spark.read.schema(batch.schema).parquet(version)
+    return _read_version(spark, version, batch.schema)
 
 
 def _without(schema: StructType, names: Sequence[str]) -> StructType:
@@ -271,7 +275,7 @@ def snapshot_table(
         write_table(first, path, ["segment"])
         return read_history(spark, path)
     finish_replacing(spark, version)
-    versions = spark.read.parquet(version)
+    versions = _read_version(spark, version)
     assert_schema(_without(versions.schema, ("segment", *VALIDITY)), current.schema)
     open_versions = versions.filter(F.col("segment") == OPEN_SEGMENT).drop("segment")
     run = f"closed-{uuid.uuid4().hex}"

@@ -22,6 +22,7 @@ def stream_upsert(
     *,
     transform: Callable[[DataFrame], DataFrame] = lambda df: df,
     order_by: Sequence[str | Column],
+    old_rows_in: Column | str | None = None,
     file_format: str = "parquet",
     max_files_per_trigger: int | None = None,
     **reader_options: str,
@@ -29,7 +30,9 @@ def stream_upsert(
     """Read files not seen before, stage them with ``transform``, and upsert each micro-batch.
 
     A changed record arrives as a new row with an old key and takes the old row's place. A batch
-    replayed after a failure changes nothing, because the upsert goes by key. The stream processes
+    replayed after a failure changes nothing, because the upsert goes by key. ``old_rows_in`` says
+    where in the target older rows of the arriving keys may be; without it every micro-batch searches
+    keys and partition values of the whole target. The stream processes
     all that is there and stops; running it again goes on from ``checkpoint``.
     """
     reader = spark.readStream.schema(schema).format(file_format).options(**reader_options)
@@ -37,7 +40,7 @@ def stream_upsert(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        upsert_table(transform(batch), target, keys, partition_by, order_by=order_by)
+        upsert_table(transform(batch), target, keys, partition_by, order_by=order_by, old_rows_in=old_rows_in)
 
     return (
         reader.load(src_dir)

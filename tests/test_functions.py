@@ -112,7 +112,7 @@ def test_regions(spark):
     assert each(spark, ["NY", "TX", "DC", "OH", "WY", "PR", None], mapping.region_of) == [
         "Northeast", "Southeast", "Southeast", "Midwest", "West", "Other", "Other",
     ]
-    codes = " ".join(mapping.REGIONS.values()).split()
+    codes = [code for codes in mapping.REGIONS.values() for code in codes]
     assert len(codes) == len(set(codes)) == 51
 
 

@@ -53,13 +53,13 @@ def test_isolated_lookup_equals_plain(spark):
     assert isolated.filter("k = 7 and w = 70").count() == 1001  # a third of the rows, and row 7 itself
 
 
-def test_isolated_lookup_falls_back_when_the_hot_side_is_long(spark, monkeypatch):
-    from orderloom.operators import lookup
-
-    monkeypatch.setattr(lookup, "MAX_BROADCAST_ROWS", 1)
+def test_isolated_lookup_deals_hot_keys_out_when_the_hot_side_is_large(spark):
     left = spark.range(100).select(F.lit(1).alias("k"), "id")
     right = spark.createDataFrame([(1, "a"), (1, "b")], "k int, w string")
-    assert left_lookup(left, right, "k", isolate_share=0.5).count() == 200
+    dealt = left_lookup(left, right, "k", isolate_share=0.5, broadcast_bytes=10, salts=8)
+    assert dealt.columns == ["k", "id", "w"] and dealt.distinct().count() == dealt.count() == 200
+    assert "_salt" in dealt._jdf.queryExecution().toString()
+    assert tuples(dealt) == tuples(left_lookup(left, right, "k"))
 
 
 def test_orphans_skip_null_keys(frame):

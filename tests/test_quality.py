@@ -5,7 +5,7 @@ import pytest
 from conftest import tuples
 
 from orderloom.operators.quality import (
-    accepted, between, failing, matches, not_null, read_failures, relationships, run_checks, store_failures, unique,
+    accepted, between, failing, matches, not_null, read_failures, relationships, run_checks, store_failures, stored_report, unique,
 )
 from orderloom.plans import checks
 
@@ -40,13 +40,15 @@ SUITE = [
 
 def test_report(rows, frame):
     report = run_checks(rows, SUITE, {"parent": frame("k string", ("p",), (None,))})
-    got = sorted((r.check, r.failures, r.passed) for r in report.collect())
+    rows_of = {r.check: (r.failures, r.passed) for r in report.collect()}
+    assert set(rows_of) == {c.name for c in SUITE}  # no two checks share a name
+    got = sorted((c.name.split("_where_")[0] if c.kind != "matches" else "matches_id", *rows_of[c.name]) for c in SUITE)
     assert got == [
         ("accepted_status", 0, True),
         ("accepted_status", 2, False),
-        ("between_amount", 2, False),
-        ("between_amount", 3, False),
-        ("between_d", 1, False),
+        ("between_amount_0_10", 2, False),
+        ("between_amount_6_any", 3, False),
+        ("between_d_2020-01-01_2030-01-01", 1, False),
         ("matches_id", 1, False),
         ("not_null_id", 2, False),
         ("relationships_ref_parent", 2, False),
@@ -69,6 +71,19 @@ def test_failures_are_stored_and_read_back(rows, frame, spark, folder):
     for check in suite:
         assert tuples(read_failures(spark, check, folder)) == tuples(failing(rows, check, parents))
     assert tuples(failing(rows, suite[0])) == [("X_1", 2)]
+    assert tuples(stored_report(spark, suite, folder)) == tuples(run_checks(rows, suite, parents))
+
+
+def test_passing_checks_are_stored_and_read_back(rows, frame, spark, folder):
+    suite = [not_null("status").where("false"), unique("id").where("false")]
+    store_failures(rows, suite, folder)
+    assert [read_failures(spark, c, folder).count() for c in suite] == [0, 0]
+    assert tuples(stored_report(spark, suite, folder).select("failures", "passed")) == [(0, True)] * 2
+
+
+def test_names_tell_checks_apart():
+    suite = [between("a", 0, 1), between("a", 0, 2), between("a", 0, None), between("a", 0, 1).where("b"), matches("a", "x"), matches("a", "y")]
+    assert len({c.name for c in suite}) == len(suite)
 
 
 def test_every_declared_check_is_there():

@@ -37,7 +37,7 @@ def test_query_matches_its_sql(spark, duck, name):
     expected = duck.sql(ORACLE[name])
     assert sorted(df.columns) == sorted(expected.columns)
     assert got == rows_of(expected.columns, expected.fetchall())
-    assert got
+    assert got or name.endswith("_rejected")
 
 
 @pytest.mark.parametrize("family, name", [*[(inputs.RETAIL, n) for n in inputs.RETAIL], *[(inputs.O2C, n) for n in inputs.O2C]])
@@ -63,7 +63,8 @@ def test_datasets_have_the_declared_schema(spark, family, declared):
 
 
 STORED = {"upsert_table", "fct_orders_incremental", "snapshot_customers", "stored_failures", "csv_round_trip",
-          "table_by_invoice_date", "stream_upsert", "build_o2c", "build_retail"}
+          "table_by_invoice_date", "stream_upsert", "build_o2c", "build_retail", "upsert_unpartitioned", "upsert_replayed",
+          "table_by_postal_code", "csv_malformed"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - STORED))
@@ -108,7 +109,8 @@ def test_hot_order_is_split_in_both_joins(spark):
         joined = o2c.int_order_lines_enriched(lines, data.stg_sales_orders, data.stg_shipments, data.stg_products)
         rows = joined.collect()
         plan = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-        assert len(rows) == 6000
+        fanned = lines.join(data.stg_shipments.groupBy("order_id").count(), "order_id", "left")
+        assert len(rows) == fanned.agg(F.sum(F.coalesce("count", F.lit(1)))).first()[0]
         assert plan.count("SortMergeJoin(skew=true)") >= 2
     finally:
         for k, v in before.items():
@@ -120,7 +122,8 @@ def test_entry_and_registry():
     spec = importlib.util.spec_from_file_location("spark_entry", path)
     module = importlib.util.module_from_spec(spec)
     spec.loader.exec_module(module)
-    assert set(module.queries()) == set(module.oracle_sql()) == set(QUERIES)
+    assert set(QUERIES) <= set(module.queries()) and set(module.oracle_sql()) <= set(module.queries())
+    assert set(ORACLE) == set(QUERIES)
 
 
 def test_entry_runs(spark):

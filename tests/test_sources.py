@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql.types import StringType, StructField, StructType
 
 from orderloom.plans import build
 from orderloom.session import apply_scale_defaults, work_dir
@@ -22,15 +23,28 @@ def test_declared_inputs(spark, frame, folder):
     assert readers.source(spark, "declared_things").count() == 1
 
 
-def test_only_inputs_of_one_split_are_spread(spark, folder, monkeypatch):
+def test_declared_inputs_are_read_as_they_are(spark, folder):
     spark.range(10).write.parquet(f"{folder}/small.parquet")
-    assert readers.source(spark, "small", folder).rdd.getNumPartitions() != 0
-    plan = lambda: readers.source(spark, "small", folder)._jdf.queryExecution().toString()
-    assert "Repartition" not in plan()
-    monkeypatch.setattr(readers, "WORTH_SPREADING", 1)
-    assert "Repartition" in plan()
-    monkeypatch.setattr(readers, "ONE_SPLIT", 2)
-    assert "Repartition" not in plan()
+    assert "Repartition" not in readers.source(spark, "small", folder)._jdf.queryExecution().toString()
+
+
+def test_malformed_rows_are_kept_apart(spark, folder):
+    with open(f"{folder}/raw.csv", "w") as out:
+        out.write('a,b,c\n1,2,3\n4,5\n6,7,8,9\n,"x,y",z\n')
+    schema = StructType([StructField(c, StringType()) for c in "bc"])
+    good, bad = readers.read_raw(spark, f"{folder}/raw.csv", schema), readers.read_malformed(spark, f"{folder}/raw.csv")
+    assert sorted(tuple(r) for r in good.collect()) == [("2", "3"), ("x,y", "z")]
+    assert good.count() == 2 and good.select("c").count() == 2
+    assert sorted(r.line for r in bad.collect()) == ["4,5", "6,7,8,9"] and bad.count() == 2
+    assert bad.first().file.endswith("raw.csv")
+
+
+def test_line_breaks_inside_quotes(spark, folder):
+    with open(f"{folder}/raw.csv", "w") as out:
+        out.write('a,b\n1,"two\nlines"\n')
+    schema = StructType([StructField(c, StringType()) for c in "ab"])
+    assert [tuple(r) for r in readers.read_raw(spark, f"{folder}/raw.csv", schema, multi_line=True).collect()] == [("1", "two\nlines")]
+    assert readers.read_malformed(spark, f"{folder}/raw.csv").count() == 1  # without it nothing is lost either
 
 
 def test_session_settings(spark):

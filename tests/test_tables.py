@@ -124,7 +124,7 @@ def test_driver_lost_during_the_swap(spark, frame, folder, monkeypatch):
 def test_driver_lost_before_the_swap(spark, frame, folder, monkeypatch):
     upsert_table(frame(SCHEMA, ("a", D(2024, 1, 1), 1)), folder, ["id"], ["d"])
 
-    def dies(*_):
+    def dies(self, child, value):
         raise KeyboardInterrupt
 
     monkeypatch.setattr(Folder, "write_json", dies)
@@ -139,7 +139,59 @@ def test_driver_lost_before_the_swap(spark, frame, folder, monkeypatch):
 def test_partition_folder_names():
     assert partition_folder("p", None) == "p=__HIVE_DEFAULT_PARTITION__"
     assert partition_folder("p", "a/b:c") == "p=a%2Fb%3Ac"
-    assert partition_folder("p", D(2024, 1, 2)) == "p=2024-01-02"
+    assert partition_folder("p", "2024-01-02") == "p=2024-01-02"
+
+
+def test_upsert_without_partitions_keeps_the_rest(spark, frame, folder):
+    upsert_table(frame("id string, v int", ("a", 1), ("b", 2), ("c", 3)), folder, ["id"])
+    got = upsert_table(frame("id string, v int", ("b", 20), ("d", 4)), folder, ["id"])
+    assert tuples(got) == tuples(read_table(spark, folder)) == [("a", 1), ("b", 20), ("c", 3), ("d", 4)]
+
+
+def test_partition_column_with_an_underscore(spark, frame, folder):
+    schema = "id string, _p string, v int"
+    upsert_table(frame(schema, ("a", "x", 1), ("b", "x", 2)), folder, ["id"], ["_p"])
+    got = upsert_table(frame(schema, ("b", "y", 20)), folder, ["id"], ["_p"])
+    assert tuples(got.select("id", "_p", "v")) == [("a", "x", 1), ("b", "y", 20)]
+
+
+@pytest.mark.parametrize("kind, one, two", [("double", 1.0, 2.5e10), ("timestamp", dt.datetime(2024, 1, 1, 1, 2, 3, 500000), dt.datetime(2024, 1, 2)), ("boolean", True, False)])
+def test_rows_leave_partitions_of_any_type(spark, frame, folder, kind, one, two):
+    schema = f"id string, p {kind}, v int"
+    upsert_table(frame(schema, ("a", one, 1), ("b", two, 2)), folder, ["id"], ["p"])
+    got = upsert_table(frame(schema, ("a", two, 10)), folder, ["id"], ["p"])
+    assert tuples(got.select("id", "p", "v")) == [("a", two, 10), ("b", two, 2)]
+
+
+def test_null_keys_are_replaced_like_others(spark, frame, folder):
+    schema = "id string, d date, v int"
+    upsert_table(frame(schema, ("a", D(2024, 1, 1), 1), (None, D(2024, 1, 1), 2)), folder, ["id"], ["d"])
+    for _ in range(2):
+        got = upsert_table(frame(schema, (None, D(2024, 1, 2), 20)), folder, ["id"], ["d"])
+        assert tuples(got.select("id", "d", "v")) == [(None, D(2024, 1, 2), 20), ("a", D(2024, 1, 1), 1)]
+
+
+def test_many_touched_partitions_of_two_columns(spark, folder):
+    rows = spark.range(600).selectExpr("id", "id % 20 as y", "cast(id % 30 as string) as s", "id as v")
+    upsert_table(rows, folder, ["id"], ["y", "s"])
+    got = upsert_table(rows.selectExpr("id", "y", "s", "v + 1 as v"), folder, ["id"], ["y", "s"])
+    assert got.count() == 600 and got.where("v = id + 1").count() == 600
+
+
+def test_types_of_partition_values_are_kept(spark, frame, folder):
+    write_table(frame("id int, zip string", (1, "02109"), (2, None)), folder, ["zip"])
+    assert tuples(read_table(spark, folder).select("id", "zip")) == [(1, "02109"), (2, None)]
+    assert read_table(spark, folder).schema["zip"].dataType.simpleString() == "string"
+
+
+def test_the_search_for_old_rows_prunes_partitions(spark, frame, folder):
+    """Only partitions inside the bound are listed by the scan that looks for old keys."""
+    upsert_table(frame(SCHEMA, *[("k%d" % i, D(2024, 1, i), i) for i in range(1, 20)]), folder, ["id"], ["d"])
+    stored = read_table(spark, folder).filter("d >= '2024-01-18'")
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(d" in plan and stored.count() == 2
+    got = upsert_table(frame(SCHEMA, ("k19", D(2024, 1, 20), 0)), folder, ["id"], ["d"], old_rows_in="d >= '2024-01-18'")
+    assert got.count() == 19
 
 
 def test_snapshot_rewrites_open_versions_only(spark, frame, folder):
