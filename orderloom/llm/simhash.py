@@ -80,7 +80,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text") -> DataF
 
 # --- links -----------------------------------------------------------------------------------------------------------
 def links(
-    prints: DataFrame, radius: int = 3, max_sketch_bits: int | None = None, bucket_rows: int = 256, id_col: str = "id"
+    prints: DataFrame, radius: int = 3, max_sketch_bits: int | None = None, bucket_rows: int = 4096, id_col: str = "id"
 ) -> DataFrame:
     """Pairs (``a``, ``b``) of ids that connect all ids whose fingerprints lie within ``radius`` bits.
 
@@ -90,7 +90,8 @@ def links(
 
     A bucket of over ``bucket_rows`` ids is counted before anything is brought together and dealt out again by covering
     masks over the bits its own mask left free. Both masks together fix all but about a quarter of the bits, so with
-    different fingerprints such a bucket is small by construction; ids with sketches are compared in blocks.
+    different fingerprints such a bucket is small by construction. Ids of a bucket are compared in blocks of rows, so memory
+    grows with the bucket, not with its pairs.
     Null ids have no links.
     """
     ready(prints)
@@ -106,7 +107,7 @@ def links(
         F.posexplode(F.array(*(fp.bitwiseAND(F.lit(_signed(m))) for m in first))).alias("tab", "key")
     )
     hot = slim.groupBy("tab", "key").count().where(F.col("count") > bucket_rows).select("tab", "key", F.lit(True).alias("hot"))
-    marked = keyed.join(hot, ["tab", "key"], "left")
+    marked = keyed.join(stored(hot, "hot"), ["tab", "key"], "left")  # few as a rule, and then no shuffle
     table = F.array(*(F.array(*(F.lit(_signed(m)) for m in ms)) for ms in second))
     deep = marked.where("hot").select(
         "id", "fingerprint", *sketched, "tab", "key", F.posexplode(F.element_at(table, F.col("tab") + 1)).alias("sub", "mask")
@@ -160,7 +161,7 @@ def _buckets(batches, bucket, sketched):
         yield joined()
 
 
-def forest(ids, values, sketches, radius, max_sketch_bits, block: int = 512):
+def forest(ids, values, sketches, radius, max_sketch_bits, block: int = 128):
     """Pairs that span the connected parts of one bucket, the smallest id of a part first."""
     order = np.argsort(ids)
     ids, values = ids[order], values[order]
