@@ -41,7 +41,7 @@ LATIN = re.compile(
 )
 BEYOND_LATIN = re.compile(r"[^\u0000-\u024f]")
 #: How many distinct pieces, and pairs, a worker remembers before it starts again.
-CACHE = 400_000
+CACHE = 150_000
 
 
 def byte_chars() -> dict[str, int]:
