@@ -76,3 +76,26 @@ def test_retail_build_from_files_twice(spark, folder):
 @pytest.mark.parametrize("family", [schemas.RETAIL_RAW, schemas.O2C_RAW])
 def test_raw_columns_are_text(family):
     assert {f.dataType.simpleString() for schema in family.values() for f in schema} == {"string"}
+
+
+def test_builds_store_rejected_rows_and_staged_tables(spark, folder):
+    texts = SHOP | {
+        "raw_customers": SHOP["raw_customers"] + "K9,bo,ray,b@c.d,us,15/02/2023,gold,1\n",
+        "raw_orders": SHOP["raw_orders"] + "O_1003,K1,G1,some day,comp,2,0.1,web,\n",
+    }
+    for name, text in texts.items():
+        with open(f"{folder}/{name}.csv", "w") as out:
+            out.write(text)
+    raw = build.read_all(spark, folder, schemas.RETAIL_RAW)
+    for run in (dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 2)):  # the second load is an increment
+        build.build_retail(raw, f"{folder}/out", run, dt.date(2024, 2, 1), period="year")
+    rejected = {
+        name: [(r[0], r.rejected_columns) for r in spark.read.parquet(f"{folder}/out/rejected/{name}").collect()]
+        for name in ("stg_customers", "stg_orders", "stg_products")
+    }
+    assert rejected == {
+        "stg_customers": [("K9", ["registered_date"])], "stg_orders": [("O_1003", ["order_date"])], "stg_products": [],
+    }
+    assert read_table(spark, f"{folder}/out/stg_customers").count() == 2
+    facts = read_table(spark, f"{folder}/out/fct_orders")
+    assert sorted((r.order_id, r.order_date is None) for r in facts.collect()) == [("O_1001", False), ("O_1002", False), ("O_1003", True)]
