@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from orderloom.llm.shipping import ready
+from orderloom.llm.shipping import pieces, ready
 
 #: The splitting pattern of byte-level vocabularies (a fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -250,7 +250,7 @@ def _apply(df: DataFrame, source: str, made: list[T.StructField], step) -> DataF
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, text=source):
             columns = step(batch.column(source))
             yield pa.RecordBatch.from_arrays(
                 [columns[f.name] if f.name in names else batch.column(f.name) for f in arrow], schema=arrow

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from orderloom.llm.shipping import ready
+from orderloom.llm.shipping import pieces, ready
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
@@ -224,7 +224,7 @@ def extract(pages: DataFrame, html: str = "html", text: str = "text", n_chars: s
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, text=html):
             found = [main_text(h) if h else "" for h in batch.column(html).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(f.name) for f in own), pa.array(found, pa.string()), pa.array(map(len, found), pa.int64())],

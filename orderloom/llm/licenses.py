@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from orderloom.llm.shipping import ready
+from orderloom.llm.shipping import pieces, ready
 
 #: Normalised sentences of public licences and notices, and their identifiers.
 SENTENCES = {
@@ -129,7 +129,7 @@ def scan(
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, text=text):
             ids, found = [], []
             for t in batch.column(text).to_pylist():
                 ids.append([known[s] for s in sentences(t) if s in known] if t else [])

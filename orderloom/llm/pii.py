@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from orderloom.llm.pii_labelled import LABELLED
-from orderloom.llm.shipping import ready
+from orderloom.llm.shipping import pieces, ready
 
 KINDS = ("email", "ip", "card", "phone")
 ORDER = {k: i for i, k in enumerate(KINDS)}
@@ -436,7 +436,7 @@ def find(docs: DataFrame, model: Model | None = None, text: str = "text") -> Dat
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, text=text):
             texts = [t or "" for t in batch.column(text).to_pylist()]
             base = [pattern_spans(t) for t in texts]
             every = [all_spans(b, m) for b, m in zip(base, field_spans(texts, weights.value), strict=True)]
@@ -465,7 +465,7 @@ def mask(docs: DataFrame, model: Model | None = None, text: str = "text") -> Dat
     arrow = to_arrow_schema(docs.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, text=text):
             values = batch.column(text).to_pylist()
             more = field_spans([t or "" for t in values], weights.value)
             out = [t and masked(t, all_spans(pattern_spans(t), m)) for t, m in zip(values, more, strict=True)]
