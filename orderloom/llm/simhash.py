@@ -271,37 +271,45 @@ def groups(docs: DataFrame, radius: int = 3, shingle: int = 3, id_col: str = "do
 
 
 # --- near duplicates -------------------------------------------------------------------------------------------------
-def _sketches(raw: list[bytes], shingle: int, parts: int) -> tuple[list[int], list[bytes]]:
-    """For each text a fingerprint of its words, and a sketch of 64 * parts bits of its runs of words."""
-    words = Words(raw, SPACED, LOWER)
-    prints, sketches = [], []
-    salts = np.array([(0x9E3779B97F4A7C15 * (k + 1)) % 2**64 for k in range(parts)], dtype=np.uint64)
-    for k in range(len(raw)):
+def _run_sets(words: Words, n: int, shingle: int) -> list[np.ndarray]:
+    """For each of n texts the sorted distinct hashes of its runs of ``shingle`` words; of the whole word sequence if it
+    is shorter."""
+    sets = []
+    for k in range(n):
         a, b = int(words.first[k]), int(words.first[k + 1])
-        prints.append(majority(words.hash[a:b]))
         size = min(shingle, b - a)
         at = np.arange(a, b - size + 1) if size else np.zeros(0, dtype=np.int64)
-        h = words.ranges(at, at + size)
-        sketches.append(b"".join(majority(mix(h ^ s)).to_bytes(8, "little") for s in salts))
-    return prints, sketches
+        sets.append(np.unique(words.ranges(at, at + size)))
+    return sets
+
+
+def _sketches(raw: list[bytes], shingle: int, parts: int) -> tuple[list[int], list[bytes], list[bytes]]:
+    """For each text a fingerprint of its words, a name of its set of runs of words, and a sketch of 64 * parts bits of that set."""
+    words = Words(raw, SPACED, LOWER)
+    salts = np.array([(0x9E3779B97F4A7C15 * (k + 1)) % 2**64 for k in range(parts)], dtype=np.uint64)
+    sets = _run_sets(words, len(raw), shingle)
+    prints = [majority(words.hash[int(words.first[k]) : int(words.first[k + 1])]) for k in range(len(raw))]
+    names = [xxhash.xxh3_128_digest(h.tobytes()) for h in sets]
+    return prints, names, [b"".join(majority(mix(h ^ s)).to_bytes(8, "little") for s in salts) for h in sets]
 
 
 def sketched(docs: DataFrame, shingle: int = 5, parts: int = 4, text: str = "text") -> DataFrame:
-    """``docs`` without the text, with ``fingerprint`` (64 bits, of single words) and ``sketch`` (64 * parts bits, of runs of
-    ``shingle`` words). Close texts agree in nearly all bits of the first; the second tells how similar they are."""
+    """``docs`` without the text, with ``fingerprint`` (64 bits, of single words), ``runs`` (a name of the set of distinct runs of
+    ``shingle`` words) and ``sketch`` (64 * parts bits of that set, each run counted once)."""
     ready(docs)
-    made = ("fingerprint", "sketch")
-    own = [f for f in docs.schema.fields if f.name not in made and f.name != text]
-    schema = T.StructType([*own, T.StructField("fingerprint", T.LongType()), T.StructField("sketch", T.BinaryType())])
+    made = [("fingerprint", T.LongType()), ("runs", T.BinaryType()), ("sketch", T.BinaryType())]
+    own = [f for f in docs.schema.fields if f.name not in dict(made) and f.name != text]
+    schema = T.StructType([*own, *(T.StructField(*m) for m in made)])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, text=text):
-            prints, sketches = _sketches(raw_texts(batch.column(text)), shingle, parts)
+            prints, names, sketches = _sketches(raw_texts(batch.column(text)), shingle, parts)
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(f.name) for f in own),
                     pa.array(np.array(prints, dtype=np.uint64).view(np.int64)),
+                    pa.array(names, pa.binary()),
                     pa.array(sketches, pa.binary()),
                 ],
                 schema=arrow,
@@ -310,33 +318,97 @@ def sketched(docs: DataFrame, shingle: int = 5, parts: int = 4, text: str = "tex
     return docs.select(*(F.col(f"`{f.name}`") for f in own), F.col(text)).mapInArrow(run, schema)
 
 
-def sketch_bits(similarity: float, parts: int = 4, deviations: float = 1.5) -> int:
+def sketch_bits(similarity: float, parts: int = 4, deviations: float = 4.0) -> int:
     """How many of 64 * parts bits may differ between texts of this Jaccard similarity: a bit differs with the probability
-    angle / pi, and ``deviations`` standard deviations are allowed on top."""
+    angle / pi, and ``deviations`` standard deviations are allowed on top. At 4 about one pair in 30,000 is lost."""
     share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
     n = BITS * parts
     return int(n * share + deviations * np.sqrt(n * share * (1 - share)))
 
 
+def similar_pairs(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (a, b) of links that span the parts connected by an exact Jaccard similarity of ``similarity`` or more."""
+    n = len(sets)
+    size = np.array([len(h) for h in sets], dtype=np.int64)
+    owner = np.repeat(np.arange(n), size)
+    _, run = np.unique(np.concatenate(sets) if n else np.zeros(0, dtype=np.uint64), return_inverse=True)
+    order = np.argsort(run, kind="stable")
+    holders = owner[order]  # the texts of run r are holders[begin[r]:begin[r + 1]]
+    begin = np.searchsorted(run[order], np.arange(int(run.max()) + 2 if len(run) else 1))
+    first = np.cumsum([0, *size])
+    root = np.arange(n)
+    for x in range(n - 1):
+        open_ = root != root[x]
+        if not open_.any():
+            break
+        mine = run[first[x] : first[x + 1]]
+        lengths = begin[mine + 1] - begin[mine]
+        at = np.repeat(begin[mine] - np.r_[0, np.cumsum(lengths)[:-1]], lengths) + np.arange(int(lengths.sum())) if len(mine) else mine
+        shared = np.bincount(holders[at], minlength=n)
+        fit = np.flatnonzero(open_ & (size > 0) & (shared * (1 + similarity) >= similarity * (size[x] + size) - 1e-9)) if size[x] else mine[:0]
+        if len(fit):
+            _unite(root, np.full(len(fit), x), fit)
+    part = np.flatnonzero(root != np.arange(n))
+    return root[part], part
+
+
+def exact_links(docs: DataFrame, cells: DataFrame, similarity: float, shingle: int = 5) -> DataFrame:
+    """Pairs (``a``, ``b``) of ids that connect all documents of one cell (``id``, ``component``) whose sets of distinct runs have
+    a Jaccard similarity of ``similarity`` or more. ``docs`` has ``id`` and ``text``. A text moves once, to its cell."""
+    ready(docs)
+    cell = ["component"]
+    dealt = docs.join(cells.select("id", *cell), "id").repartition(*cell).sortWithinPartitions(*cell)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, sets in _cells(batches, cell, shingle):
+            a, b = similar_pairs(sets, similarity)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], names=["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def _cells(batches, cell, shingle):
+    """(ids, sets of runs) of each cell; a cell may go on in the next batch."""
+    ids: list[int] = []
+    sets: list[np.ndarray] = []
+    last = None
+    for batch in pieces(batches):
+        raw = raw_texts(batch.column("text"))
+        made = _run_sets(Words(raw, SPACED, LOWER), len(raw), shingle)
+        keys = zip(*(batch.column(c).to_pylist() for c in cell), strict=True)
+        for key, i, h in zip(keys, batch.column("id").to_pylist(), made, strict=True):
+            if key != last and ids:
+                yield np.array(ids), sets
+                ids, sets = [], []
+            last = key
+            ids.append(i)
+            sets.append(h)
+    if ids:
+        yield np.array(ids), sets
+
+
 def near_duplicates(
     docs: DataFrame, similarity: float = 0.8, radius: int = 4, shingle: int = 5, id_col: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """``id_col`` and ``group_id`` (the smallest id of the group) of every document with an id.
 
-    Documents are linked if the fingerprints of their single words differ in ``radius`` bits or fewer and their sketches of
-    ``shingle`` word runs show a Jaccard similarity of ``similarity`` or more, within the error of the sketch. A fingerprint of word runs alone
-    would differ in ten bits at 0.8, far beyond what covering tables can hold. Exactly equal texts are one
-    node. Null and empty texts have no words and form one group; null ids are left out; repeated ids share a row.
+    Documents are linked if the Jaccard similarity of their sets of distinct runs of ``shingle`` words, compared exactly, is
+    ``similarity`` or more. Candidates have fingerprints of single words that differ in ``radius`` bits or fewer, and sketches that do not
+    rule the similarity out; what they connect is a cell, and the exact comparison takes place within cells. Equal sets
+    of runs are one node. Null and empty texts have no words and form one group; null ids are left out; repeated ids share a row.
     """
-    prints = stored(sketched(docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text).alias("text")), shingle), "sketches")
-    same = ["fingerprint", "sketch"]
-    nodes = stored(prints.groupBy(*same).agg(F.min("id").alias("node")), "nodes")
-    pairs = links(nodes.select(F.col("node").alias("id"), *same), radius, sketch_bits(similarity))
+    slim = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text).alias("text"))
+    prints = stored(sketched(slim, shingle), "sketches")
+    nodes = prints.groupBy("runs").agg(F.min("id").alias("node"), F.first("fingerprint").alias("fingerprint"), F.first("sketch").alias("sketch"))
+    nodes = stored(nodes, "nodes")
+    near = links(nodes.select(F.col("node").alias("id"), "fingerprint", "sketch"), radius, sketch_bits(similarity))
+    pairs = exact_links(slim, components(near), similarity, shingle)
     comp = components(pairs).withColumnRenamed("id", "node")
     placed = nodes.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = placed.groupBy("component").agg(F.min("node").alias("group_id"))
-    placed = placed.join(least, "component").select(*same, "group_id")
-    return prints.join(placed, same).groupBy(F.col("id").alias(id_col)).agg(F.min("group_id").alias("group_id"))
+    placed = placed.join(least, "component").select("runs", "group_id")
+    return prints.join(placed, "runs").groupBy(F.col("id").alias(id_col)).agg(F.min("group_id").alias("group_id"))
 
 
 def keep_one(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -110,6 +110,32 @@ def test_near_copies_are_found_and_others_left(spark):
     assert set(range(12)) <= kept and len(kept) <= 16
 
 
+def runs_of(text, size=5):
+    w = text.lower().split()
+    return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)} or {tuple(w)}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+def test_a_shared_line_repeated_often_does_not_link_different_texts(spark):
+    line = " ".join(f"line{i}" for i in range(10))
+    docs = [(i, " ".join(f"own{i}x{k}" for k in range(1100)) + f" {line}" * 100) for i in range(12)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: r.group_id for r in s.near_duplicates(df).collect()} == {i: i for i in range(12)}
+
+
+def test_similar_pairs_same_as_brute_force():
+    rnd = random.Random(11)
+    base = [rnd.sample(range(1 << 40), 60) for _ in range(6)]
+    sets = [np.unique(np.array(rnd.sample(b, rnd.randrange(48, 61)), dtype=np.uint64)) for b in base for _ in range(12)]
+    sets += [np.zeros(0, dtype=np.uint64)] * 2
+    expected = classes(range(len(sets)), lambda a, b: bool(len(sets[a])) and jaccard(set(sets[a]), set(sets[b])) >= 0.8)
+    root = {i: i for i in range(len(sets))} | {int(b): int(a) for a, b in zip(*s.similar_pairs(sets, 0.8), strict=True)}
+    assert root == expected
+
+
 def test_edges(edges, nothing):
     rows = s.groups(edges).collect()
     assert len(rows) == 12
