@@ -283,37 +283,50 @@ def _run_sets(words: Words, n: int, shingle: int) -> list[np.ndarray]:
     return sets
 
 
-def _sketches(raw: list[bytes], shingle: int, parts: int) -> tuple[list[int], list[bytes], list[bytes]]:
-    """For each text a fingerprint of its words, a name of its set of runs of words, and a sketch of 64 * parts bits of that set."""
-    words = Words(raw, SPACED, LOWER)
+BANDS, ROWS = 20, 5
+
+
+def _bands(sets: list[np.ndarray], bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
+    """A hash of ``rows`` minima for each band and set: equal for two sets with the probability Jaccard ** rows."""
+    some = [k for k, h in enumerate(sets) if len(h)]
+    out = np.zeros((len(sets), bands), dtype=np.uint64)
+    if not some:
+        return out
+    every = np.concatenate([sets[k] for k in some])
+    first = np.cumsum([0, *(len(sets[k]) for k in some)])[:-1]
+    salts = np.random.default_rng(20240301).integers(1, 2**63, (bands, rows, 2), dtype=np.uint64)
+    for b in range(bands):
+        key = np.full(len(some), b + 1, dtype=np.uint64)
+        for r in range(rows):
+            least = np.minimum.reduceat((every ^ salts[b, r, 0]) * (salts[b, r, 1] | np.uint64(1)), first)
+            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + least)
+        out[some, b] = key
+    return out
+
+
+def _sketches(raw: list[bytes], shingle: int, parts: int) -> tuple[list[bytes], list[bytes], list]:
+    """For each text a name of its set of runs of words, a sketch of 64 * parts bits of that set, and its bands (none without words)."""
     salts = np.array([(0x9E3779B97F4A7C15 * (k + 1)) % 2**64 for k in range(parts)], dtype=np.uint64)
-    sets = _run_sets(words, len(raw), shingle)
-    prints = [majority(words.hash[int(words.first[k]) : int(words.first[k + 1])]) for k in range(len(raw))]
+    sets = _run_sets(Words(raw, SPACED, LOWER), len(raw), shingle)
     names = [xxhash.xxh3_128_digest(h.tobytes()) for h in sets]
-    return prints, names, [b"".join(majority(mix(h ^ s)).to_bytes(8, "little") for s in salts) for h in sets]
+    sketches = [b"".join(majority(mix(h ^ s)).to_bytes(8, "little") for s in salts) for h in sets]
+    return names, sketches, [k.tolist() if len(h) else [] for h, k in zip(sets, _bands(sets).view(np.int64), strict=True)]
 
 
 def sketched(docs: DataFrame, shingle: int = 5, parts: int = 4, text: str = "text") -> DataFrame:
-    """``docs`` without the text, with ``fingerprint`` (64 bits, of single words), ``runs`` (a name of the set of distinct runs of
-    ``shingle`` words) and ``sketch`` (64 * parts bits of that set, each run counted once)."""
+    """``docs`` without the text, with ``runs`` (a name of the set of distinct runs of ``shingle`` words), ``sketch`` (SimHash
+    of 64 * parts bits of that set, each run counted once) and ``bands`` (hashes of minima of that set)."""
     ready(docs)
-    made = [("fingerprint", T.LongType()), ("runs", T.BinaryType()), ("sketch", T.BinaryType())]
+    made = [("runs", T.BinaryType()), ("sketch", T.BinaryType()), ("bands", T.ArrayType(T.LongType()))]
     own = [f for f in docs.schema.fields if f.name not in dict(made) and f.name != text]
     schema = T.StructType([*own, *(T.StructField(*m) for m in made)])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, text=text):
-            prints, names, sketches = _sketches(raw_texts(batch.column(text)), shingle, parts)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(f.name) for f in own),
-                    pa.array(np.array(prints, dtype=np.uint64).view(np.int64)),
-                    pa.array(names, pa.binary()),
-                    pa.array(sketches, pa.binary()),
-                ],
-                schema=arrow,
-            )
+            found = _sketches(raw_texts(batch.column(text)), shingle, parts)
+            arrays = [pa.array(v, arrow.field(name).type) for v, (name, _) in zip(found, made, strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in own), *arrays], schema=arrow)
 
     return docs.select(*(F.col(f"`{f.name}`") for f in own), F.col(text)).mapInArrow(run, schema)
 
@@ -326,6 +339,62 @@ def sketch_bits(similarity: float, parts: int = 4, deviations: float = 4.0) -> i
     return int(n * share + deviations * np.sqrt(n * share * (1 - share)))
 
 
+def band_links(nodes: DataFrame, max_sketch_bits: int) -> DataFrame:
+    """Pairs (``a``, ``b``) of ids that connect all ids (``id``, ``sketch``, ``bands``) that share a band and whose sketches differ
+    in ``max_sketch_bits`` or fewer. Each bucket gives a spanning forest of its links, never all pairs."""
+    ready(nodes)
+    keyed = nodes.select("id", "sketch", F.explode("bands").alias("key"))
+    bucket = ["key"]
+    dealt = keyed.repartition(*bucket).sortWithinPartitions(*bucket)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, sketches in _sketch_buckets(batches, bucket):
+            if len(ids) > 1:
+                a, b = sketch_forest(ids, sketches, max_sketch_bits)
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def _sketch_buckets(batches, bucket):
+    """(ids, sketches) of each bucket; a bucket may go on in the next batch."""
+    held: list[tuple] = []
+    last = None
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in bucket], axis=1)
+        ids = batch.column("id").to_numpy(zero_copy_only=False)
+        sketches = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint64).reshape(n, -1)
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        for a, b in zip(np.r_[0, cuts], np.r_[cuts, n], strict=True):
+            key = tuple(keys[a])
+            if key != last and held:
+                yield tuple(map(np.concatenate, zip(*held, strict=True)))
+                held = []
+            last = key
+            held.append((ids[a:b], sketches[a:b]))
+    if held:
+        yield tuple(map(np.concatenate, zip(*held, strict=True)))
+
+
+def sketch_forest(ids, sketches, max_sketch_bits, block: int = 64):
+    """Pairs that span the parts of one bucket that sketches within ``max_sketch_bits`` connect."""
+    n = len(ids)
+    root = np.arange(n)
+    for at in range(0, n, block):
+        if at and not root.any():  # all are one part
+            break
+        near = np.bitwise_count(sketches[at : at + block, None] ^ sketches[None, at:]).sum(axis=2, dtype=np.int32) <= max_sketch_bits
+        x, y = np.nonzero(near)
+        later = y > x
+        _unite(root, x[later] + at, y[later] + at)
+    part = np.flatnonzero(root != np.arange(n))
+    return ids[root[part]], ids[part]
+
+
 def similar_pairs(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """Positions (a, b) of links that span the parts connected by an exact Jaccard similarity of ``similarity`` or more."""
     n = len(sets)
@@ -389,20 +458,20 @@ def _cells(batches, cell, shingle):
 
 
 def near_duplicates(
-    docs: DataFrame, similarity: float = 0.8, radius: int = 4, shingle: int = 5, id_col: str = "doc_id", text: str = "text"
+    docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """``id_col`` and ``group_id`` (the smallest id of the group) of every document with an id.
 
     Documents are linked if the Jaccard similarity of their sets of distinct runs of ``shingle`` words, compared exactly, is
-    ``similarity`` or more. Candidates have fingerprints of single words that differ in ``radius`` bits or fewer, and sketches that do not
-    rule the similarity out; what they connect is a cell, and the exact comparison takes place within cells. Equal sets
-    of runs are one node. Null and empty texts have no words and form one group; null ids are left out; repeated ids share a row.
+    ``similarity`` or more. Candidates share one of 20 bands of five minima each (at 0.8 all but one pair in 2,700 does) and have
+    SimHash sketches that do not rule the similarity out; what they connect is a cell, and the exact comparison takes place within
+    cells. Equal sets of runs are one node. Null and empty texts have no words and form one group; null ids are left out; repeated ids share a row.
     """
     slim = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     prints = stored(sketched(slim, shingle), "sketches")
-    nodes = prints.groupBy("runs").agg(F.min("id").alias("node"), F.first("fingerprint").alias("fingerprint"), F.first("sketch").alias("sketch"))
+    nodes = prints.groupBy("runs").agg(F.min("id").alias("node"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
     nodes = stored(nodes, "nodes")
-    near = links(nodes.select(F.col("node").alias("id"), "fingerprint", "sketch"), radius, sketch_bits(similarity))
+    near = band_links(nodes.select(F.col("node").alias("id"), "sketch", "bands"), sketch_bits(similarity))
     pairs = exact_links(slim, components(near), similarity, shingle)
     comp = components(pairs).withColumnRenamed("id", "node")
     placed = nodes.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))

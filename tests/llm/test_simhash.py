@@ -126,6 +126,17 @@ def test_a_shared_line_repeated_often_does_not_link_different_texts(spark):
     assert {r.doc_id: r.group_id for r in s.near_duplicates(df).collect()} == {i: i for i in range(12)}
 
 
+def test_near_copies_at_the_similarity_asked_for_are_found(spark):
+    docs = [
+        (1000 * share + 2 * k + copy, " ".join(f"w{share}x{k}x{i}" for i in range(100 + copy * share)))
+        for share in (10, 20, 24) for k in range(60) for copy in (0, 1)
+    ]
+    text = dict(docs)
+    assert min(jaccard(runs_of(text[i]), runs_of(text[i + 1])) for i in text if i % 2 == 0) >= 0.8
+    found = {r.doc_id: r.group_id for r in s.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert sum(found[i] == i - i % 2 for i in text) >= len(text) - 1
+
+
 def test_similar_pairs_same_as_brute_force():
     rnd = random.Random(11)
     base = [rnd.sample(range(1 << 40), 60) for _ in range(6)]
