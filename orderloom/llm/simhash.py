@@ -304,20 +304,21 @@ def _bands(sets: list[np.ndarray], bands: int = BANDS, rows: int = ROWS) -> np.n
     return out
 
 
-def _sketches(raw: list[bytes], shingle: int, parts: int) -> tuple[list[bytes], list[bytes], list]:
-    """For each text a name of its set of runs of words, a sketch of 64 * parts bits of that set, and its bands (none without words)."""
+def _sketches(raw: list[bytes], shingle: int, parts: int) -> tuple[list[bytes], list[int], list[bytes], list]:
+    """For each text a name and the size of its set of runs of words, a sketch of 64 * parts bits of that set, and its bands (none
+    without words)."""
     salts = np.array([(0x9E3779B97F4A7C15 * (k + 1)) % 2**64 for k in range(parts)], dtype=np.uint64)
     sets = _run_sets(Words(raw, SPACED, LOWER), len(raw), shingle)
     names = [xxhash.xxh3_128_digest(h.tobytes()) for h in sets]
     sketches = [b"".join(majority(mix(h ^ s)).to_bytes(8, "little") for s in salts) for h in sets]
-    return names, sketches, [k.tolist() if len(h) else [] for h, k in zip(sets, _bands(sets).view(np.int64), strict=True)]
+    return names, list(map(len, sets)), sketches, [k.tolist() if len(h) else [] for h, k in zip(sets, _bands(sets).view(np.int64), strict=True)]
 
 
 def sketched(docs: DataFrame, shingle: int = 5, parts: int = 4, text: str = "text") -> DataFrame:
-    """``docs`` without the text, with ``runs`` (a name of the set of distinct runs of ``shingle`` words), ``sketch`` (SimHash
+    """``docs`` without the text, with ``runs`` (a name of the set of distinct runs of ``shingle`` words), ``n_runs``, ``sketch`` (SimHash
     of 64 * parts bits of that set, each run counted once) and ``bands`` (hashes of minima of that set)."""
     ready(docs)
-    made = [("runs", T.BinaryType()), ("sketch", T.BinaryType()), ("bands", T.ArrayType(T.LongType()))]
+    made = [("runs", T.BinaryType()), ("n_runs", T.LongType()), ("sketch", T.BinaryType()), ("bands", T.ArrayType(T.LongType()))]
     own = [f for f in docs.schema.fields if f.name not in dict(made) and f.name != text]
     schema = T.StructType([*own, *(T.StructField(*m) for m in made)])
     arrow = to_arrow_schema(schema)
@@ -339,13 +340,33 @@ def sketch_bits(similarity: float, parts: int = 4, deviations: float = 4.0) -> i
     return int(n * share + deviations * np.sqrt(n * share * (1 - share)))
 
 
-def band_links(nodes: DataFrame, max_sketch_bits: int) -> DataFrame:
+def in_blocks(rows: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """``rows`` with ``low`` and ``high``, so that any two rows of one ``key`` meet under some (``key``, ``low``, ``high``).
+
+    ``hot`` has the keys with too much for one task, and ``parts``, the number of blocks that the ids of such a key are dealt to. Every
+    two blocks meet in a task of their own, which so holds 2 / parts of the key; a row is there parts - 1 times.
+    """
+    marked = rows.join(stored(hot.select(key, F.col("parts").cast("long").alias("parts")), "hot"), key, "left")  # few as a rule, and then no shuffle
+    own = F.pmod(F.xxhash64("id"), "parts")
+    met = F.when(F.col("parts").isNull(), F.array(F.struct(F.lit(0).cast("long").alias("low"), F.lit(0).cast("long").alias("high")))).otherwise(
+        F.transform(
+            F.filter(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda k: k != own),
+            lambda k: F.struct(F.least(k, own).alias("low"), F.greatest(k, own).alias("high")),
+        )
+    )
+    return marked.withColumn("met", F.explode(met)).select(*rows.columns, "met.low", "met.high")
+
+
+def band_links(nodes: DataFrame, max_sketch_bits: int, bucket_rows: int = 4096) -> DataFrame:
     """Pairs (``a``, ``b``) of ids that connect all ids (``id``, ``sketch``, ``bands``) that share a band and whose sketches differ
-    in ``max_sketch_bits`` or fewer. Each bucket gives a spanning forest of its links, never all pairs."""
+    in ``max_sketch_bits`` or fewer. Each bucket gives a spanning forest of its links, never all pairs; one of over ``bucket_rows``
+    ids is compared block against block, by tasks of at most about that many rows."""
     ready(nodes)
     keyed = nodes.select("id", "sketch", F.explode("bands").alias("key"))
-    bucket = ["key"]
-    dealt = keyed.repartition(*bucket).sortWithinPartitions(*bucket)
+    hot = nodes.select(F.explode("bands").alias("key")).groupBy("key").count().where(F.col("count") > bucket_rows)
+    bucket = ["key", "low", "high"]
+    dealt = in_blocks(keyed, "key", hot.withColumn("parts", F.ceil(2 * F.col("count") / bucket_rows)))
+    dealt = dealt.repartition(*bucket).sortWithinPartitions(*bucket)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, sketches in _sketch_buckets(batches, bucket):
@@ -421,12 +442,17 @@ def similar_pairs(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray
     return root[part], part
 
 
-def exact_links(docs: DataFrame, cells: DataFrame, similarity: float, shingle: int = 5) -> DataFrame:
+def exact_links(
+    docs: DataFrame, cells: DataFrame, similarity: float, shingle: int = 5, cell_rows: int = 4096, cell_runs: int = 4 << 20
+) -> DataFrame:
     """Pairs (``a``, ``b``) of ids that connect all documents of one cell (``id``, ``component``) whose sets of distinct runs have
-    a Jaccard similarity of ``similarity`` or more. ``docs`` has ``id`` and ``text``. A text moves once, to its cell."""
+    a Jaccard similarity of ``similarity`` or more. ``docs`` has ``id`` and ``text``, ``cells`` also ``n_runs``. A text
+    moves once, to its cell; a cell of over ``cell_rows`` texts or ``cell_runs`` runs is compared block against block."""
     ready(docs)
-    cell = ["component"]
-    dealt = docs.join(cells.select("id", *cell), "id").repartition(*cell).sortWithinPartitions(*cell)
+    size = cells.groupBy("component").agg(F.greatest(F.count("*") / cell_rows, F.sum("n_runs") / cell_runs).alias("size"))
+    cell = ["component", "low", "high"]
+    placed = in_blocks(cells.select("id", "component"), "component", size.where("size > 1").withColumn("parts", F.ceil(2 * F.col("size"))))
+    dealt = docs.join(placed, "id").repartition(*cell).sortWithinPartitions(*cell)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, sets in _cells(batches, cell, shingle):
@@ -469,10 +495,11 @@ def near_duplicates(
     """
     slim = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     prints = stored(sketched(slim, shingle), "sketches")
-    nodes = prints.groupBy("runs").agg(F.min("id").alias("node"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
+    nodes = prints.groupBy("runs").agg(F.min("id").alias("node"), F.first("n_runs").alias("n_runs"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
     nodes = stored(nodes, "nodes")
     near = band_links(nodes.select(F.col("node").alias("id"), "sketch", "bands"), sketch_bits(similarity))
-    pairs = exact_links(slim, components(near), similarity, shingle)
+    sizes = nodes.groupBy(F.col("node").alias("id")).agg(F.sum("n_runs").alias("n_runs"))
+    pairs = exact_links(slim, components(near).join(sizes, "id"), similarity, shingle)
     comp = components(pairs).withColumnRenamed("id", "node")
     placed = nodes.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = placed.groupBy("component").agg(F.min("node").alias("group_id"))

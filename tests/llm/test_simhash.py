@@ -137,6 +137,29 @@ def test_near_copies_at_the_similarity_asked_for_are_found(spark):
     assert sum(found[i] == i - i % 2 for i in text) >= len(text) - 1
 
 
+def test_hot_buckets_and_cells_are_compared_block_against_block(spark):
+    rnd = random.Random(12)
+    base = [[f"b{c}x{i}" for i in range(100)] for c in range(3)]
+    docs = [(40 * c + k, " ".join(w[: 100 - rnd.randrange(12)])) for c, w in enumerate(base) for k in range(40)]
+    text = {i: runs_of(t) for i, t in docs}
+    expected = classes(text, lambda a, b: jaccard(text[a], text[b]) >= 0.8)
+    df = spark.createDataFrame(docs, "id long, text string")
+    prints = s.sketched(df).localCheckpoint()
+    near = s.band_links(prints, s.sketch_bits(0.8), bucket_rows=10)
+    cells = s.components(near).join(prints.select("id", "n_runs"), "id").localCheckpoint()
+    for limit in ({"cell_rows": 10}, {"cell_runs": 900}):
+        comp = {r.id: r.component for r in s.components(s.exact_links(df, cells, 0.8, **limit)).collect()}
+        names = {(comp.get(i, ("alone", i)), expected[i]) for i in text}
+        assert len(names) == len({a for a, _ in names}) == len({b for _, b in names})
+    keys = spark.createDataFrame([(i, 7) for i in range(200)] + [(500, 8)], "id long, key long")
+    dealt = s.in_blocks(keys, "key", spark.createDataFrame([(7, 20)], "key long, parts long")).collect()
+    tasks = {}
+    for r in dealt:
+        tasks.setdefault((r.key, r.low, r.high), []).append(r.id)
+    assert max(map(len, tasks.values())) < 50 and tasks[8, 0, 0] == [500]
+    assert {(a, b) for ids in tasks.values() for a in ids for b in ids if a < b} == {(a, b) for a in range(200) for b in range(a + 1, 200)}
+
+
 def test_similar_pairs_same_as_brute_force():
     rnd = random.Random(11)
     base = [rnd.sample(range(1 << 40), 60) for _ in range(6)]
