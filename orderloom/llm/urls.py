@@ -70,12 +70,16 @@ def host_edges(pages: DataFrame, host: str = "host", html: str = "html") -> Data
 def propagate(
     edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-4, rounds: int = 50
 ) -> DataFrame:
-    """``host``, ``trust``, ``distrust`` of every host that either reaches.
+    """``host``, ``trust``, ``distrust``, ``linked`` and ``linking`` of every host that trust or distrust reaches.
 
     ``seeds`` has ``host``, ``kind`` (trust or distrust) and ``weight``. In a round each host passes ``damping`` of what it
     received last on, trust over its links in proportion to their number, distrust over the links that come in; a seed starts with
     1 - ``damping`` times its weight. Scores are sums over all rounds; rounds end when what is still on its way is below
-    ``tolerance`` of what the seeds started with. A score depends on the links near a host, not on how many hosts there are.
+    ``tolerance`` of what the seeds started with. What a host has is divided among its partners, so many partners get little each.
+
+    ``linked`` and ``linking`` do not depend on how many partners the others have: a host gets the average of its partners'
+    amounts, weighted by its own links: ``linked`` that of the hosts whose links come in, from trusted seeds, and ``linking`` that of the
+    hosts its links go to, from distrusted seeds. A host all of whose links go to distrusted seeds has (1 - ``damping``) * ``damping``.
 
     State and edges are written to the shared folder, so lineage stays short. Sums are taken in the map tasks
     first, and the join on a host with very many links may be split by Spark.
@@ -88,12 +92,22 @@ def propagate(
     against = edges.join(back, "dst").select(
         F.lit("distrust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), (F.col("n") / F.col("total")).alias("share")
     )
-    flows = stored(forward.unionByName(against), "flows")
+    received = edges.join(back, "dst").select(
+        F.lit("linked").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), (F.col("n") / F.col("total")).alias("share")
+    )
+    sent = edges.join(out, "src").select(
+        F.lit("linking").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), (F.col("n") / F.col("total")).alias("share")
+    )
+    flows = stored(forward.unionByName(against).unionByName(received).unionByName(sent), "flows")
+    average = F.when(F.col("kind") == "trust", "linked").otherwise("linking")
+    every = seeds.select("kind", "host", "weight").unionByName(seeds.select(average.alias("kind"), "host", "weight"))
+    divided = F.col("kind").isin("trust", "distrust")
+    amounts = F.sum(F.when(divided, F.col("amount"))), F.max(F.when(~divided, F.col("amount")))
     moving = stored(
-        seeds.groupBy("kind", "host").agg((F.sum("weight") * (1 - damping)).alias("amount")), "moving"
+        every.groupBy("kind", "host").agg((F.sum("weight") * (1 - damping)).alias("amount")), "moving"
     )
     parts = [moving]
-    started = moving.agg(F.sum("amount")).first()[0] or 0.0
+    started, most = (v or 0.0 for v in moving.agg(*amounts).first())
     total = moving
     for k in range(rounds):
         if flows.isEmpty():
@@ -104,16 +118,18 @@ def propagate(
             .agg((F.sum(F.col("amount") * F.col("share")) * damping).alias("amount")),
             f"moving-{k}",
         )
-        left = moving.agg(F.sum("amount")).first()[0] or 0.0
+        left, highest = (v or 0.0 for v in moving.agg(*amounts).first())
         parts.append(moving)
         if len(parts) == 8:  # keep the union short
             total = stored(_summed(parts), "total")
             parts = [total]
-        if left <= tolerance * started:
+        if left <= tolerance * started and highest <= tolerance * most:
             break
     return _summed(parts).groupBy("host").agg(
-        F.sum(F.when(F.col("kind") == "trust", F.col("amount")).otherwise(0.0)).alias("trust"),
-        F.sum(F.when(F.col("kind") == "distrust", F.col("amount")).otherwise(0.0)).alias("distrust"),
+        *(
+            F.sum(F.when(F.col("kind") == kind, F.col("amount")).otherwise(0.0)).alias(kind)
+            for kind in ("trust", "distrust", "linked", "linking")
+        )
     )
 
 
@@ -137,8 +153,9 @@ def judge(
 ) -> DataFrame:
     """``page_id``, ``host``, ``path``, ``rule``, ``trust``, ``distrust`` and ``verdict`` (allow or block) of every page.
 
-    A rule decides where one fits. Elsewhere the host decides: it is blocked if its distrust is at least
-    ``block_at`` and more than its trust. Seeds are ``trusted`` and ``blocked`` hosts with their subdomains (weight 1); hosts
+    A rule decides where one fits. Elsewhere the host decides by the averages over its own links (see ``propagate``): it is
+    blocked if its ``linking`` is at least ``block_at`` and more than its ``linked``, so however many hosts link to a blocked one,
+    each is blocked if about a quarter of its own links to other hosts go there. Seeds are ``trusted`` and ``blocked`` hosts with their subdomains (weight 1); hosts
     that a rule for all paths covers (weight 1); and hosts with pages that a rule for some paths allows, with the share of such pages. A rule
     that blocks some paths says nothing about the rest of a host.
 
@@ -176,7 +193,7 @@ def judge(
         ).alias("s"),
     ).select("host", "s.kind", "s.weight")
     scores = propagate(edges, seeds.where("weight > 0"), **flow)
-    by_score = (F.col("distrust") >= block_at) & (F.col("distrust") > F.col("trust"))
+    by_score = (F.col("linking") >= block_at) & (F.col("linking") > F.col("linked"))
     return judged.join(scores, "host", "left").select(
         "page_id",
         "host",

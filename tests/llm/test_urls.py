@@ -89,6 +89,20 @@ def test_hosts_that_point_to_blocked_ones_are_blocked(spark):
     assert got[3].trust > 0 and got[1].distrust > 0.03
 
 
+def test_every_host_of_a_farm_is_blocked_however_many_there_are(spark):
+    farm = [page(k, f"http://farm{k}.com/", "http://spam.bad/x") for k in range(100)]
+    rows = [
+        *farm,
+        page(200, "http://busy.com/", *["http://spam.bad/x"] * 900),
+        page(201, "http://paper.com/", "http://spam.bad/x", *(f"http://other{k}.com/" for k in range(9))),
+        page(202, "http://spam.bad/", "http://victim.com/"),
+        page(203, "http://victim.com/"),
+    ]
+    got = {i: r.verdict for i, r in judged(spark, rows, blocked=("bad",)).items()}
+    assert [got[k] for k in range(100)] == ["block"] * 100
+    assert (got[200], got[201], got[202], got[203]) == ("block", "allow", "block", "allow")
+
+
 def test_only_native_operators(spark):
     df = spark.createDataFrame([page(1, "http://a.com/", "http://b.net/")], "page_id long, url string, html string")
     plan = u.judge(df, RULES)._jdf.queryExecution().executedPlan().toString()
