@@ -1,8 +1,9 @@
 """Main text of HTML pages by composite text density.
 
 Each node has a density: its characters per tag, lowered by the share of them in links. The node whose children's densities
-add up to the most is the content, and with it what beside its path to the body is at least as dense as the least dense node on that
-path below the body. Inline markup does not count as tags of its own, so emphasis inside a paragraph leaves its density alone.
+add up to the most is the core. The content is the outermost article or main around it, whole; without one, the highest node around it
+below the body that is made mostly of text outside links, without the menus in it. With it goes what beside the rest of the path to the body is
+at least as dense as the least dense node on that path, and headings, sections and other prose there. Inline markup does not count as tags of its own, so emphasis inside a paragraph leaves its density alone.
 """
 
 from __future__ import annotations
@@ -26,10 +27,11 @@ INLINE = frozenset(
     "span strike strong sub sup time tt u var wbr td th br img input".split()
 )
 DROPPED = frozenset(
-    "script style noscript template head title nav footer aside form button select textarea input iframe object svg "
+    "script style noscript template head title nav footer aside button select textarea input iframe object svg "
     "math canvas audio video dialog menu".split()
 )
-#: Words of a class, id or role that mark menus, adverts, notices and the like.
+#: Words of a class, id or role that mark menus, adverts, notices and the like. An element with one, or a form, is dropped unless it
+#: holds the content: see ``Tree._settle``.
 DROPPED_NAMES = frozenset(
     "ad ads adsense advert adverts advertisement banner sponsor sponsored promo cookie cookies consent gdpr notice notices "
     "alert popup modal overlay newsletter subscribe signup nav navbar navigation menu breadcrumb breadcrumbs sidebar "
@@ -47,6 +49,9 @@ CLOSES = {
     "option": ({"option"}, {"select"}),
 }
 KEPT = frozenset(("html", "body", "main", "article"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements of running text that stay beside the content, whatever their density, unless most of their text is in links.
+PROSE = HEADINGS | frozenset("article section p ul ol dl table blockquote pre figure".split())
 NAME = re.compile(r"[^a-z0-9]+")
 BLANK = re.compile(r"[ \t\n\r\f\v\xa0]+")
 
@@ -56,17 +61,19 @@ class Tree(HTMLParser):
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.tag, self.parent, self.dropped = ["#root"], [-1], [False]
+        self.tag, self.parent, self.dropped, self.named = ["#root"], [-1], [False], [False]
         self.items: list[list] = [[]]
         self.open = [0]
         self.feed(html)
         self.close()
+        self._settle()
 
     def _add(self, tag: str, attrs) -> int:
         node, parent = len(self.tag), self.open[-1]
         self.tag.append(tag)
         self.parent.append(parent)
         self.dropped.append(self.dropped[parent] or self._is_dropped(tag, attrs))
+        self.named.append(self._is_named(tag, attrs))
         self.items.append([])
         self.items[parent].append(node)
         return node
@@ -76,12 +83,43 @@ class Tree(HTMLParser):
             return False
         if tag in DROPPED or tag == "header" and not any(self.tag[k] in ("article", "main") for k in self.open):
             return True
-        for name, value in attrs:
-            if name in ("class", "id", "role") and value and not DROPPED_NAMES.isdisjoint(NAME.split(value.lower())):
-                return True
-            if name == "hidden" or name == "aria-hidden" and value == "true":
-                return True
-        return False
+        return any(name == "hidden" or name == "aria-hidden" and value == "true" for name, value in attrs)
+
+    @staticmethod
+    def _is_named(tag: str, attrs) -> bool:
+        return tag == "form" or any(
+            name in ("class", "id", "role") and value and not DROPPED_NAMES.isdisjoint(NAME.split(value.lower()))
+            for name, value in attrs
+        )
+
+    def _settle(self) -> None:
+        """Drop named elements, but for those that hold an article or main without such a name, a first-level heading and more text than
+        that, or most of the page's text outside links while no article or main stands elsewhere."""
+        n = len(self.tag)
+        linked, size, heading, articles = [False] * n, [0] * n, [0] * n, [0] * n
+        for k in range(1, n):
+            linked[k] = linked[self.parent[k]] or self.tag[k] == "a"
+        for k in range(n - 1, -1, -1):
+            if self.dropped[k]:
+                continue
+            if not linked[k]:
+                size[k] += sum(len(BLANK.sub("", item)) for item in self.items[k] if isinstance(item, str))
+            if self.tag[k] == "h1":
+                heading[k] = size[k]
+            articles[k] += self.tag[k] in ("article", "main") and not self.named[k] and size[k] > 0
+            if k:
+                p = self.parent[k]
+                size[p] += size[k]
+                heading[p] += heading[k]
+                articles[p] += articles[k]
+        inside = [False] * n  # an article or main
+        for k in range(1, n):
+            p = self.parent[k]
+            inside[k] = inside[p] or self.tag[k] in ("article", "main") and not self.named[k]
+            if not self.dropped[k] and self.named[k] and self.tag[k] not in KEPT:
+                most = 2 * size[k] > size[0] and (inside[k] or not articles[0])
+                self.dropped[k] = not (articles[k] or most or 0 < heading[k] < size[k] - heading[k])
+            self.dropped[k] = self.dropped[k] or self.dropped[p]
 
     def handle_starttag(self, tag, attrs):
         if tag not in INLINE:
@@ -168,10 +206,19 @@ def main_text(html: str) -> str:
     while path[-1] != body:
         path.append(tree.parent[path[-1]])
     floor = min((dense[k] for k in path[:-1]), default=math.inf)  # the body itself holds all the clutter
-    on_path, chosen = set(path), {best}
-    for k in path[1:]:
+    mostly_text = lambda k: 2 * link_chars[k] < chars[k]
+    whole = [k for k in path if tree.tag[k] in ("article", "main") and k != body]
+    top = whole[-1] if whole else next((k for k in reversed(path) if k != body and mostly_text(k)), best)
+    on_path, chosen, at = set(path), {top}, path.index(top)
+    for k in path[1 : at + 1] if not whole else ():  # menus beside the content of a page without article
+        for c in tree.items[k]:
+            if not isinstance(c, str) and c not in on_path and tree.tag[c] not in INLINE and not mostly_text(c) and dense[c] < floor:
+                tree.dropped[c] = True
+    for k in path[at + 1 :]:
         chosen.update(
-            c for c in tree.items[k] if not isinstance(c, str) and c not in on_path and dense[c] >= floor > 0
+            c
+            for c in tree.items[k]
+            if not isinstance(c, str) and c not in on_path and (dense[c] >= floor > 0 or tree.tag[c] in PROSE and mostly_text(c))
         )
     return "\n\n".join(_blocks(tree, body, chosen))
 

@@ -36,6 +36,30 @@ def test_sidebars_comments_forms_and_notices_go():
     assert got == f"Story\n\n{P.strip()}\n\none\n\ntwo"
 
 
+def test_articles_keep_title_lighter_sections_and_direct_text():
+    many = f"<section>{f'<p>{P * 3}</p>' * 5}</section>"
+    items = "<ul>" + "".join(f"<li>item {k}" for k in range(6)) + "</ul>"
+    rest = f"<section><h2>Parts</h2>{items}</section><section><h2>More</h2><p>{P}</p><p>{P}</p></section>"
+    for wrap in ("<article>{}</article>", "<main><div>{}</div></main>", "<div>{}</div>"):
+        got = html.main_text(page(wrap.format(f"<h1>The title</h1>direct text{many}{rest}")))
+        assert got.startswith("The title\n\ndirect text\n\nThe quick") and "Parts\n\nitem 0" in got and got.count("fox") == 17
+    got = html.main_text(page(f"<h1>The title</h1>{many}{rest}"))
+    assert got.startswith("The title") and "item 5" in got and got.count("fox") == 17
+
+
+def test_wrappers_with_telling_names_keep_the_content():
+    side = f'<div class="sidebar"><p>{P}</p></div>'
+    for name in ('div class="has-sidebar"', 'div class="content no-sidebar"', 'div id="post" class="post comments-open"', 'form action="/"'):
+        tag = name.split()[0]
+        for body in (f"<article><h1>Title</h1><p>{P * 3}</p></article>", f"<h1>Title</h1><p>{P * 3}</p>", f"<p>{P * 3}</p>"):
+            got = html.main_text(page(f"<{name}>{body}{side}</{tag}>"))
+            assert got.count("fox") == 3 and ("Title" in got) == ("h1" in body)
+    got = html.main_text(page(f'<article><p>{P}</p><section id="social-impact"><h1>Impact</h1><p>{P}</p></section></article>'))
+    assert got.count("fox") == 2
+    comments = f'<section id="comments"><ol>{f"""<li><article class="comment-body"><p>{P * 9}</p></article>""" * 3}</ol></section>'
+    assert html.main_text(page(f"<article><p>{P}</p></article>{comments}")) == P.strip()
+
+
 def test_odd_pages():
     assert html.main_text("") == ""
     assert html.main_text("<html><body></body></html>") == ""
