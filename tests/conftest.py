@@ -35,8 +35,3 @@ def frame(spark):
 @pytest.fixture
 def folder(tmp_path):
     return str(tmp_path)
-
-
-def tuples(df, *order):
-    rows = [tuple(r) for r in df.collect()]
-    return sorted(rows, key=lambda r: tuple((v is not None, str(v)) for v in r))

@@ -4,7 +4,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import tuples
+from comparing import tuples
 from pyspark.sql import functions as F
 
 from orderloom.operators.dedupe import dedupe_first

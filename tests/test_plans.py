@@ -4,7 +4,7 @@ import datetime as dt
 from decimal import Decimal as D
 
 import pytest
-from conftest import tuples
+from comparing import tuples
 
 from orderloom.plans import o2c, receivables, retail
 from orderloom.sources import schemas

@@ -2,7 +2,7 @@ import datetime as dt
 from decimal import Decimal as D
 
 import pytest
-from conftest import tuples
+from comparing import tuples
 
 from orderloom.operators.quality import (
     accepted, between, failing, matches, not_null, read_failures, relationships, run_checks, store_failures, stored_report, unique,

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import tuples
+from comparing import tuples
 from pyspark.sql import functions as F
 
 from orderloom.sources.tables import read_table

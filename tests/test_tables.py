@@ -2,7 +2,7 @@ import datetime as dt
 import os
 
 import pytest
-from conftest import tuples
+from comparing import tuples
 
 from orderloom.operators.incremental import SchemaChangedError
 from orderloom.sources import tables
