@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, decontamination, html, licenses, pii, quality, simhash, substrings, urls, warc
+from orderloom.llm import bpe, decontamination, fim, html, licenses, pii, quality, simhash, substrings, urls, warc
 from orderloom.llm.shipping import shared_path, stored
 from orderloom.session import apply_scale_defaults
 
@@ -292,3 +292,44 @@ def warc_round_trip(spark, d):
         F.col("response.type").alias("record_type"),
         original["page_id"].cast("long").alias("refers_to"),
     )
+
+
+# --- 11: fill-in-middle ----------------------------------------------------------------------------------------------
+FIM_SQL = """
+    WITH cut AS (
+        SELECT doc_id, coalesce(text, '') text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') w,
+            sha256('1:' || doc_id) h
+        FROM documents),
+    drawn AS (
+        SELECT *, len(w) n, CAST('0x' || substr(h, 1, 8) AS UBIGINT) % (len(w) + 1) a,
+            CAST('0x' || substr(h, 9, 8) AS UBIGINT) % (len(w) + 1) b,
+            CAST('0x' || substr(h, 17, 8) AS UBIGINT) % 100 third, CAST('0x' || substr(h, 25, 8) AS UBIGINT) % 100 fourth
+        FROM cut),
+    parts AS (
+        SELECT doc_id, text, n,
+            CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR third >= 90
+                THEN 'plain' WHEN fourth < 20 THEN 'spm' ELSE 'psm' END form,
+            array_to_string(w[1:least(a, b)], '') p, array_to_string(w[least(a, b) + 1:greatest(a, b)], '') m,
+            array_to_string(w[greatest(a, b) + 1:], '') s
+        FROM drawn)
+    SELECT doc_id, CAST(n AS BIGINT) n, form,
+        CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END prefix_chars,
+        CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END middle_chars,
+        sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+               ELSE '<S>' || s || '<P>' || p || '<M>' || m END) output_sha256,
+        sha256(text) restored_sha256
+    FROM parts"""
+
+
+@register("op11_fill_in_middle", FIM_SQL)
+def fill_in_middle(spark, d):
+    made = fim.transform(table(spark, d, "documents").select("doc_id", "text"))
+    return made.select(
+        "doc_id",
+        F.col("n_units").alias("n"),
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fim.restored().cast("binary"), 256).alias("restored_sha256"),
+    )
