@@ -3,13 +3,14 @@ SQL can say it."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, decontamination, fim, html, licenses, pii, quality, simhash, substrings, urls, warc
+from orderloom.llm import bpe, centroids, decontamination, fim, html, licenses, pii, quality, simhash, substrings, urls, warc
 from orderloom.llm.shipping import shared_path, stored
 from orderloom.session import apply_scale_defaults
 
@@ -333,3 +334,53 @@ def fill_in_middle(spark, d):
         F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
         F.sha2(fim.restored().cast("binary"), 256).alias("restored_sha256"),
     )
+
+
+# --- 13: centroid clustering -----------------------------------------------------------------------------------------
+def _centroid_sql(k: int = 8, rounds: int = 10) -> str:
+    steps = [
+        """kept AS (
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) v
+        FROM embeddings
+        WHERE len(embedding) = 64
+            AND list_sum(list_transform(embedding, lambda x: CASE WHEN isfinite(CAST(x AS DOUBLE)) THEN 1 ELSE 0 END)) = 64)""",
+        f"""c0 AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 c, v FROM kept
+        ORDER BY sha256('3:' || vec_id), v LIMIT {k})""",
+    ]
+    for t in range(rounds + 1):
+        steps.append(f"""a{t} AS MATERIALIZED (
+        SELECT vec_id, kept.v v, arg_min(c, (d, c)) c, min(d) d
+        FROM (SELECT vec_id, kept.v v, rid, c,
+                CAST(list_sum(list_transform(range(1, 65), lambda i: (kept.v[i] - c{t}.v[i]) * (kept.v[i] - c{t}.v[i]))) AS BIGINT) d
+            FROM (SELECT *, row_number() OVER () rid FROM kept) kept, c{t}) kept
+        GROUP BY rid, vec_id, kept.v)""")
+        if t < rounds:
+            steps.append(f"""m{t} AS (
+        SELECT c, list(m ORDER BY i) v
+        FROM (SELECT c, i, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) m
+            FROM (SELECT c, unnest(v) x, unnest(range(64)) i FROM a{t}) GROUP BY c, i) GROUP BY c),
+    c{t + 1} AS MATERIALIZED (SELECT c, coalesce(m{t}.v, c{t}.v) v FROM c{t} LEFT JOIN m{t} USING (c))""")
+    return f"""WITH {", ".join(steps)}
+    SELECT vec_id, CAST(c AS INTEGER) "cluster", d distance,
+        CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) cluster_inertia, CAST(sum(d) OVER () AS BIGINT) inertia,
+        sha256(array_to_string(c{rounds}.v, ',')) centroid_sha256
+    FROM a{rounds} JOIN c{rounds} USING (c)"""
+
+
+@register("op13_centroids", _centroid_sql())
+def centroid_clustering(spark, d):
+    found = centroids.cluster(table(spark, d, "embeddings"))
+    digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in found.centroids]
+
+    def of_cluster(values, kind):
+        return F.element_at(F.array(*map(F.lit, values)).cast(f"array<{kind}>"), F.col("cluster") + 1)
+
+    return found.members.select(
+        F.col("id").alias("vec_id"),
+        "cluster",
+        "distance",
+        of_cluster(found.inertia, "bigint").alias("cluster_inertia"),
+        F.lit(sum(found.inertia)).cast("long").alias("inertia"),
+        of_cluster(digests, "string").alias("centroid_sha256"),
+    )

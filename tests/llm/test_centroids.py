@@ -1,0 +1,113 @@
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+
+from orderloom.llm import centroids
+
+
+def by_hand(rows, k, rounds, dims, seed=3):
+    """Plain rounds in Python's whole numbers: sorted (id, cluster, distance), and the centroids."""
+    kept = [
+        (i, tuple(math.floor(1024 * float(x)) for x in v))
+        for i, v in rows
+        if v is not None and len(v) == dims and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    drawn = sorted(kept, key=lambda r: (hashlib.sha256(f"{seed}:{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[1]))
+    at = [v for _, v in drawn[:k]]
+
+    def nearest(v):
+        return min((sum((x - y) ** 2 for x, y in zip(v, c, strict=True)), j) for j, c in enumerate(at))
+
+    for _ in range(rounds):
+        members = [[] for _ in at]
+        for _, v in kept:
+            members[nearest(v)[1]].append(v)
+        at = [tuple(sum(x) // len(m) for x in zip(*m, strict=True)) if m else c for m, c in zip(members, at, strict=True)]
+    return sorted(((i, *nearest(v)[::-1]) for i, v in kept), key=repr), at
+
+
+def compare(spark, rows, k=8, rounds=10, dims=4, parts=3, kind="double"):
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>, cluster string").repartition(parts)
+    found = centroids.cluster(df, k, rounds, dims)
+    members, at = by_hand([(i, v) for i, v, _ in rows], k, rounds, dims)
+    assert sorted((tuple(r) for r in found.members.collect()), key=repr) == members
+    assert found.centroids == [tuple(c) for c in at]
+    assert sum(found.inertia) == sum(d for _, _, d in members)
+    assert found.inertia == [sum(d for _, c, d in members if c == j) for j in range(len(at))]
+    return found
+
+
+def test_random_vectors(spark):
+    rnd = random.Random(3)
+    compare(spark, [(i, [rnd.gauss(0, 1) for _ in range(4)], "own") for i in range(900)])
+
+
+def test_ties_copies_and_emptied_clusters(spark):
+    rnd = random.Random(4)
+    grid = [(i, [float(rnd.randrange(-2, 3)) / 1024 for _ in range(4)], "own") for i in range(400)]
+    copies = [(1000 + i, [0.5, 0.5, 0.5, 0.5], "own") for i in range(300)]
+    compare(spark, grid + copies + copies)
+    compare(spark, copies, parts=2)  # all centroids in one place: the first takes everything
+    compare(spark, grid, k=300, rounds=3)
+
+
+def test_odd_vectors_are_left_out(spark):
+    nan, inf = math.nan, math.inf
+    rows = [
+        (1, None, "own"), (2, [], "own"), (3, [1.0, 2.0, 3.0], "own"), (4, [1.0, None, 2.0, 3.0], "own"), (5, [1.0, nan, 2.0, 3.0], "own"),
+        (6, [1.0, -inf, 2.0, 3.0], "own"), (7, [1.0] * 5, "own"), (None, [0.1, 0.2, -0.3, 0.4], "own"), (8, [-0.0001, 0.0, 1.0, 2.0], "own"),
+        (8, [-0.0001, 0.0, 1.0, 2.0], "own"), (9, [100.0, -100.0, 99.0, 3.25], "own"),
+    ]
+    compare(spark, rows)
+    empty = centroids.cluster(spark.createDataFrame(rows[:6], "vec_id long, embedding array<double>, cluster string"), dims=4)
+    assert empty.members.collect() == [] and empty.centroids == []
+
+
+def test_large_components(spark):
+    rnd = random.Random(6)
+    compare(spark, [(i, [rnd.uniform(-130_000, 130_000) for _ in range(4)], "own") for i in range(60)], rounds=4)
+    with pytest.raises(ValueError, match="131072"):
+        centroids.cluster(spark.createDataFrame([(1, [1e6] * 4)], "vec_id long, embedding array<double>"), dims=4)
+
+
+def test_no_rounds(spark):
+    compare(spark, [(i, [float(i), 0.0, 0.0, 0.0], "own") for i in range(20)], k=3, rounds=0, kind="float")
+
+
+def test_bounds_save_most_scans_of_parted_vectors(spark):
+    rnd = random.Random(8)
+    rows = [(i, [10.0 * (i % 8 == j) + rnd.gauss(0, 0.3) for j in range(8)], "own") for i in range(1600)]
+    found = compare(spark, rows, dims=8)
+    assert found.scanned[0] == 1600 and len(found.scanned) == 11
+    assert sum(found.scanned[1:]) < 0.3 * 10 * 1600
+
+
+def test_no_point_of_a_ball_comes_nearer_than_stated():
+    rnd = np.random.default_rng(9)
+    tight = 0
+    for _ in range(300):
+        d = int(rnd.integers(2, 6))
+        centres, old = rnd.normal(0, 3, (4, d)), rnd.normal(0, 3, (3, d))
+        new = old + rnd.normal(0, rnd.choice([0.01, 0.5, 3]), (3, d))
+        radii = rnd.choice([0.0, 0.2, 1.0, 4.0], 4)
+        bound = centroids.approach(centres, radii, old, new)
+        way = np.sqrt(((new - old) ** 2).sum(1))
+        assert (bound <= way[None] * (1 + 1e-8) + 1e-8).all()
+        tight += int((bound < 0.9 * way[None]).sum())
+        steps = rnd.normal(0, 1, (4, 500, d))
+        points = centres[:, None] + radii[:, None, None] * steps / np.sqrt((steps**2).sum(2, keepdims=True))
+        for j in range(3):
+            fell = np.sqrt(((points - old[j]) ** 2).sum(2)) - np.sqrt(((points - new[j]) ** 2).sum(2))
+            assert (fell <= bound[:, j, None] + 1e-9).all()
+    assert tight > 1000  # of 3,600
+
+
+def test_moving_aside_or_away_loosens_nothing():
+    centre, radius = np.zeros((1, 2)), np.array([1.0])
+    old = np.array([[10.0, 0.0], [10.0, -0.5], [10.0, 0.0]])
+    new = np.array([[12.0, 0.0], [10.0, 0.5], [8.0, 0.0]])
+    away, aside, toward = centroids.approach(centre, radius, old, new)[0]
+    assert away < 1e-5 and aside < 0.11 and toward == pytest.approx(2, rel=0.02)
