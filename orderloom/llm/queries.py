@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, centroids, decontamination, fim, html, licenses, pii, quality, simhash, substrings, urls, warc
+from orderloom.llm import bpe, centroids, decontamination, fim, html, languages, licenses, pii, quality, simhash, substrings, urls, warc
 from orderloom.llm.shipping import shared_path, stored
 from orderloom.session import apply_scale_defaults
 
@@ -336,6 +336,15 @@ def fill_in_middle(spark, d):
     )
 
 
+# --- 12: language identification -------------------------------------------------------------------------------------
+@register("op12_language_id")
+def language_id(spark, d):
+    docs = table(spark, d, "documents")
+    model = languages.train(docs.where(F.col("doc_id").isNotNull() & ~languages.held_out()))
+    found = languages.predict(docs.select("doc_id", "text", languages.held_out().alias("held_out")), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 # --- 13: centroid clustering -----------------------------------------------------------------------------------------
 def _centroid_sql(k: int = 8, rounds: int = 10) -> str:
     steps = [
