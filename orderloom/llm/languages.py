@@ -91,25 +91,29 @@ def features(texts: list[str | None]) -> np.ndarray:
 
 
 # --- machines --------------------------------------------------------------------------------------------------------
-def machine(rows: np.ndarray, positive: np.ndarray, cost: float = 20.0, rounds: int = 15) -> np.ndarray:
-    """Weights of a linear support vector machine with squared hinge loss, the last one being the offset.
+def machine(rows: np.ndarray, members: np.ndarray, positive: np.ndarray, cost: float = 20.0, rounds: int = 15) -> np.ndarray:
+    """Weights of a linear support vector machine with squared hinge loss for the rows with the numbers ``members``, the last
+    weight being the offset.
 
     Dual coordinate descent: one multiplier is set to its best value at a time. Classes of different size weigh the same.
     """
-    x = np.hstack([rows, np.ones((len(rows), 1))])
     y = np.where(positive, 1.0, -1.0)
     share = np.where(positive, positive.mean(), 1 - positive.mean())
     soft = share / cost  # 1 / (2 C) of the usual notation, by class
-    weights, alpha, own = np.zeros(x.shape[1]), np.zeros(len(x)), (x * x).sum(1) + soft
+    weights, offset, alpha = np.zeros(rows.shape[1]), 0.0, np.zeros(len(members))
+    own = np.array([float(rows[m] @ rows[m]) for m in members]) + 1 + soft
     order = np.random.default_rng(17)
     for _ in range(rounds):
-        for i in order.permutation(len(x)):
-            slope = y[i] * (x[i] @ weights) - 1 + soft[i] * alpha[i]
+        for i in order.permutation(len(members)):
+            row = rows[members[i]]
+            slope = y[i] * (row @ weights + offset) - 1 + soft[i] * alpha[i]
             better = max(alpha[i] - slope / own[i], 0.0)
             if better != alpha[i]:
-                weights += (better - alpha[i]) * y[i] * x[i]
+                step = (better - alpha[i]) * y[i]
+                weights += step * row
+                offset += step
                 alpha[i] = better
-    return weights
+    return np.append(weights, offset)
 
 
 @dataclass
@@ -121,13 +125,14 @@ class Votes:
     weights: np.ndarray
 
     @classmethod
-    def trained(cls, rows: np.ndarray, labels: np.ndarray) -> Votes:
+    def trained(cls, rows: np.ndarray, members: np.ndarray, labels: np.ndarray) -> Votes:
+        """From the rows with the numbers ``members``, whose classes are ``labels``."""
         classes = sorted(set(labels.tolist()))
         pairs = list(combinations(range(len(classes)), 2))
         weights = np.zeros((len(pairs), rows.shape[1] + 1))
         for k, (a, b) in enumerate(pairs):
-            both = (labels == classes[a]) | (labels == classes[b])
-            weights[k] = machine(rows[both], labels[both] == classes[a])
+            both = np.flatnonzero((labels == classes[a]) | (labels == classes[b]))
+            weights[k] = machine(rows, members[both], labels[both] == classes[a])
         return cls(classes, pairs, weights)
 
     def decide(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,10 +158,10 @@ class Model:
 
     @classmethod
     def trained(cls, rows: np.ndarray, langs: list[str]) -> Model:
-        langs = np.array(langs, dtype=object)
+        every, langs = np.arange(len(rows)), np.array(langs, dtype=object)
         family = np.array([family_of(x) for x in langs], dtype=object)
-        families = Votes.trained(rows, family)
-        return cls(families, [Votes.trained(rows[family == f], langs[family == f]) for f in families.classes])
+        families = Votes.trained(rows, every, family)
+        return cls(families, [Votes.trained(rows, every[family == f], langs[family == f]) for f in families.classes])
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         names: list[str] = []
@@ -217,10 +222,19 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", max_rows:
                 yield pa.RecordBatch.from_arrays(columns, schema=to_arrow_schema(schema))
 
     measured = chosen.select("text", "lang", "h").mapInArrow(measure, schema)
-    found = measured.groupBy("lang", "h").agg(F.first("row").alias("row")).collect()
-    by_lang = {x: sorted((r["h"], r["row"]) for r in found if r["lang"] == x)[:each] for x in sorted(counts)}
-    matrix = np.array([np.frombuffer(row, dtype=np.float16) for x in by_lang for _, row in by_lang[x]], dtype=np.float64)
-    return Model.trained(matrix, [x for x in by_lang for _ in by_lang[x]])
+    found = sorted(measured.groupBy("lang", "h").agg(F.first("row").alias("row")).collect(), key=lambda r: (r["lang"], r["h"]))
+    taken: dict[str, int] = {}
+    sample = []
+    for r in found:
+        taken[r["lang"]] = taken.get(r["lang"], 0) + 1
+        if taken[r["lang"]] <= each:
+            sample.append(r)
+    matrix = np.empty((len(sample), BUCKETS), dtype=np.float32)
+    for row, r in zip(matrix, sample, strict=True):
+        row[:] = np.frombuffer(r["row"], dtype=np.float16)
+    langs = [r["lang"] for r in sample]
+    del found, sample
+    return Model.trained(matrix, langs)
 
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:

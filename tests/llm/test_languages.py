@@ -73,7 +73,7 @@ def test_machine_is_the_best_of_its_kind():
     rnd = np.random.default_rng(2)
     rows = np.vstack([rnd.normal(0.3, 1, (60, 5)), rnd.normal(-0.3, 1, (30, 5))])
     positive = np.arange(90) < 60
-    weights = languages.machine(rows, positive, cost=0.5, rounds=4000)
+    weights = languages.machine(rows, np.arange(90), positive, cost=0.5, rounds=4000)
     x, y = np.hstack([rows, np.ones((90, 1))]), np.where(positive, 1.0, -1.0)
     cost = 0.5 / np.where(positive, 2 / 3, 1 / 3)
     gap = np.maximum(1 - y * (x @ weights), 0)
