@@ -16,6 +16,7 @@ from driver import inputs, oracle
 from driver.datasets import AS_OF, LOADED_AT, O2C, Retail
 from orderloom.functions import mapping, metrics, parsing, text
 from orderloom.operators import quality
+from orderloom.operators.changes import detect_changes
 from orderloom.operators.dedupe import dedupe_first
 from orderloom.operators.history import scd2_apply
 from orderloom.operators.incremental import incremental_filter
@@ -26,7 +27,7 @@ from orderloom.plans import build, checks, o2c, receivables, retail
 from orderloom.session import apply_scale_defaults, work_dir
 from orderloom.sources import schemas
 from orderloom.sources.readers import read_malformed, read_raw
-from orderloom.sources.tables import range_sort, read_history, read_table, upsert_table, write_table
+from orderloom.sources.tables import range_sort, read_changes, read_history, read_table, upsert_table, write_table
 from orderloom.streaming.upserts import stream_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -729,6 +730,42 @@ def _upsert_replayed(spark, d):
     return read_table(spark, path).drop("_month")
 
 
+@register(
+    "detect_changes",
+    oracle.with_models(f"""
+        SELECT order_id, CAST(order_date AS VARCHAR) AS order_date, order_status, 'unchanged' AS change
+        FROM o2c_stg_sales_orders WHERE order_status NOT IN ('ON_HOLD', 'CANCELLED')
+        UNION ALL SELECT order_id, CAST(order_date AS VARCHAR), order_status, 'deleted' FROM o2c_stg_sales_orders
+        WHERE order_status = 'CANCELLED'
+        UNION ALL SELECT order_id, CAST(order_date AS VARCHAR), order_status,
+            CASE WHEN starts_with(order_id, 'NEW-') THEN 'inserted' ELSE 'updated' END FROM ({_CHANGED}) AS changed"""),
+)
+def _detect_changes(spark, d):
+    """Two snapshots of all orders: held ones confirmed, drafts copied, cancelled ones gone, the rest as before."""
+    orders = _order_columns(spark, d)
+    after = orders.filter("order_status not in ('ON_HOLD', 'CANCELLED')").unionByName(_order_changes(orders))
+    found = detect_changes(orders, after, ["order_id"], deletions=True)
+    return found.select("order_id", "order_date", "order_status", "change")
+
+
+@register(
+    "change_feed",
+    oracle.with_models(f"""
+        SELECT order_id, CAST(order_date AS VARCHAR) AS order_date, order_status, CAST(1 AS BIGINT) AS load,
+            CASE WHEN starts_with(order_id, 'NEW-') THEN 'inserted' ELSE 'updated' END AS change
+        FROM ({_CHANGED}) AS changed"""),
+)
+def _change_feed(spark, d):
+    """A whole snapshot comes again with some orders changed and some new; the table tells which. A replay adds nothing."""
+    orders, path = _order_columns(spark, d), scratch(spark, "orders_fed")
+    month = F.date_format("order_date", "yyyy-MM")
+    upsert_table(orders.withColumn("month", month), path, ["order_id"], ["month"])
+    after = orders.filter("order_status <> 'ON_HOLD'").unionByName(_order_changes(orders)).withColumn("month", month)
+    for _ in range(2):
+        upsert_table(after, path, ["order_id"], ["month"])
+    return read_changes(spark, path, since=0).select("order_id", "order_date", "order_status", "load", "change")
+
+
 @register(
     "table_by_postal_code",
     oracle.with_models("SELECT shipment_id, trim(ship_to_zip) AS ship_to_zip FROM o2c_raw_shipments"),

@@ -180,7 +180,8 @@ def load_fct_orders(
 
     Orders without a date are part of every load: no mark can tell whether they are new. ``old_rows_in`` is a
     condition on the stored fact, usually on its period, that says where earlier rows of the same
-    orders may be; without it all periods are searched (order ids and periods only).
+    orders may be; without it the index of order ids tells. Orders that are as they were stay untouched and
+    keep the time of the load that wrote them.
 
     Of several rows with one order id in a batch the latest order date wins, then the larger of the
     remaining values in column order.
@@ -193,7 +194,14 @@ def load_fct_orders(
     facts = facts.withColumn(PERIOD, F.date_format("order_date", PERIOD_FORMATS[period]))
     order = [F.col("order_date").desc(), *[F.col(c).desc() for c in enriched.columns if c != "order_date"]]
     stored = upsert_table(
-        facts, path, ["order_id"], [PERIOD], order_by=order, old_rows_in=old_rows_in, full_refresh=full_refresh
+        facts,
+        path,
+        ["order_id"],
+        [PERIOD],
+        order_by=order,
+        old_rows_in=old_rows_in,
+        full_refresh=full_refresh,
+        ignore=["loaded_at"],
     )
     return stored.drop(PERIOD)
 

@@ -11,15 +11,17 @@ import datetime as dt
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from orderloom.operators.changes import UNCHANGED
 from orderloom.operators.dedupe import dedupe_first
 from orderloom.operators.history import VALIDITY, scd2_changes, scd2_start
 from orderloom.operators.incremental import assert_schema
 from orderloom.operators.upsert import match_keys, upsert
 from orderloom.sources.folders import Folder
+from orderloom.sources.index import ABOUT, INDEX, KeyIndex, existing, load_numbers
 
 Layout = Callable[[DataFrame], DataFrame]
 STAGED = "_staged"
@@ -134,10 +136,15 @@ def partition_folder(column: str, value: str | None) -> str:
 
 
 def replace_partitions(
-    rows: DataFrame, version: str, partition_by: Sequence[str], touched: Sequence[str] = ()
+    rows: DataFrame,
+    version: str,
+    partition_by: Sequence[str],
+    touched: Sequence[str] = (),
+    entries: DataFrame | None = None,
+    load: int = 0,
 ) -> None:
     """Put ``rows`` in place of the partitions they belong to; ``touched`` partition folders that
-    get no rows are removed.
+    get no rows are removed. ``entries`` become the index's folder of ``load`` in the same swap.
 
     Rows are first written beside the table (hidden from readers), which also makes it safe for
     them to come from the table. When all are there, folders are swapped by renames. A driver lost
@@ -148,9 +155,13 @@ def replace_partitions(
     finish_replacing(spark, version)
     staged.delete()
     balanced(*partition_by)(rows).write.partitionBy(*partition_by).parquet(staged.path)
+    beside = []
+    if entries is not None:
+        beside.append(f"{INDEX}/load={load}")
+        entries.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{staged.path}/{beside[0]}")
     incoming = set(_leaves(staged, len(partition_by)))
     emptied = [p for p in touched if p not in incoming and table.exists(p)]
-    staged.write_json("_ready", {"depth": len(partition_by), "emptied": emptied})
+    staged.write_json("_ready", {"depth": len(partition_by), "emptied": emptied, "beside": beside})
     finish_replacing(spark, version)
 
 
@@ -164,6 +175,9 @@ def finish_replacing(spark: SparkSession, version: str) -> None:
         table.move_in(staged, leaf)
     for leaf in plan["emptied"]:
         table.delete(leaf)
+    for other in plan.get("beside", []):
+        if staged.exists(other):
+            table.move_in(staged, other)
     staged.delete()
 
 
@@ -186,13 +200,16 @@ def upsert_table(
     order_by: Sequence[str | Column] | None = None,
     old_rows_in: Column | str | None = None,
     full_refresh: bool = False,
+    ignore: Sequence[str] = (),
 ) -> DataFrame:
-    """Upsert ``batch`` into a table, rewriting only the partitions it touches; all of a table without any.
-
-    Touched are the partitions of the batch and those holding older rows of its keys: a row whose
-    partition value changed must leave its old place. The search for older rows reads keys and
-    partition values only; ``old_rows_in`` bounds it where the caller knows how far back changes
-    reach: rows outside it are neither looked for nor replaced. The list of touched partitions (one short text each)
+    """Upsert ``batch`` into a table, rewriting only the partitions it changes; all of a table without any.
+
+    Changed are partitions that get a new or different row and those holding older rows of such keys: a row whose
+    partition value changed must leave its old place. Rows equal to what is stored, ``ignore`` columns apart, change nothing and
+    keep the stored values of these columns. Old rows are found by the table's index of keys, of which the buckets of
+    the batch's keys are read; the first load that needs one builds it. ``old_rows_in`` instead searches the
+    partitions that satisfy it: rows outside are neither looked for nor replaced, every row of the batch counts as changed, and the
+    index is given up. The list of touched partitions (one short text each)
     comes to the driver, which swaps them; choose partitions of a size that a load touches thousands of them
     at most. A null key is a key like any other. A first load or ``full_refresh`` writes the whole table.
     """
@@ -208,28 +225,96 @@ def upsert_table(
     if not partition_by:
         return write_table(upsert(stored, fresh, keys), path)
 
-    # Read three times below: written once, so that a load time or a source that moves on cannot
-    # make the three reads differ.
-    scratch = f"{version}/_batch"
-    fresh.write.mode("overwrite").parquet(scratch)
-    fresh = spark.read.schema(batch.schema).parquet(scratch)
     stored = _read_version(spark, version, batch.schema)
+    if old_rows_in is not None:
+        return _upsert_searched(fresh, stored, version, keys, partition_by, old_rows_in)
+    index = KeyIndex.of(stored, version, keys, partition_by, ignore)
+    # Read several times below: written once, so that a load time or a source that moves on cannot
+    # make the reads differ.
+    scratch, seen = f"{version}/_batch", Observation()
+    marked = index.marked(fresh)
+    marked.observe(seen, F.collect_set("_bucket").alias("buckets")).write.mode("overwrite").parquet(scratch)
+    marked = spark.read.schema(marked.schema).parquet(scratch)
+    judged = index.judged(marked, sorted(seen.get["buckets"])).filter(F.col("change") != UNCHANGED)
+    # one row per touched partition
+    places = judged.select(F.explode(F.array_append("_old", F.col("_place"))).alias("place")).distinct().collect()
+    if places:
+        leaves = ["/".join(map(partition_folder, partition_by, p["place"])) for p in places]
+        changed = judged.select(*batch.columns)
+        merged = _merged(changed, version, keys, leaves)
+        replace_partitions(merged, version, partition_by, leaves, index.entries(judged), index.next_load())
+    Folder(spark, scratch).delete()
+    return _read_version(spark, version, batch.schema)
+
 
-    searched = stored if old_rows_in is None else stored.filter(old_rows_in)
-    replaced = match_keys(searched, fresh, keys, "left_semi")
+def _upsert_searched(
+    fresh: DataFrame, stored: DataFrame, version: str, keys: Sequence[str], partition_by: Sequence[str], old_rows_in: Column | str
+) -> DataFrame:
+    """The upsert with the search for old rows bounded by the caller."""
+    spark, scratch = fresh.sparkSession, f"{version}/_batch"
+    fresh.write.mode("overwrite").parquet(scratch)
+    fresh = spark.read.schema(fresh.schema).parquet(scratch)
+    replaced = match_keys(stored.filter(old_rows_in), fresh, keys, "left_semi")
     text = [F.col(c).cast("string").alias(c) for c in partition_by]
     places = replaced.select(*text).union(fresh.select(*text)).distinct().collect()  # one row per touched partition
     if places:
         leaves = ["/".join(partition_folder(n, p[n]) for n in partition_by) for p in places]
-        table = Folder(spark, version)
-        there = [f"{version}/{leaf}" for leaf in leaves if table.exists(leaf)]
-        merged = fresh
-        if there:
-            old = spark.read.schema(batch.schema).option("basePath", version).parquet(*there)
-            merged = upsert(old, fresh, keys)
+        Folder(spark, version).delete(ABOUT)  # the index would miss what this load does
+        merged = _merged(fresh, version, keys, leaves)
         replace_partitions(merged, version, partition_by, leaves)
     Folder(spark, scratch).delete()
-    return _read_version(spark, version, batch.schema)
+    return _read_version(spark, version, stored.schema)
+
+
+def _merged(changed: DataFrame, version: str, keys: Sequence[str], leaves: Sequence[str]) -> DataFrame:
+    """The rows of the partitions ``leaves`` after the upsert."""
+    spark = changed.sparkSession
+    table = Folder(spark, version)
+    there = [f"{version}/{leaf}" for leaf in leaves if table.exists(leaf)]
+    if not there:
+        return changed
+    old = spark.read.schema(changed.schema).option("basePath", version).parquet(*there)
+    return upsert(old, changed, keys)
+
+
+# --- what loads have changed ----------------------------------------------------------------------
+def last_load(spark: SparkSession, path: str) -> int:
+    """Number of the newest load that changed an indexed table; 0 before the first change."""
+    version = current_version(spark, path)
+    if version is None:
+        return 0
+    finish_replacing(spark, version)
+    return max([0, *load_numbers(spark, version)])
+
+
+def read_changes(spark: SparkSession, path: str, since: int) -> DataFrame:
+    """Rows that loads after number ``since`` have inserted or updated, as they are now, with ``change`` and the ``load``
+    that wrote them.
+
+    Only the index's folders of these loads and the partitions they wrote to are read. A key that was
+    new since then is ``inserted`` even if a later load changed it again. Numbers from before the index was last built anew are refused: the
+    reader has to start over from the whole table.
+    """
+    version = current_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no complete version under {path}")
+    finish_replacing(spark, version)
+    index = existing(spark, version)
+    if index is None or since < index.base:
+        raise ValueError(f"changes are known from load {0 if index is None else index.base} on, not from {since}")
+    stored = read_table(spark, path)
+    entries = index.read(F.col("load") > since)
+    now = entries.groupBy(F.col("key").alias("_key")).agg(
+        F.min_by("change", "load").alias("change"), F.max("load").alias("load"), F.max_by("place", "load").alias("_place")
+    )
+    leaves = [
+        f"{version}/{'/'.join(map(partition_folder, index.partition_by, r['_place']))}"
+        for r in now.select("_place").distinct().collect()  # one row per partition written to
+    ]
+    if not leaves:
+        return stored.filter("false").select("*", F.lit("").alias("change"), F.lit(0).alias("load"))
+    rows = index.marked(spark.read.schema(stored.schema).option("basePath", version).parquet(*leaves))
+    return rows.join(now.drop("_place"), "_key").select(*stored.columns, "change", "load")
 
 
 def _without(schema: StructType, names: Sequence[str]) -> StructType:
