@@ -8,7 +8,7 @@ need not write, by reading the buckets of its keys; the table itself is not sear
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,8 +21,8 @@ INDEX = "_index"
 ABOUT = f"{INDEX}/_about"
 #: Loads after which the index is built anew from the table, so that entries of keys that moved on do not pile up.
 LOADS = 50
-KEYS_PER_BUCKET = 2_000_000
-FEWEST_BUCKETS, MOST_BUCKETS = 16, 16_384
+#: Buckets double until each has this many keys at most, up to a number of buckets.
+KEYS_PER_BUCKET, MOST_BUCKETS = 100_000, 16_384
 
 _HASH = "struct<a: bigint, b: bigint>"
 ENTRY = f"key {_HASH}, place array<string>, content {_HASH}, change string, load int, bucket int"
@@ -42,12 +42,19 @@ class KeyIndex:
 
     @classmethod
     def of(
-        cls, stored: DataFrame, version: str, keys: Sequence[str], partition_by: Sequence[str], ignore: Sequence[str]
+        cls,
+        spark: SparkSession,
+        version: str,
+        columns: Sequence[str],
+        keys: Sequence[str],
+        partition_by: Sequence[str],
+        ignore: Sequence[str],
+        read: Callable[[], DataFrame],
     ) -> KeyIndex:
         """The index that is there, if it is complete and about these columns; otherwise a new one, for which keys
-        and contents of the whole table are read once."""
-        spark, folder = stored.sparkSession, Folder(stored.sparkSession, version)
-        wanted = {"keys": list(keys), "partition_by": list(partition_by), "ignore": sorted(ignore), "columns": sorted(stored.columns)}
+        and contents of the whole table, as ``read`` gives it, are read once."""
+        folder = Folder(spark, version)
+        wanted = {"keys": list(keys), "partition_by": list(partition_by), "ignore": sorted(ignore), "columns": sorted(columns)}
         about = folder.read_json(ABOUT) if folder.exists(ABOUT) else {}
         last = about.get("base", 0)
         if about:
@@ -55,8 +62,9 @@ class KeyIndex:
             if {k: about[k] for k in wanted} == wanted and last - about["base"] < LOADS:
                 return cls(spark, version, *(about[k] for k in ("keys", "partition_by", "ignore", "buckets", "base")))
         folder.delete(INDEX)
-        buckets = FEWEST_BUCKETS
-        while buckets < MOST_BUCKETS and buckets * KEYS_PER_BUCKET < stored.count():
+        stored = read()
+        count, buckets = stored.count(), 1
+        while buckets < MOST_BUCKETS and buckets * KEYS_PER_BUCKET < count:
             buckets *= 2
         index = cls(spark, version, list(keys), list(partition_by), sorted(ignore), buckets, last)
         rows = index.marked(stored).groupBy("_key", "_place", "_bucket")

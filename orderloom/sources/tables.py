@@ -84,12 +84,14 @@ def write_table(
 
 
 def _read_version(spark: SparkSession, version: str, schema: StructType | None = None) -> DataFrame:
-    """A version in the given schema, else in the one it was written with: folder names alone would turn
-    ``02109`` into a number."""
+    """A version in the given schema, else in the one it was written with."""
+    return spark.read.schema(schema or _stored_schema(spark, version)).parquet(version)
+
+
+def _stored_schema(spark: SparkSession, version: str) -> StructType:
+    """The schema a version was written with: folder names alone would turn ``02109`` into a number."""
     folder = Folder(spark, version)
-    if schema is None and folder.exists(SCHEMA):
-        schema = StructType.fromJson(folder.read_json(SCHEMA))
-    return (spark.read if schema is None else spark.read.schema(schema)).parquet(version)
+    return StructType.fromJson(folder.read_json(SCHEMA)) if folder.exists(SCHEMA) else spark.read.parquet(version).schema
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -160,7 +162,7 @@ def replace_partitions(
         beside.append(f"{INDEX}/load={load}")
         entries.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{staged.path}/{beside[0]}")
     incoming = set(_leaves(staged, len(partition_by)))
-    emptied = [p for p in touched if p not in incoming and table.exists(p)]
+    emptied = [p for p in touched if p not in incoming]
     staged.write_json("_ready", {"depth": len(partition_by), "emptied": emptied, "beside": beside})
     finish_replacing(spark, version)
 
@@ -171,10 +173,8 @@ def finish_replacing(spark: SparkSession, version: str) -> None:
     if not staged.exists("_ready"):
         return
     plan = staged.read_json("_ready")
-    for leaf in _leaves(staged, plan["depth"]):
-        table.move_in(staged, leaf)
-    for leaf in plan["emptied"]:
-        table.delete(leaf)
+    table.each(lambda leaf: table.move_in(staged, leaf), _leaves(staged, plan["depth"]))
+    table.each(table.delete, plan["emptied"])
     for other in plan.get("beside", []):
         if staged.exists(other):
             table.move_in(staged, other)
@@ -214,24 +214,32 @@ def upsert_table(
     at most. A null key is a key like any other. A first load or ``full_refresh`` writes the whole table.
     """
     spark = batch.sparkSession
-    version = None if full_refresh else current_version(spark, path)
     fresh = batch if order_by is None else dedupe_first(batch, keys, order_by)
+    version = None if full_refresh else current_version(spark, path)
     if version is None:
         return write_table(fresh, path, partition_by)
     finish_replacing(spark, version)
-    stored = _read_version(spark, version)
     # without a stored schema the types of partition columns are only guessed from folder names
-    assert_schema(_without(stored.schema, partition_by), _without(batch.schema, partition_by))
+    assert_schema(_without(_stored_schema(spark, version), partition_by), _without(batch.schema, partition_by))
     if not partition_by:
-        return write_table(upsert(stored, fresh, keys), path)
+        return write_table(upsert(_read_version(spark, version), fresh, keys), path)
+    if old_rows_in is None:
+        _upsert_indexed(fresh, version, keys, partition_by, ignore)
+    else:
+        _upsert_searched(fresh, version, keys, partition_by, old_rows_in)
+    return _read_version(spark, version, batch.schema)
+
 
-    stored = _read_version(spark, version, batch.schema)
-    if old_rows_in is not None:
-        return _upsert_searched(fresh, stored, version, keys, partition_by, old_rows_in)
-    index = KeyIndex.of(stored, version, keys, partition_by, ignore)
+def _upsert_indexed(
+    fresh: DataFrame, version: str, keys: Sequence[str], partition_by: Sequence[str], ignore: Sequence[str]
+) -> None:
+    """The upsert by the index of keys."""
+    spark, scratch, seen = fresh.sparkSession, f"{version}/_batch", Observation()
+    index = KeyIndex.of(
+        spark, version, fresh.columns, keys, partition_by, ignore, lambda: _read_version(spark, version, fresh.schema)
+    )
     # Read several times below: written once, so that a load time or a source that moves on cannot
     # make the reads differ.
-    scratch, seen = f"{version}/_batch", Observation()
     marked = index.marked(fresh)
     marked.observe(seen, F.collect_set("_bucket").alias("buckets")).write.mode("overwrite").parquet(scratch)
     marked = spark.read.schema(marked.schema).parquet(scratch)
@@ -240,21 +248,19 @@ def upsert_table(
     places = judged.select(F.explode(F.array_append("_old", F.col("_place"))).alias("place")).distinct().collect()
     if places:
         leaves = ["/".join(map(partition_folder, partition_by, p["place"])) for p in places]
-        changed = judged.select(*batch.columns)
-        merged = _merged(changed, version, keys, leaves)
+        merged = _merged(judged.select(*fresh.columns), version, keys, leaves)
         replace_partitions(merged, version, partition_by, leaves, index.entries(judged), index.next_load())
     Folder(spark, scratch).delete()
-    return _read_version(spark, version, batch.schema)
 
 
 def _upsert_searched(
-    fresh: DataFrame, stored: DataFrame, version: str, keys: Sequence[str], partition_by: Sequence[str], old_rows_in: Column | str
-) -> DataFrame:
+    fresh: DataFrame, version: str, keys: Sequence[str], partition_by: Sequence[str], old_rows_in: Column | str
+) -> None:
     """The upsert with the search for old rows bounded by the caller."""
     spark, scratch = fresh.sparkSession, f"{version}/_batch"
     fresh.write.mode("overwrite").parquet(scratch)
     fresh = spark.read.schema(fresh.schema).parquet(scratch)
-    replaced = match_keys(stored.filter(old_rows_in), fresh, keys, "left_semi")
+    replaced = match_keys(_read_version(spark, version, fresh.schema).filter(old_rows_in), fresh, keys, "left_semi")
     text = [F.col(c).cast("string").alias(c) for c in partition_by]
     places = replaced.select(*text).union(fresh.select(*text)).distinct().collect()  # one row per touched partition
     if places:
@@ -263,14 +269,13 @@ def _upsert_searched(
         merged = _merged(fresh, version, keys, leaves)
         replace_partitions(merged, version, partition_by, leaves)
     Folder(spark, scratch).delete()
-    return _read_version(spark, version, stored.schema)
 
 
 def _merged(changed: DataFrame, version: str, keys: Sequence[str], leaves: Sequence[str]) -> DataFrame:
     """The rows of the partitions ``leaves`` after the upsert."""
     spark = changed.sparkSession
     table = Folder(spark, version)
-    there = [f"{version}/{leaf}" for leaf in leaves if table.exists(leaf)]
+    there = [f"{version}/{leaf}" for leaf, found in zip(leaves, table.each(table.exists, leaves), strict=True) if found]
     if not there:
         return changed
     old = spark.read.schema(changed.schema).option("basePath", version).parquet(*there)
