@@ -490,7 +490,52 @@ def _as_of_plain(spark, d):
 
 @register("as_of_join_sliced", _AS_OF)
 def _as_of_sliced(spark, d):
-    return _as_of(spark, d, slice_days=90)
+    """Facts and versions merged by time, keys with a twentieth of the facts cut into ranges."""
+    return _as_of(spark, d, hot_share=0.05)
+
+
+_HOT_KEY = "CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey END"
+
+
+@register(
+    "as_of_join_hot",
+    f"""
+    WITH facts AS (
+        SELECT o_orderkey, {_HOT_KEY} AS key, CAST(o_orderdate AS TIMESTAMP) + to_minutes(o_orderkey % 1440) AS moment FROM orders),
+    versions AS (
+        SELECT CAST(1 AS BIGINT) AS key, TIMESTAMP '1992-01-01' + to_minutes(o_orderkey * 200) AS valid_from,
+            TIMESTAMP '1992-01-01' + to_minutes(o_orderkey * 200 + 150) AS valid_to, o_orderkey AS version FROM orders
+        UNION ALL SELECT c_custkey, TIMESTAMP '1995-01-01', NULL, -c_custkey FROM customer WHERE c_custkey > 1)
+    SELECT o_orderkey, facts.key, CAST(moment AS VARCHAR) AS moment, version FROM facts
+    LEFT JOIN versions ON versions.key = facts.key AND moment >= valid_from AND (valid_to IS NULL OR moment < valid_to)""",
+)
+def _as_of_hot(spark, d):
+    """A third of all orders are one customer's, who has as many versions as there are orders, with gaps between them."""
+    orders, customers = inputs.table(spark, d, "orders"), inputs.table(spark, d, "customer")
+
+    def minutes(since, n):
+        return F.timestamp_micros(F.unix_micros(since.cast("timestamp")) + n * 60_000_000)
+
+    facts = orders.select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 3 == 0, 1).otherwise(F.col("o_custkey")).cast("bigint").alias("key"),
+        minutes(F.col("o_orderdate"), F.col("o_orderkey") % 1440).alias("moment"),
+    )
+    begin = F.lit(dt.datetime(1992, 1, 1))
+    versions = orders.select(
+        F.lit(1).cast("bigint").alias("key"),
+        minutes(begin, F.col("o_orderkey") * 200).alias("valid_from"),
+        minutes(begin, F.col("o_orderkey") * 200 + 150).alias("valid_to"),
+        F.col("o_orderkey").alias("version"),
+    ).unionByName(
+        customers.filter("c_custkey > 1").select(
+            F.col("c_custkey").cast("bigint").alias("key"),
+            F.lit(dt.datetime(1995, 1, 1)).alias("valid_from"),
+            F.lit(None).cast("timestamp").alias("valid_to"),
+            (-F.col("c_custkey")).alias("version"),
+        )
+    )
+    return as_of_join(facts, versions, "key", "moment", ["version"], hot_share=0.02)
 
 
 # --- checks -------------------------------------------------------------------------------------------

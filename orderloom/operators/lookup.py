@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-EPOCH = "1970-01-01"
-
 
 class NotUniqueError(ValueError):
     """A lookup side holds a key more than once and would multiply rows."""
@@ -91,47 +89,95 @@ def as_of_join(
     *,
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
-    slice_days: int | None = None,
+    hot_share: float | None = None,
 ) -> DataFrame:
     """Each fact with the version of its key that was valid at ``at``; facts without one stay.
 
     Validity is ``[valid_from, valid_to)`` with an open end as null, and versions of a key must not
     overlap. The plain form is an equi join on the key with the range as a residual test, right as
-    long as keys have few versions (the snapshot opens at most one per run). ``slice_days`` is for
-    long histories and hot keys: both sides also meet on a time slice, so a key is spread over its
-    slices and a fact is only tested against versions touching its slice. A version is repeated once
-    per slice it spans, so slices should be about as long as versions live.
+    long as keys have few versions (the snapshot opens at most one per run). For long histories
+    ``hot_share`` merges instead: facts and versions of a key are put in order of time and every fact takes the last
+    version before it, so that a fact meets one version, however many its key has. Keys with at least that share of the facts are cut
+    into ranges of time, each with about that share of the key's facts and the version carried into it.
     """
     versions = history.select(on, valid_from, valid_to, *columns)
-    keys = [on]
-    if slice_days is not None:
-        last = facts.agg(F.max(at)).first()[0]
-        if last is None:
-            last = EPOCH
-        versions = versions.filter(F.col(valid_from) <= F.lit(last)).withColumn(
-            "_slice",
-            F.explode(
-                F.sequence(
-                    _slice(F.col(valid_from), slice_days),
-                    _slice(F.least(F.coalesce(valid_to, F.lit(last)), F.lit(last)), slice_days),
-                )
-            ),
-        )
-        facts = facts.withColumn("_slice", _slice(F.col(at), slice_days))
-        keys.append("_slice")
+    if hot_share is not None:
+        return _merged_as_of(facts, versions, on, at, columns, valid_from, valid_to, hot_share)
     f, v = facts.alias("f"), versions.alias("v")
-    same = F.lit(True)
-    for key in keys:
-        same = same & (F.col(f"f.{key}") == F.col(f"v.{key}"))
     start, end, moment = F.col(f"v.{valid_from}"), F.col(f"v.{valid_to}"), F.col(f"f.{at}")
     valid = (moment >= start) & (end.isNull() | (moment < end))
-    joined = f.join(v, same & valid, "left")
-    kept = [F.col(f"f.{c}") for c in facts.columns if c != "_slice"]
-    return joined.select(*kept, *[F.col(f"v.{c}") for c in columns])
+    joined = f.join(v, (F.col(f"f.{on}") == F.col(f"v.{on}")) & valid, "left")
+    return joined.select(*[F.col(f"f.{c}") for c in facts.columns], *[F.col(f"v.{c}") for c in columns])
 
 
-def _slice(moment: Column, days: int) -> Column:
-    return F.floor(F.datediff(moment, F.lit(EPOCH).cast("date")) / F.lit(days)).cast("int")
+def _merged_as_of(
+    facts: DataFrame, versions: DataFrame, on: str, at: str, columns: Sequence[str], valid_from: str, valid_to: str, share: float
+) -> DataFrame:
+    """The merge form. A place is a key, a range of time and a salt; a range that is a single moment many facts share has several
+    salts, with the range's few versions in each."""
+    moment, start, end = (F.col(c).cast("timestamp") for c in (at, valid_from, valid_to))
+    known = F.col(on).isNotNull() & F.col(at).isNotNull()
+    own = F.struct(*[F.col(c) for c in facts.columns]).alias("fact")
+    given = F.struct(end.alias("until"), *[F.col(c) for c in columns]).alias("version")
+    kind = facts.schema[on].dataType
+    fact_rows = facts.filter(known).select(
+        F.col(on).alias("key"), moment.alias("time"), own, F.xxhash64(*facts.columns).alias("hash")
+    )
+    version_rows = versions.filter(F.col(on).isNotNull() & (end.isNull() | (start < end))).select(
+        F.col(on).cast(kind).alias("key"), start.alias("time"), given
+    )
+    version_rows = version_rows.filter(F.col("time").isNotNull())
+    hot = frequent_keys(fact_rows, "key", share)
+    if hot:
+        bounds = F.broadcast(_time_ranges(fact_rows.filter(F.col("key").isin(hot)), share))
+        number = F.coalesce(F.size(F.filter("bounds", lambda b: b <= F.col("time"))), F.lit(0))
+        salts = F.coalesce(F.try_element_at("repeats", F.col("range") + 1), F.lit(1))
+        fact_rows = fact_rows.join(bounds, "key", "left").withColumn("range", number)
+        fact_rows = fact_rows.withColumn("salt", F.pmod("hash", salts).cast("int"))
+        version_rows = version_rows.join(bounds, "key", "left").withColumn("range", number)
+        version_rows = version_rows.unionByName(_carried(version_rows)).withColumn(
+            "salt", F.explode(F.sequence(F.lit(0), salts.cast("int") - 1))
+        )
+    else:
+        fact_rows, version_rows = (d.withColumns({"range": F.lit(0), "salt": F.lit(0)}) for d in (fact_rows, version_rows))
+    place = ["key", "range", "salt"]
+    rows = fact_rows.select(*place, "time", "fact").unionByName(
+        version_rows.select(*place, "time", "version"), allowMissingColumns=True
+    )
+    # at one moment the version comes before the facts
+    order = Window.partitionBy(*place).orderBy("time", F.col("fact").isNotNull())
+    last = F.last("version", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    merged = rows.withColumn("last", last).filter(F.col("fact").isNotNull())
+    valid = F.col("last.until").isNull() | (F.col("time") < F.col("last.until"))
+    joined = merged.select("fact.*", *[F.when(valid, F.col(f"last.{c}")).alias(c) for c in columns])
+    nothing = [F.lit(None).cast(versions.schema[c].dataType).alias(c) for c in columns]
+    return joined.unionByName(facts.filter(~known).select(*facts.columns, *nothing))
+
+
+def _time_ranges(rows: DataFrame, share: float) -> DataFrame:
+    """For each of a few keys the moments that cut its rows into parts of about ``share``, ascending, and how many parts begin
+    at each: more than one where a moment has many rows. A list of at most ``1 / share`` moments a key, from bounded sketches."""
+    steps = max(round(1 / share), 2)
+    cuts = F.percentile_approx(F.unix_micros("time"), [i / steps for i in range(1, steps)], 100 * steps)
+    found = rows.groupBy("key").agg(cuts.alias("cuts"))
+    distinct = F.array_distinct("cuts")
+    parts = F.transform(distinct, lambda c: F.size(F.filter("cuts", lambda x: x == c)))
+    return found.select(
+        "key",
+        F.transform(distinct, F.timestamp_micros).alias("bounds"),
+        F.concat(F.array(F.lit(1)), parts).alias("repeats"),
+    )
+
+
+def _carried(versions: DataFrame) -> DataFrame:
+    """For every later range of a cut key the last version that begins before it; one row per range."""
+    latest = versions.filter(F.col("bounds").isNotNull()).groupBy("key", "range").agg(
+        F.max("time").alias("time"), *[F.max_by(c, "time").alias(c) for c in ("version", "bounds", "repeats")]
+    )
+    following = Window.partitionBy("key").orderBy("range")  # at most one row per range of the key
+    until = F.coalesce(F.lead("range").over(following), F.size("bounds"))
+    ranges = latest.withColumn("_until", until).filter(F.col("range") < F.col("_until"))
+    return ranges.withColumn("range", F.explode(F.sequence(F.col("range") + 1, "_until"))).select(*versions.columns)
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from orderloom.operators.dedupe import dedupe_first
 from orderloom.operators.history import scd2_apply
+from orderloom.operators import lookup
 from orderloom.operators.lookup import as_of_join, left_lookup
 from orderloom.operators.quality import relationships, run_checks, unique
 from orderloom.sources.tables import read_history, read_table, snapshot_table, upsert_table
@@ -82,8 +83,8 @@ def test_history_and_point_in_time(spark, frame, folder, seed):
         (i, next((v[1] for v in versions if v[0] == k and v[3] <= at(d) and (v[4] is None or at(d) < v[4])), None))
         for k, d, i in facts
     )
-    for slice_days in (None, 7):
-        got = as_of_join(frame("k string, d date, i int", *facts), history, "k", "d", ["tier"], slice_days=slice_days)
+    for hot_share in (None, 0.5, 0.1):
+        got = as_of_join(frame("k string, d date, i int", *facts), history, "k", "d", ["tier"], hot_share=hot_share)
         assert tuples(got.select("i", "tier")) == expected
 
 
@@ -116,3 +117,25 @@ def test_isolation_is_visible_in_the_plan(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "Union" in plan and "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+
+
+def test_hot_key_with_many_versions_is_merged_in_ranges(spark):
+    """A third of all facts on one key, half of these at one moment; 10,000 versions, every fifth of them missing."""
+    versions = spark.range(10_000).selectExpr(
+        "'hot' k", "timestamp_seconds(id * 100) valid_from", "timestamp_seconds(id * 100 + 100) valid_to", "id version"
+    ).filter("version % 5 <> 3")
+    facts = spark.range(30_000).selectExpr(
+        "case when id % 3 = 0 then 'hot' when id % 3 = 1 then concat('k', id) end k",
+        "timestamp_seconds(case when id % 6 = 0 then 500050 else id * 33 end) moment",
+        "id",
+    )
+    joined = as_of_join(facts, versions, "k", "moment", ["version"], hot_share=0.01)
+    rows = joined.collect()
+    assert len(rows) == 30_000
+    for r in rows:
+        seconds = 500050 if r.id % 6 == 0 else r.id * 33
+        expected = seconds // 100 if r.k == "hot" and seconds < 1_000_000 and seconds // 100 % 5 != 3 else None
+        assert r.version == expected
+    # half of the hot key's facts share one moment, and half of its hundred parts begin there
+    parts = lookup._time_ranges(facts.filter("k = 'hot'").selectExpr("k key", "moment time"), 0.01).collect()
+    assert len(parts) == 1 and sum(parts[0].repeats) == 100 and 45 <= max(parts[0].repeats) <= 55

@@ -71,8 +71,8 @@ HISTORY = "k string, tier string, valid_from timestamp, valid_to timestamp"
 T = dt.datetime
 
 
-@pytest.mark.parametrize("slice_days", [None, 10, 400])
-def test_as_of_join_edges(frame, slice_days):
+@pytest.mark.parametrize("hot_share", [None, 0.9, 0.2, 0.02])
+def test_as_of_join_edges(frame, hot_share):
     history = frame(
         HISTORY,
         ("a", "old", T(2020, 1, 1), T(2021, 1, 1)),
@@ -84,7 +84,7 @@ def test_as_of_join_edges(frame, slice_days):
         ("a", DAY(2019, 12, 31), 1), ("a", DAY(2020, 1, 1), 2), ("a", DAY(2020, 12, 31), 3), ("a", DAY(2021, 1, 1), 4),
         ("b", DAY(2020, 7, 1), 5), ("c", DAY(2020, 7, 1), 6), (None, DAY(2020, 7, 1), 7), ("a", None, 8),
     )
-    got = as_of_join(facts, history, "k", "d", ["tier"], slice_days=slice_days).select("n", "tier").collect()
+    got = as_of_join(facts, history, "k", "d", ["tier"], hot_share=hot_share).select("n", "tier").collect()
     assert sorted(tuple(r) for r in got) == [
         (1, None), (2, "old"), (3, "old"), (4, "new"), (5, None), (6, None), (7, None), (8, None),
     ]
