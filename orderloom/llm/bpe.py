@@ -13,24 +13,24 @@ import hashlib
 import json
 import re
 import struct
-import sys
-import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
+from tokenizers import Regex as TokenizersRegex
+from tokenizers.pre_tokenizers import Split
 
 from orderloom.llm.shipping import pieces, ready
 
-#: The splitting pattern of byte-level vocabularies (a fixed value).
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The splitting pattern of byte-level vocabularies (a fixed value), with the classes of letters, numbers and spaces by name.
+PATTERN = "'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
 #: The same for texts of characters below U+0250 only, in plain ranges that the standard engine matches several times faster.
 LATIN_LETTER = r"A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 LATIN_NUMBER = r"0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
@@ -52,6 +52,27 @@ def byte_chars() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
+@cache
+def any_text() -> re.Pattern:
+    """The splitting pattern with the classes as the tokenizers library knows them.
+
+    Libraries follow different versions of Unicode, so the library itself is asked: it takes apart one text of all characters in order.
+    The planes beyond the third have no letters, numbers or spaces; a test asks for each character there is.
+    """
+    every = "".join(chr(c) for c in range(0x40000) if not 0xD800 <= c < 0xE000)
+    classes = {}
+    for name, members in (("L", r"\p{L}+"), ("N", r"\p{N}+"), ("S", r"\s+")):
+        others = Split(TokenizersRegex(members), "removed").pre_tokenize_str(every)
+        stops = [0, *(end for _, (_, end) in others)]
+        starts = [*(begin for _, (begin, _) in others), len(every)]
+        runs = [(every[a], every[b - 1]) for a, b in zip(stops, starts, strict=True) if a < b]
+        classes[name] = "".join(f"\\U{ord(x):08x}-\\U{ord(y):08x}" for x, y in runs)
+    pattern = PATTERN
+    for name, members in classes.items():
+        pattern = pattern.replace(f"{{{name}}}", members)
+    return re.compile(pattern)
+
+
 class Codec:
     """Encoder and decoder for the bytes of a tokenizer file."""
 
@@ -93,34 +114,10 @@ class Codec:
         self.blob = np.frombuffer(b"".join(every), dtype=np.uint8)
         self.offsets = np.cumsum([0, *map(len, every)])
 
-        self.usual = regex.compile(PATTERN)
-        self.special = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
-        self._odd = None
-
-    # --- splitting ---------------------------------------------------------------------------------------------------
-    def _newer(self):
-        """Characters that the installed regular expressions call letters or numbers and the tokenizers library
-        does not know yet: those unassigned in Python's older character table. And the pattern without them."""
-        if self._odd is None:
-            kind = regex.compile(r"[\p{L}\p{N}]")
-            odd = [c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Cn" and kind.match(chr(c))]
-            starts = [c for k, c in enumerate(odd) if not k or odd[k - 1] != c - 1]
-            stops = [c for k, c in enumerate(odd) if k + 1 == len(odd) or odd[k + 1] != c + 1]
-            chars = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts, stops, strict=True))
-            if odd:
-                letter, number = (rf"(?:(?![{chars}])\p{{{k}}})" for k in "LN")
-                other = rf"(?:[^\s\p{{L}}\p{{N}}]|[{chars}])"
-                parts = PATTERN.replace(r"[^\s\p{L}\p{N}]", "OTHER").replace(r"\p{L}", letter).replace(r"\p{N}", number)
-                self._odd = regex.compile(f"[{chars}]"), regex.compile(parts.replace("OTHER", other))
-            else:
-                self._odd = regex.compile(r"(?!)"), self.usual
-        return self._odd
+        self.special = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
 
     def split(self, text: str) -> list[str]:
-        if not BEYOND_LATIN.search(text):
-            return LATIN.findall(text)
-        odd, exact = self._newer()
-        return (exact if odd.search(text) else self.usual).findall(text)
+        return (any_text() if BEYOND_LATIN.search(text) else LATIN).findall(text)
 
     # --- encoding ----------------------------------------------------------------------------------------------------
     def compatible(self, a: int, b: int) -> bool:
