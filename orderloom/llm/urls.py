@@ -6,6 +6,7 @@ against links, to the hosts that point to them. Everything is DataFrame function
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -67,77 +68,82 @@ def host_edges(pages: DataFrame, host: str = "host", html: str = "html") -> Data
     )
 
 
-def propagate(
-    edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-4, rounds: int = 50
-) -> DataFrame:
-    """``host``, ``trust``, ``distrust``, ``linked`` and ``linking`` of every host that trust or distrust reaches.
+#: Walks along links and against them: from seeds, and from all hosts alike.
+KINDS = ("trust", "pagerank", "distrust", "reverse")
+
+
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-4) -> DataFrame:
+    """``host``, ``trust``, ``distrust``, ``trust_share`` and ``distrust_share`` of every host with a link or a seed.
 
-    ``seeds`` has ``host``, ``kind`` (trust or distrust) and ``weight``. In a round each host passes ``damping`` of what it
+    ``seeds`` has ``host``, ``kind`` (trust or distrust) and ``weight`` up to 1. In a round each host passes ``damping`` of what it
     received last on, trust over its links in proportion to their number, distrust over the links that come in; a seed starts with
-    1 - ``damping`` times its weight. Scores are sums over all rounds; rounds end when what is still on its way is below
-    ``tolerance`` of what the seeds started with. What a host has is divided among its partners, so many partners get little each.
+    1 - ``damping`` times its weight. ``trust`` and ``distrust`` are sums over all rounds: personalised PageRank from the trusted seeds, and from
+    the distrusted ones over reversed links. A seed of full weight takes nothing in: what it is is known.
 
-    ``linked`` and ``linking`` do not depend on how many partners the others have: a host gets the average of its partners'
-    amounts, weighted by its own links: ``linked`` that of the hosts whose links come in, from trusted seeds, and ``linking`` that of the
-    hosts its links go to, from distrusted seeds. A host all of whose links go to distrusted seeds has (1 - ``damping``) * ``damping``.
+    What a host has is divided among its partners, so amounts shrink as partners grow. The shares don't: they compare what a host received with what
+    it would have received had every host started alike (plain PageRank over the same links). A host all of whose links go
+    to distrusted seeds has a ``distrust_share`` of 1, whether it is one of two such hosts or of a million.
 
-    State and edges are written to the shared folder, so lineage stays short. Sums are taken in the map tasks
-    first, and the join on a host with very many links may be split by Spark.
+    After k rounds at most ``damping`` ** k of what the seeds started with is on its way, so rounds end when that is below
+    ``tolerance``, earlier if links run out. State and edges are written to the shared folder, so lineage stays short. Sums
+    are taken in the map tasks first, and the join on a host with very many links may be split by Spark.
     """
-    out = edges.groupBy("src").agg(F.sum("n").alias("total"))
-    back = edges.groupBy("dst").agg(F.sum("n").alias("total"))
-    forward = edges.join(out, "src").select(
-        F.lit("trust").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), (F.col("n") / F.col("total")).alias("share")
-    )
-    against = edges.join(back, "dst").select(
-        F.lit("distrust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), (F.col("n") / F.col("total")).alias("share")
-    )
-    received = edges.join(back, "dst").select(
-        F.lit("linked").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), (F.col("n") / F.col("total")).alias("share")
-    )
-    sent = edges.join(out, "src").select(
-        F.lit("linking").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), (F.col("n") / F.col("total")).alias("share")
-    )
-    flows = stored(forward.unionByName(against).unionByName(received).unionByName(sent), "flows")
-    average = F.when(F.col("kind") == "trust", "linked").otherwise("linking")
-    every = seeds.select("kind", "host", "weight").unionByName(seeds.select(average.alias("kind"), "host", "weight"))
-    divided = F.col("kind").isin("trust", "distrust")
-    amounts = F.sum(F.when(divided, F.col("amount"))), F.max(F.when(~divided, F.col("amount")))
-    moving = stored(
-        every.groupBy("kind", "host").agg((F.sum("weight") * (1 - damping)).alias("amount")), "moving"
+    certain = seeds.where("weight >= 1").select("host", "kind").distinct()
+
+    def flow(kinds: tuple[str, str], seed: str, host: str, to: str) -> DataFrame:
+        known = certain.where(F.col("kind") == seed).select(F.col("host").alias(to))
+        total = edges.groupBy(host).agg(F.sum("n").alias("total"))
+        shares = edges.join(total, host).join(known, to, "left_anti")
+        return shares.select(
+            F.explode(F.array(*map(F.lit, kinds))).alias("kind"), F.col(host).alias("host"), F.col(to).alias("to"), (F.col("n") / F.col("total")).alias("share")
+        )
+
+    flows = stored(
+        flow(("trust", "pagerank"), "trust", "src", "dst").unionByName(flow(("distrust", "reverse"), "distrust", "dst", "src")), "flows"
     )
-    parts = [moving]
-    started, most = (v or 0.0 for v in moving.agg(*amounts).first())
-    total = moving
-    for k in range(rounds):
-        if flows.isEmpty():
-            break
+    hosts = edges.select(F.explode(F.array("src", "dst")).alias("host")).union(seeds.select("host")).distinct()
+    alike = hosts.select(F.explode(F.array(F.lit("pagerank"), F.lit("reverse"))).alias("kind"), "host", F.lit(1.0).alias("weight"))
+    start = seeds.select("kind", "host", "weight").unionByName(alike).groupBy("kind", "host")
+    moving = stored(start.agg((F.sum("weight") * (1 - damping)).alias("amount")), "moving")
+    parts = [moving.withColumn("own", F.lit(True))]
+    started = _by_kind(moving)
+    for k in range(0 if flows.isEmpty() else math.ceil(math.log(tolerance) / math.log(damping))):
         moving = stored(
             moving.join(flows, ["kind", "host"])
             .groupBy("kind", F.col("to").alias("host"))
             .agg((F.sum(F.col("amount") * F.col("share")) * damping).alias("amount")),
             f"moving-{k}",
         )
-        left, highest = (v or 0.0 for v in moving.agg(*amounts).first())
-        parts.append(moving)
+        parts.append(moving.withColumn("own", F.lit(False)))
         if len(parts) == 8:  # keep the union short
-            total = stored(_summed(parts), "total")
-            parts = [total]
-        if left <= tolerance * started and highest <= tolerance * most:
+            parts = [stored(_summed(parts), "total")]
+        left = _by_kind(moving)
+        if all(left.get(kind, 0.0) <= tolerance * began for kind, began in started.items()):
             break
-    return _summed(parts).groupBy("host").agg(
-        *(
-            F.sum(F.when(F.col("kind") == kind, F.col("amount")).otherwise(0.0)).alias(kind)
-            for kind in ("trust", "distrust", "linked", "linking")
-        )
+    total = {kind: F.sum(F.when(F.col("kind") == kind, F.col("amount")).otherwise(0.0)) for kind in KINDS}
+    received = {kind: F.sum(F.when((F.col("kind") == kind) & ~F.col("own"), F.col("amount")).otherwise(0.0)) for kind in KINDS}
+    sums = _summed(parts).groupBy("host").agg(
+        *(amount.alias(kind) for kind, amount in total.items()), *(amount.alias(f"got_{kind}") for kind, amount in received.items())
+    )
+    share = lambda part, whole: F.when(F.col(whole) > 0, F.col(part) / F.col(whole)).otherwise(0.0)
+    return sums.select(
+        "host",
+        "trust",
+        "distrust",
+        share("got_trust", "got_pagerank").alias("trust_share"),
+        share("got_distrust", "got_reverse").alias("distrust_share"),
     )
 
 
+def _by_kind(moving: DataFrame) -> dict[str, float]:
+    return {r["kind"]: r["amount"] for r in moving.groupBy("kind").agg(F.sum("amount").alias("amount")).collect()}
+
+
 def _summed(parts: list[DataFrame]) -> DataFrame:
     every = parts[0]
     for p in parts[1:]:
         every = every.unionByName(p)
-    return every.groupBy("kind", "host").agg(F.sum("amount").alias("amount"))
+    return every.groupBy("kind", "host", "own").agg(F.sum("amount").alias("amount"))
 
 
 def judge(
@@ -145,7 +151,7 @@ def judge(
     rules: tuple[Rule, ...],
     trusted: tuple[str, ...] = (),
     blocked: tuple[str, ...] = (),
-    block_at: float = 0.03,
+    block_at: float = 0.5,
     page_id: str = "page_id",
     url: str = "url",
     html: str = "html",
@@ -153,9 +159,10 @@ def judge(
 ) -> DataFrame:
     """``page_id``, ``host``, ``path``, ``rule``, ``trust``, ``distrust`` and ``verdict`` (allow or block) of every page.
 
-    A rule decides where one fits. Elsewhere the host decides by the averages over its own links (see ``propagate``): it is
-    blocked if its ``linking`` is at least ``block_at`` and more than its ``linked``, so however many hosts link to a blocked one,
-    each is blocked if about a quarter of its own links to other hosts go there. Seeds are ``trusted`` and ``blocked`` hosts with their subdomains (weight 1); hosts
+    A rule decides where one fits. Elsewhere the host decides: a distrusted seed is blocked and a trusted one of full weight is not; of the others those are
+    blocked whose ``distrust_share`` (see ``propagate``) is at least ``block_at`` and more than their ``trust_share``: at least half of
+    the distrust that could have come to them over their links has come. One step further back shares fall below half, so a host that
+    merely links to such a host is allowed. Seeds are ``trusted`` and ``blocked`` hosts with their subdomains (weight 1); hosts
     that a rule for all paths covers (weight 1); and hosts with pages that a rule for some paths allows, with the share of such pages. A rule
     that blocks some paths says nothing about the rest of a host.
 
@@ -192,8 +199,16 @@ def judge(
             )
         ).alias("s"),
     ).select("host", "s.kind", "s.weight")
-    scores = propagate(edges, seeds.where("weight > 0"), **flow)
-    by_score = (F.col("linking") >= block_at) & (F.col("linking") > F.col("linked"))
+    seeds = stored(seeds.where("weight > 0"), "seeds")
+    scores = propagate(edges, seeds, **flow).join(
+        seeds.groupBy("host").agg(
+            F.max(F.col("kind") == "distrust").alias("bad"), F.max((F.col("kind") == "trust") & (F.col("weight") >= 1)).alias("good")
+        ),
+        "host",
+        "left",
+    )
+    by_share = (F.col("distrust_share") >= block_at) & (F.col("distrust_share") > F.col("trust_share"))
+    by_score = F.when(F.col("bad"), True).when(F.col("good"), False).otherwise(by_share)
     return judged.join(scores, "host", "left").select(
         "page_id",
         "host",
