@@ -252,6 +252,19 @@ for _name, _staging in _STAGINGS.items():
     _register_rejected(_name, *_staging)
 
 
+@register(
+    "null_keys_rejected",
+    oracle.with_models("""
+        SELECT cust_id, prod_id, order_dt FROM retail_raw_orders WHERE CAST(substr(prod_id, 3) AS BIGINT) % 10 = 3"""),
+)
+def _null_keys(spark, d):
+    """A tenth of the raw orders has lost its id: none of them is staged, all are in quarantine."""
+    raw = Retail(spark, d).raw("raw_orders")
+    raw = raw.withColumn("id", F.when(F.substring("prod_id", 3, 18).cast("bigint") % 10 != 3, F.col("id")))
+    rows = retail.orders_staging().rejected(raw)
+    return rows.filter(F.array_contains("rejected_columns", "missing_id")).select("cust_id", "prod_id", "order_dt")
+
+
 # --- operators ---------------------------------------------------------------------------------------
 @register(
     "dedupe_first",

@@ -21,7 +21,7 @@ class Staging:
     output may carry the name of a raw column without shadowing it. ``typed`` names the outputs that
     come from a cast or a parse, with the raw column each one reads; where an output goes on from
     there (null to zero, zero to null), ``parsed`` holds what the parse alone gave. ``key`` is the raw
-    column whose null rows are dropped (None keeps all rows).
+    column whose null rows are not staged but rejected (None stages all rows).
     """
 
     columns: Mapping[str, Column]
@@ -34,15 +34,17 @@ class Staging:
         return kept.select(*[column.alias(name) for name, column in self.columns.items()])
 
     def rejected(self, raw: DataFrame) -> DataFrame:
-        """Raw rows with text that could not be read, plus ``rejected_columns`` naming the outputs.
+        """Raw rows with text that could not be read, plus ``rejected_columns`` naming the outputs; and rows without
+        a key, which no staged table has, under ``missing_<key>``.
 
         Blank text is a missing value, not a rejected one.
         """
-        kept = raw if self.key is None else raw.filter(F.col(self.key).isNotNull())
-        unreadable = {
+        reasons = {
             name: flag((F.trim(F.col(source)) != "") & self.parsed.get(name, self.columns[name]).isNull())
             for name, source in self.typed.items()
         }
+        if self.key is not None:
+            reasons[f"missing_{self.key}"] = F.col(self.key).isNull()
         # the names are put together for rejected rows only
-        names = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in unreadable.items()]))
-        return kept.filter(reduce(or_, unreadable.values())).withColumn("rejected_columns", names)
+        names = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in reasons.items()]))
+        return raw.filter(reduce(or_, reasons.values())).withColumn("rejected_columns", names)

@@ -16,20 +16,31 @@ from orderloom.functions.metrics import AsOf
 from orderloom.operators import quality
 from orderloom.operators.staging import Staging
 from orderloom.plans import checks, o2c, receivables, retail
-from orderloom.sources.readers import read_raw
+from orderloom.sources.readers import parse_raw, read_raw
 from orderloom.sources.tables import range_sort, write_table
 
 
-def read_all(spark: SparkSession, folder: str, schemas: Mapping) -> dict[str, DataFrame]:
-    """All raw files of a family, ``<folder>/<name>.csv``."""
-    return {name: read_raw(spark, f"{folder.rstrip('/')}/{name}.csv", schema) for name, schema in schemas.items()}
+def read_all(spark: SparkSession, folder: str, schemas: Mapping, out: str | None = None) -> dict[str, DataFrame]:
+    """All raw files of a family, ``<folder>/<name>.csv``.
+
+    With ``out``, where the build goes, every file is parsed once and kept there under ``raw``, and lines with too many or too few
+    fields are stored under ``rejected/<name>``: together with the rejected rows of the staged tables no line is lost.
+    """
+    root = folder.rstrip("/")
+    if out is None:
+        return {name: read_raw(spark, f"{root}/{name}.csv", schema) for name, schema in schemas.items()}
+    found = {}
+    for name, schema in schemas.items():
+        found[name], malformed = parse_raw(spark, f"{root}/{name}.csv", schema, f"{out}/raw/{name}")
+        malformed.write.mode("overwrite").parquet(f"{out}/rejected/{name}")
+    return found
 
 
 def build_o2c(
     raw: Mapping[str, DataFrame], out: str, as_of: AsOf = None, store_failures: bool = True
 ) -> DataFrame:
     """Store staged tables, order-to-cash marts and the aging of open invoices under ``out``; returns the report of all
-    declared checks. Raw rows with unreadable text go to ``out/rejected``."""
+    declared checks. Raw rows with unreadable text or without a key go to ``out/rejected``."""
     data = stage_all(O2C_STAGING, raw, out)
     data["stg_payments"] = write_table(o2c.stg_payments(raw["raw_payments"]), f"{out}/stg_payments")
     store_rejected("stg_payments", o2c.payments_staging(), raw["raw_payments"], out)
@@ -71,7 +82,7 @@ RETAIL_STAGING = {
 
 
 def stage_all(stagings: Mapping, raw: Mapping[str, DataFrame], out: str) -> dict[str, DataFrame]:
-    """Store every staged table, and beside it the raw rows with unreadable text."""
+    """Store every staged table, and beside it the raw rows with unreadable text or without a key."""
     data = {}
     for name, (source, make) in stagings.items():
         staging = make()

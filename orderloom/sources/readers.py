@@ -28,6 +28,24 @@ def read_malformed(spark: SparkSession, path: str, *, multi_line: bool = False)
     return bad.select(F.col(CORRUPT).alias("line"), F.col("_metadata.file_path").alias("file"))
 
 
+def parse_raw(
+    spark: SparkSession, path: str, schema: StructType, parsed: str, *, multi_line: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """What ``read_raw`` and ``read_malformed`` give, from one parse: rows are stored under ``parsed`` with the malformed line beside them,
+    and both results read that. Nothing that follows parses the text again."""
+    rows, columns = _named(spark, path, multi_line)
+    bad = _is_corrupt(columns)
+    line = F.when(bad, F.col(CORRUPT))
+    rows.select(
+        *[F.when(~bad, F.col(columns[f.name])).cast(f.dataType).alias(f.name) for f in schema],
+        line.alias("_line"),
+        F.when(bad, F.col("_metadata.file_path")).alias("_file"),
+    ).write.mode("overwrite").parquet(parsed)
+    stored = spark.read.parquet(parsed)
+    good = stored.filter(F.col("_line").isNull()).select(*[f.name for f in schema])
+    return good, stored.filter(F.col("_line").isNotNull()).select(F.col("_line").alias("line"), F.col("_file").alias("file"))
+
+
 def _is_corrupt(columns: dict[str, str]) -> Column:
     """Not as a null test, which the scan would answer before it has parsed the line; and with nothing of the first
     column added, because Spark wants another column to be read besides."""

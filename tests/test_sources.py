@@ -99,3 +99,33 @@ def test_builds_store_rejected_rows_and_staged_tables(spark, folder):
     assert read_table(spark, f"{folder}/out/stg_customers").count() == 2
     facts = read_table(spark, f"{folder}/out/fct_orders")
     assert sorted((r.order_id, r.order_date is None) for r in facts.collect()) == [("O_1001", False), ("O_1002", False), ("O_1003", True)]
+
+
+def test_every_raw_line_is_in_a_staged_or_a_rejected_table(spark, folder):
+    """Too many fields, too few, no key, unreadable text, both, and good lines."""
+    files = dict(SHOP)
+    files["raw_orders"] += (
+        "O_1003,K1,G1,2024-01-07,comp,1,,web,,too,many\nO_1004,K1\n,K1,G1,2024-01-08,comp,1,,web,\n"
+        ",K2,G1,someday,comp,many,,web,\nO_1005,K1,G1,2024-01-09,comp,many,,web,\n"
+    )
+    files["raw_customers"] += "K2,bo\n,no,key,,us,2024-01-01,gold,1\n"
+    for name, lines in files.items():
+        with open(f"{folder}/{name}.csv", "w") as out:
+            out.write(lines)
+    at = f"{folder}/out"
+    raw = build.read_all(spark, folder, schemas.RETAIL_RAW, at)
+    build.build_retail(raw, at, dt.datetime(2024, 2, 1), dt.date(2024, 2, 1), period="month")
+    malformed = {n: sorted(r.line for r in spark.read.parquet(f"{at}/rejected/{n}").collect()) for n in files}
+    assert malformed == {
+        "raw_orders": ["O_1003,K1,G1,2024-01-07,comp,1,,web,,too,many", "O_1004,K1"], "raw_customers": ["K2,bo"], "raw_products": [],
+    }
+    rejected = spark.read.parquet(f"{at}/rejected/stg_orders").collect()
+    assert sorted((r.id or "", sorted(r.rejected_columns)) for r in rejected) == [
+        ("", ["missing_id"]), ("", ["missing_id", "order_date", "quantity"]), ("O_1005", ["quantity"]),
+    ]
+    for staged, source in (("stg_orders", "raw_orders"), ("stg_customers", "raw_customers"), ("stg_products", "raw_products")):
+        without_key = spark.read.parquet(f"{at}/rejected/{staged}").where("id is null").count()
+        kept = read_table(spark, f"{at}/{staged}").count()
+        assert kept + without_key + len(malformed[source]) == files[source].count("\n") - 1, staged
+    # the raw files are read from what was parsed
+    assert all("/out/raw/raw_orders/" in name for name in raw["raw_orders"].inputFiles())
