@@ -3,7 +3,7 @@
 Each node has a density: its characters per tag, lowered by the share of them in links. The node whose children's densities
 add up to the most is the core. The content is the outermost article or main around it, whole; without one, the highest node around it
 below the body that is made mostly of text outside links, without the menus in it. With it goes what beside the rest of the path to the body is
-at least as dense as the least dense node on that path, and headings, sections and other prose there. Inline markup does not count as tags of its own, so emphasis inside a paragraph leaves its density alone.
+at least as dense as the least dense node on that path, and headings there; without an article also sections and other prose. Inline markup does not count as tags of its own, so emphasis inside a paragraph leaves its density alone.
 """
 
 from __future__ import annotations
@@ -36,7 +36,16 @@ DROPPED_NAMES = frozenset(
     "ad ads adsense advert adverts advertisement banner sponsor sponsored promo cookie cookies consent gdpr notice notices "
     "alert popup modal overlay newsletter subscribe signup nav navbar navigation menu breadcrumb breadcrumbs sidebar "
     "footer comment comments disqus respond replies share sharing social related recommended search toolbar masthead contentinfo "
-    "complementary".split()
+    "complementary copyright legal disclaimer".split()
+)
+#: Those that mark reader comments.
+COMMENTS = frozenset("comment comments disqus respond replies".split())
+#: Words that say nothing by themselves: a class of such words and of dropped ones is a plain name, as ``ad-slot-2`` or ``comment-body``;
+#: one with another word, as ``has-sidebar`` or ``social-impact``, may mean something else.
+NEUTRAL = frozenset(
+    "site page main box block wrap wrapper container inner outer content body area section list item items thread form widget module "
+    "slot unit space left right top bottom header links link buttons button bar text message posts post articles stories news "
+    "more the of and by is to us email".split()
 )
 #: Elements whose start closes an open one of the named kind, unless one of the second group stands between.
 CLOSES = {
@@ -50,7 +59,8 @@ CLOSES = {
 }
 KEPT = frozenset(("html", "body", "main", "article"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-#: Elements of running text that stay beside the content, whatever their density, unless most of their text is in links.
+#: Elements of running text that stay beside the content of a page without article, whatever their density, unless most of their text is
+#: in links. Beside an article only headings do.
 PROSE = HEADINGS | frozenset("article section p ul ol dl table blockquote pre figure".split())
 NAME = re.compile(r"[^a-z0-9]+")
 BLANK = re.compile(r"[ \t\n\r\f\v\xa0]+")
@@ -61,7 +71,8 @@ class Tree(HTMLParser):
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.tag, self.parent, self.dropped, self.named = ["#root"], [-1], [False], [False]
+        self.tag, self.parent, self.dropped = ["#root"], [-1], [False]
+        self.named, self.plain, self.comment = [False], [False], [False]
         self.items: list[list] = [[]]
         self.open = [0]
         self.feed(html)
@@ -73,7 +84,10 @@ class Tree(HTMLParser):
         self.tag.append(tag)
         self.parent.append(parent)
         self.dropped.append(self.dropped[parent] or self._is_dropped(tag, attrs))
-        self.named.append(self._is_named(tag, attrs))
+        named, plain, comment = self._names(tag, attrs)
+        self.named.append(named)
+        self.plain.append(plain)
+        self.comment.append(comment)
         self.items.append([])
         self.items[parent].append(node)
         return node
@@ -86,19 +100,33 @@ class Tree(HTMLParser):
         return any(name == "hidden" or name == "aria-hidden" and value == "true" for name, value in attrs)
 
     @staticmethod
-    def _is_named(tag: str, attrs) -> bool:
-        return tag == "form" or any(
-            name in ("class", "id", "role") and value and not DROPPED_NAMES.isdisjoint(NAME.split(value.lower()))
-            for name, value in attrs
-        )
+    def _names(tag: str, attrs) -> tuple[bool, bool, bool]:
+        """Whether an element is named as something to drop; whether plainly so; and whether plainly as reader comments."""
+        named, plain, comment = tag == "form", False, False
+        for name, value in attrs:
+            if name not in ("class", "id", "role") or not value:
+                continue
+            for token in value.lower().split():
+                words = [w for w in NAME.split(token) if w]
+                if not DROPPED_NAMES.isdisjoint(words):
+                    named = True
+                    if all(w in DROPPED_NAMES or w in NEUTRAL or w.isdigit() for w in words):
+                        plain = True
+                        comment = comment or not COMMENTS.isdisjoint(words)
+        return named, plain, comment
 
     def _settle(self) -> None:
-        """Drop named elements, but for those that hold an article or main without such a name, a first-level heading and more text than
-        that, or most of the page's text outside links while no article or main stands elsewhere."""
+        """Drop named elements.
+
+        Plainly named ones stay only with nine tenths of the page's text outside links, or with an article or main in them; reader comments don't
+        stay for an article, and an article plainly named goes like any other element. Other named ones stay also with most of
+        the text while no article or main stands elsewhere, or with a first-level heading and more text than that.
+        """
         n = len(self.tag)
-        linked, size, heading, articles = [False] * n, [0] * n, [0] * n, [0] * n
+        linked, within, size, heading, articles = [False] * n, [False] * n, [0] * n, [0] * n, [0] * n
         for k in range(1, n):
             linked[k] = linked[self.parent[k]] or self.tag[k] == "a"
+            within[k] = within[self.parent[k]] or self.comment[k] and self.tag[k] not in ("html", "body", "main")
         for k in range(n - 1, -1, -1):
             if self.dropped[k]:
                 continue
@@ -106,7 +134,7 @@ class Tree(HTMLParser):
                 size[k] += sum(len(BLANK.sub("", item)) for item in self.items[k] if isinstance(item, str))
             if self.tag[k] == "h1":
                 heading[k] = size[k]
-            articles[k] += self.tag[k] in ("article", "main") and not self.named[k] and size[k] > 0
+            articles[k] += self.tag[k] in ("article", "main") and not within[k] and not self.named[k] and size[k] > 0
             if k:
                 p = self.parent[k]
                 size[p] += size[k]
@@ -116,9 +144,14 @@ class Tree(HTMLParser):
         for k in range(1, n):
             p = self.parent[k]
             inside[k] = inside[p] or self.tag[k] in ("article", "main") and not self.named[k]
-            if not self.dropped[k] and self.named[k] and self.tag[k] not in KEPT:
+            whole = self.tag[k] in KEPT and not (self.tag[k] == "article" and self.plain[k])
+            if not self.dropped[k] and self.named[k] and not whole:
                 most = 2 * size[k] > size[0] and (inside[k] or not articles[0])
-                self.dropped[k] = not (articles[k] or most or 0 < heading[k] < size[k] - heading[k])
+                if self.plain[k]:
+                    stays = articles[k] and not self.comment[k] or 10 * size[k] > 9 * size[0]
+                else:
+                    stays = articles[k] or most or 0 < heading[k] < size[k] - heading[k]
+                self.dropped[k] = not stays
             self.dropped[k] = self.dropped[k] or self.dropped[p]
 
     def handle_starttag(self, tag, attrs):
@@ -160,9 +193,9 @@ def _log(base: float, x: float) -> float:
     return math.log(x) / math.log(base) if base > 1 and x > 0 else 0.0
 
 
-def main_text(html: str) -> str:
-    """The blocks of the main content, each with single blanks, joined by empty lines."""
-    tree = Tree(html)
+def scores(tree: Tree) -> tuple[list[int], list[int], list[float], list[float], int, int]:
+    """Characters and characters in links of every node, its density, the sum of its children's densities; the body, and the node with
+    the largest sum in it, of equal ones the first."""
     n = len(tree.tag)
     chars, link_chars, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     in_link = [False] * n
@@ -202,6 +235,13 @@ def main_text(html: str) -> str:
     for k in range(1, n):
         inside[k] = inside[k] or inside[tree.parent[k]] and not tree.dropped[k]
     best = max((k for k in range(n) if inside[k]), key=lambda k: (total[k], -k), default=body)
+    return chars, link_chars, dense, total, body, best
+
+
+def main_text(html: str) -> str:
+    """The blocks of the main content, each with single blanks, joined by empty lines."""
+    tree = Tree(html)
+    chars, link_chars, dense, _, body, best = scores(tree)
     path = [best]
     while path[-1] != body:
         path.append(tree.parent[path[-1]])
@@ -210,6 +250,7 @@ def main_text(html: str) -> str:
     whole = [k for k in path if tree.tag[k] in ("article", "main") and k != body]
     top = whole[-1] if whole else next((k for k in reversed(path) if k != body and mostly_text(k)), best)
     on_path, chosen, at = set(path), {top}, path.index(top)
+    beside = HEADINGS if whole else PROSE
     for k in path[1 : at + 1] if not whole else ():  # menus beside the content of a page without article
         for c in tree.items[k]:
             if not isinstance(c, str) and c not in on_path and tree.tag[c] not in INLINE and not mostly_text(c) and dense[c] < floor:
@@ -218,7 +259,7 @@ def main_text(html: str) -> str:
         chosen.update(
             c
             for c in tree.items[k]
-            if not isinstance(c, str) and c not in on_path and (dense[c] >= floor > 0 or tree.tag[c] in PROSE and mostly_text(c))
+            if not isinstance(c, str) and c not in on_path and (dense[c] >= floor > 0 or tree.tag[c] in beside and mostly_text(c))
         )
     return "\n\n".join(_blocks(tree, body, chosen))
 
