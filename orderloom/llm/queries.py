@@ -283,7 +283,7 @@ def warc_round_trip(spark, d):
     read = warc.read_records(spark, path)  # the bodies of responses are measured there and not needed beyond
     body = F.when(F.col("type") == "metadata", F.col("payload"))
     records = stored(read.withColumn("payload", body), "records")
-    found = warc.resolve_revisits(warc.captures(records))
+    found = warc.resolve_revisits(stored(warc.captures(records), "captures"))
     revisit = F.col("response.type") == "revisit"
     original = F.when(revisit, F.col("original"))
     return found.select(

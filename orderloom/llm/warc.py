@@ -239,6 +239,8 @@ def captures(records: DataFrame) -> DataFrame:
     linked = (
         fields.select("type", "part", "record_id", F.explode("concurrent_to").alias("capture"))
         .unionByName(fields.join(named, "record_id").select("type", "part", "record_id", "capture"))
+        .groupBy("capture", "type", "record_id")
+        .agg(F.first("part").alias("part"))  # a record may be there more than once, and be linked both ways
         .groupBy("capture")
         .agg(
             *(
@@ -246,7 +248,7 @@ def captures(records: DataFrame) -> DataFrame:
                 for kind in ("request", "metadata")
                 for x in (
                     F.min_by(F.when(F.col("type") == kind, F.col("part")), F.when(F.col("type") == kind, F.col("record_id"))).alias(kind),
-                    F.count_distinct(F.when(F.col("type") == kind, F.col("record_id"))).alias(f"n_{kind}"),
+                    F.count(F.when(F.col("type") == kind, F.col("record_id"))).alias(f"n_{kind}"),
                 )
             )
         )
@@ -273,7 +275,10 @@ def page_id_of(capture: DataFrame) -> Column:
 
 def resolve_revisits(found: DataFrame) -> DataFrame:
     """``captures`` with ``original``: record id, page id, length and digest of the response that a
-    revisit refers to, null for responses and for revisits whose response is not in the archives."""
+    revisit refers to, null for responses and for revisits whose response is not in the archives.
+
+    Only revisits are joined. ``found`` is read three times: store it first where it is a long plan.
+    """
     page = page_id_of(found)
     originals = found.where("response.type = 'response'").select(
         F.col("record_id").alias("_to"),
@@ -283,4 +288,8 @@ def resolve_revisits(found: DataFrame) -> DataFrame:
         ).alias("original"),
     )
     by_id = originals.groupBy("_to").agg(F.first("original").alias("original"))
-    return found.join(by_id, found["response.refers_to"] == by_id["_to"], "left").drop("_to")
+    refers = F.coalesce(F.col("response.refers_to").isNotNull(), F.lit(False))
+    joined = found.where(refers).withColumn("_from", F.col("response.refers_to"))
+    resolved = joined.join(by_id, F.col("_from") == F.col("_to"), "left").select(*found.columns, "original")
+    nothing = F.lit(None).cast(by_id.schema["original"].dataType).alias("original")
+    return found.where(~refers).select("*", nothing).unionByName(resolved)
