@@ -282,8 +282,10 @@ def warc_round_trip(spark, d):
     warc.write_captures(table(spark, d, "pages"), path)
     read = warc.read_records(spark, path)  # the bodies of responses are measured there and not needed beyond
     body = F.when(F.col("type") == "metadata", F.col("payload"))
-    records = stored(read.withColumn("payload", body), "records")
-    found = warc.resolve_revisits(stored(warc.captures(records), "captures"))
+    unused = {c: F.lit(None).cast(read.schema[c].dataType) for c in ("http_head", "headers")}
+    records = stored(read.withColumns({"payload": body, **unused}), "records")
+    found = warc.captures(records).select("record_id", "response", F.struct("metadata.payload").alias("metadata"))
+    found = warc.resolve_revisits(stored(found, "captures"))
     revisit = F.col("response.type") == "revisit"
     original = F.when(revisit, F.col("original"))
     return found.select(
