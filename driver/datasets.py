@@ -119,7 +119,13 @@ class O2C:
 
     @cached_property
     def orders_with_lines(self) -> DataFrame:
-        return o2c.orders_with_lines(self.stg_sales_orders, self.int_order_lines_enriched)
+        return o2c.build_orders_with_lines(
+            self.stg_sales_orders, self.stg_order_lines, self.stg_shipments, self.stg_products
+        )
+
+    @cached_property
+    def invoice_balances(self) -> DataFrame:
+        return o2c.invoice_balances(self.stg_invoices, self.stg_payments)
 
     @cached_property
     def orders_with_shipments(self) -> DataFrame:

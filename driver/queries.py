@@ -100,6 +100,13 @@ def _composed(spark, d):
     return o2c.fct_order_lines(c.int_order_lines_enriched, c.dim_customers, c.dim_products)
 
 
+@register("o2c_orders_with_lines_composed", oracle.flat("o2c_orders_with_lines", schemas.O2C["orders_with_lines"]))
+def _orders_composed(spark, d):
+    """Orders with the totals of the enriched lines."""
+    c = O2C(spark, d)
+    return o2c.orders_with_lines(c.stg_sales_orders, c.int_order_lines_enriched)
+
+
 # --- flagship: revenue and delivery by region ------------------------------------------------------
 @register(
     "region_performance",
@@ -659,7 +666,7 @@ def _build_retail(spark, d):
         LEFT JOIN o2c_invoice_aging i USING (aging_bucket) GROUP BY b.aging_bucket"""),
 )
 def _aging(spark, d):
-    return receivables.aging_summary(O2C(spark, d).fct_invoices, AS_OF)
+    return receivables.aging_summary(O2C(spark, d).invoice_balances, AS_OF)
 
 
 def _dso_sql(by: str, expression: str) -> str:
@@ -676,7 +683,7 @@ def _dso_sql(by: str, expression: str) -> str:
 
 @register("dso_customer", _dso_sql("customer_id", "customer_id"))
 def _dso_customer(spark, d):
-    return receivables.dso(O2C(spark, d).fct_invoices, ["customer_id"], 365)
+    return receivables.dso(O2C(spark, d).invoice_balances, ["customer_id"], 365)
 
 
 @register("dso_region", _dso_sql("region", oracle.region("customer_state")))

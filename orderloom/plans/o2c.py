@@ -282,6 +282,18 @@ def int_invoices_enriched(
     )
 
 
+def invoice_balances(invoices: DataFrame, payments: DataFrame, *, exclude_flagged: bool = False) -> DataFrame:
+    """What receivables reports need of an invoice, from invoices and payments alone: status, dates, amount and what is open."""
+    joined = left_lookup(invoices, payment_totals(payments, exclude_flagged=exclude_flagged), "invoice_id")
+    paid = parsing.or_zero(F.col("amount_paid"), metrics.MONEY)
+    return joined.select(
+        *("invoice_id", "customer_id", "invoice_date", "due_date"),
+        F.col("payment_status").alias("invoice_status"),
+        "invoice_amount",
+        metrics.outstanding(F.col("invoice_amount"), paid).alias("outstanding_amount"),
+    )
+
+
 # --- dimensions -----------------------------------------------------------------------------------
 def dim_customers(customers: DataFrame, orders: DataFrame, as_of: AsOf = None) -> DataFrame:
     tenure = metrics.days_between(F.col("first_order_date"), metrics.as_of_date(as_of))
@@ -359,13 +371,38 @@ def fct_invoices(invoices: DataFrame, customers: DataFrame) -> DataFrame:
 # --- order grain ----------------------------------------------------------------------------------
 def orders_with_lines(orders: DataFrame, enriched_lines: DataFrame) -> DataFrame:
     """Sales orders with the totals of their lines; orders without lines show zero lines."""
-    joined = left_lookup(orders, order_rollup(enriched_lines), "order_id")
+    return _with_totals(orders, order_rollup(enriched_lines))
+
+
+def _with_totals(orders: DataFrame, totals: DataFrame) -> DataFrame:
+    joined = left_lookup(orders, totals, "order_id")
     counts = ("line_count", "product_count")
     return joined.select(
         *[parsing.or_zero(F.col(c), "bigint").alias(c) if c in counts else F.col(c) for c in joined.columns]
     )
 
 
+def build_orders_with_lines(orders: DataFrame, lines: DataFrame, shipments: DataFrame, products: DataFrame) -> DataFrame:
+    """The same from staged tables, without the enriched lines: sums need no order or shipment column, and an order with
+    several shipments, which repeats its lines there, only multiplies them. Lines move by product and order, once each, as five
+    narrow columns. Order ids are unique in ``orders``."""
+    narrow = lines.select("order_id", "product_id", "quantity", "unit_price", "line_discount_pct")
+    priced = left_lookup(narrow, products, "product_id", ["cost_price"])
+    amounts = metrics.line_amounts(
+        F.col("quantity"), F.col("unit_price"), F.col("cost_price"), metrics.percent(F.col("line_discount_pct"))
+    )
+    summed = order_rollup(priced.select("order_id", "product_id", *[c.alias(name) for name, c in amounts.items()]))
+    repeats = shipments.filter(F.col("order_id").isNotNull()).groupBy("order_id").agg(F.count("*").alias("_shipments"))
+    times = F.coalesce("_shipments", F.lit(1))
+    rolled = left_lookup(summed, repeats, "order_id").select(
+        "order_id",
+        (F.col("line_count") * times).alias("line_count"),
+        "product_count",
+        *[(F.col(c) * times.cast("decimal(10,0)")).try_cast(metrics.MONEY).alias(c) for c in summed.columns if c in amounts],
+    )
+    return _with_totals(orders, rolled)
+
+
 def orders_with_shipments(orders: DataFrame, shipments: DataFrame) -> DataFrame:
     """Sales orders with shipment status and delivery metrics."""
     shipment_side = shipments.select(
