@@ -21,19 +21,36 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df
 
 
+def guard_unique(df: DataFrame, key: str) -> DataFrame:
+    """``df`` without null keys; whoever computes it fails if a key occurs twice.
+
+    No job of its own: rows are grouped by the key, as a join on it wants them anyway, counted in the map tasks first.
+    """
+    others = [c for c in df.columns if c != key]
+    grouped = df.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        F.count("*").alias("_n"), F.first(F.struct(*[F.col(c) for c in others])).alias("_row")
+    )
+    told = F.concat(F.lit(f"['{key}'] is not unique, e.g. "), F.col(key).cast("string"))
+    once = F.when(F.col("_n") > 1, F.raise_error(told).cast("boolean")).otherwise(F.lit(True))
+    return grouped.filter(once).select(key, *[F.col(f"_row.{c}").alias(c) for c in others])
+
+
 def left_lookup(
     left: DataFrame,
     right: DataFrame,
     on: str,
     columns: Sequence[str] | None = None,
     *,
-    unique: bool = False,
+    unique: bool | str = False,
     isolate_share: float | None = None,
     broadcast_bytes: int = 64 << 20,
     salts: int = 64,
 ) -> DataFrame:
     """All rows of ``left`` with ``columns`` of the row of ``right`` that has the same key.
 
+    ``unique`` makes sure that ``right`` holds each key once: True in a job beforehand, ``"in plan"`` while the result is
+    computed, which then fails.
+
     No broadcast hint: Spark broadcasts ``right`` only where its size, estimated or measured at run
     time, is under the session's threshold, and otherwise sort-merges, splitting skewed partitions
     of ``left``. With ``isolate_share`` the keys holding at least that share of ``left`` are found
@@ -42,7 +59,9 @@ def left_lookup(
     tasks and its lookup rows are repeated that often.
     """
     side = right if columns is None else right.select(on, *columns)
-    if unique:
+    if unique == "in plan":
+        side = guard_unique(side, on)
+    elif unique:
         assert_unique(side, [on])
     if isolate_share is None:
         return left.join(side, on, "left")

@@ -236,12 +236,12 @@ def int_order_lines_enriched(
     shipments: DataFrame,
     products: DataFrame,
     *,
-    unique_shipments: bool = False,
+    unique_shipments: bool | str = False,
 ) -> DataFrame:
     """Lines with order, shipment and cost. The product comes first, while lines are narrow; orders
     and shipments join on the same key, so the lines are shuffled once for both and come out
     partitioned by order, as the order rollup needs them. An order with several shipments repeats its lines, as a left join
-    does; ``unique_shipments`` checks beforehand that there is none."""
+    does; ``unique_shipments`` checks that there is none (see ``left_lookup``)."""
     joined = left_lookup(lines.drop("notes"), products, "product_id", ["cost_price"])
     joined = left_lookup(joined, orders.drop("notes"), "order_id")
     joined = left_lookup(joined, _shipment_side(shipments), "order_id", unique=unique_shipments)

@@ -158,3 +158,27 @@ def test_scd2_lifecycle(frame):
     open_per_key = h3.filter("valid_to is null").groupBy("k").count().filter("count <> 1").count()
     assert open_per_key == 0
     assert h3.select("version_id").distinct().count() == h3.count()
+
+
+def test_uniqueness_guarded_in_the_plan(spark, frame):
+    from orderloom.operators.lookup import left_lookup
+
+    left = frame("k string, n int", ("a", 1), ("b", 2), (None, 3), ("c", 4))
+    once = frame("k string, v int, w string", ("a", 10, "x"), ("b", None, "y"), (None, 5, "z"), (None, 6, "z"))
+    got = left_lookup(left, once, "k", ["v", "w"], unique="in plan").collect()
+    assert sorted((r.n, r.v, r.w) for r in got) == [(1, 10, "x"), (2, None, "y"), (3, None, None), (4, None, None)]
+    twice = once.union(frame("k string, v int, w string", ("b", 7, "y")))
+    joined = left_lookup(left, twice, "k", ["v"], unique="in plan")  # nothing runs yet
+    with pytest.raises(Exception, match=r"\['k'\] is not unique, e.g. b"):
+        joined.collect()
+    # grouping by the key takes no exchange beyond those of the join
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        plan = left_lookup(left, once, "k", ["v"], unique="in plan")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert plan.count("Exchange hashpartitioning") == 2 and "raise_error" in plan

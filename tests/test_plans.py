@@ -255,6 +255,9 @@ def test_split_shipments_repeat_lines_unless_refused(trade):
     assert o2c.int_order_lines_enriched(*args).count() == 7
     with pytest.raises(NotUniqueError):
         o2c.int_order_lines_enriched(*args, unique_shipments=True)
+    guarded = o2c.int_order_lines_enriched(*args, unique_shipments="in plan")  # no job yet
+    with pytest.raises(Exception, match="is not unique"):
+        guarded.collect()
 
 
 def test_enriched_invoices(trade):
