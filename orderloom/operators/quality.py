@@ -6,13 +6,13 @@ A null value passes every check but ``not_null``. ``where`` restricts a check to
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 from operator import or_
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -137,7 +137,54 @@ def run_checks(
         reports.append(counts.select(F.inline(F.array(*pairs))))
     if by_key:
         reports.append(_key_failures(df, by_key, parents or {}))
-    found = reports[0] if len(reports) == 1 else reports[0].unionByName(reports[1])
+    return _report(checks, reports)
+
+
+class RowCounts:
+    """Failures of a table's row-level checks, counted by the tasks that write it: ``write_table(..., counts=...)``.
+
+    The count is the last step before the write, after any shuffle of the layout. Spark takes such a count from a
+    partition once, however often lost executors make a task run again, while tasks before a shuffle would be counted
+    again. One object serves one write.
+    """
+
+    def __init__(self, checks: Sequence[Check]):
+        self._checks = [c for c in checks if c.kind in ROW_KINDS]
+        self._seen = Observation()
+
+    def watch(self, rows: DataFrame) -> DataFrame:
+        """``rows``, counted when they are written."""
+        counted = [F.count_if(row_fails(c)).alias(f"n{i}") for i, c in enumerate(self._checks)]
+        return rows.observe(self._seen, *counted) if counted else rows
+
+    def failures(self) -> dict[str, int]:
+        """Failures by the name of the check, once the write is done."""
+        seen = self._seen.get if self._checks else {}
+        return {c.name: seen[f"n{i}"] for i, c in enumerate(self._checks)}
+
+
+def report_written(
+    df: DataFrame, checks: Sequence[Check], counted: dict[str, int], parents: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """The report of ``run_checks`` for a stored table of which ``counted`` is known from its write.
+
+    Only the columns of ``unique`` and ``relationships`` are read, in one scan; without such checks nothing is.
+    """
+    indexed = list(enumerate(checks))
+    known = [F.struct(F.lit(i).alias("_check"), F.lit(counted[c.name]).cast("bigint").alias("failures"))
+             for i, c in indexed if c.kind in ROW_KINDS]
+    by_key = [(i, c) for i, c in indexed if c.kind not in ROW_KINDS]
+    reports = []
+    if known:
+        reports.append(df.sparkSession.range(1).select(F.inline(F.array(*known))))
+    if by_key:
+        reports.append(_key_failures(df, by_key, parents or {}))
+    return _report(checks, reports)
+
+
+def _report(checks: Sequence[Check], found: Sequence[DataFrame]) -> DataFrame:
+    """``check, column, failures, passed`` of ``(_check, failures)``."""
+    found = reduce(DataFrame.unionByName, found)
     names = F.array(*[F.lit(c.name) for c in checks])
     columns = F.array(*[F.lit(c.column) for c in checks])
     return found.select(
@@ -197,25 +244,36 @@ def store_failures(
     checks: Sequence[Check],
     path: str,
     parents: dict[str, DataFrame] | None = None,
+    passed: Collection[str] = (),
 ) -> list[str]:
     """Write what the checks object to under ``path/check=<name>``; returns the names written.
 
     Rows failing row-level checks are tagged with every rule they break and written in one pass,
-    however many checks there are; ``unique`` and ``relationships`` take one job each.
+    however many checks there are; ``unique`` and ``relationships`` take one job each. Of checks named in ``passed`` no
+    row is looked for, and what an earlier run has stored for them goes.
     """
+    spark = df.sparkSession
     by_row = [c for c in checks if c.kind in ROW_KINDS]
     if by_row:
         broken = F.array_compact(F.array(*[F.when(row_fails(c), F.lit(c.name)) for c in by_row]))
-        bad = df.filter(reduce(or_, [row_fails(c) for c in by_row]))
-        rows = bad.withColumn("check", F.explode(broken))
-        rows.write.mode("overwrite").partitionBy("check").parquet(f"{path}/rows")
-        Folder(df.sparkSession, f"{path}/rows").write_json(ROWS_SCHEMA, rows.schema.jsonValue())
+        rows = df.withColumn("check", F.explode(broken))
+        open_ones = [row_fails(c) for c in by_row if c.name not in passed]
+        found = df.filter(reduce(or_, open_ones)).withColumn("check", F.explode(broken)) if open_ones else _none(rows)
+        found.write.mode("overwrite").partitionBy("check").parquet(f"{path}/rows")
+        Folder(spark, f"{path}/rows").write_json(ROWS_SCHEMA, rows.schema.jsonValue())
     for check in checks:
         if check.kind not in ROW_KINDS:
-            failing(df, check, parents).write.mode("overwrite").parquet(f"{path}/{check.name}")
+            found = failing(df, check, parents)
+            found = _none(found) if check.name in passed else found
+            found.write.mode("overwrite").parquet(f"{path}/{check.name}")
     return [c.name for c in checks]
 
 
+def _none(df: DataFrame) -> DataFrame:
+    """No rows, in the schema of ``df``."""
+    return df.sparkSession.createDataFrame([], df.schema)
+
+
 def read_failures(spark: SparkSession, check: Check, path: str) -> DataFrame:
     """Stored failures of one check; none if it passed."""
     if check.kind in ROW_KINDS:

@@ -1,13 +1,15 @@
 """Whole builds: raw inputs to stored marts, checked.
 
 Staged tables and dimensions are stored first and facts read the stored ones, so raw inputs are parsed once.
-Enriched datasets are views: they are part of the plans of what is stored.
+Enriched datasets are views: they are part of the plans of what is stored. Row-level checks are counted by the tasks
+that write a table; what is read again for checks are the columns of keys, and whole rows only where a check fails.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +19,30 @@ from orderloom.operators import quality
 from orderloom.operators.staging import Staging
 from orderloom.plans import checks, o2c, receivables, retail
 from orderloom.sources.readers import parse_raw, read_raw
-from orderloom.sources.tables import range_sort, write_table
+from orderloom.sources.tables import Layout, range_sort, write_table
+
+Suites = Mapping[str, list[quality.Check]]
+
+
+@dataclass
+class Marts:
+    """The tables a build stores under one folder, and the failures of row-level checks counted in their writes."""
+
+    out: str
+    suites: Suites
+    data: dict[str, DataFrame] = field(default_factory=dict)
+    counted: dict[str, dict[str, int]] = field(default_factory=dict)
+
+    def store(self, name: str, rows: DataFrame, layout: Layout | None = None) -> None:
+        counts = quality.RowCounts(self.suites.get(name, ()))
+        self.data[name] = write_table(rows, f"{self.out}/{name}", layout=layout, counts=counts)
+        self.counted[name] = counts.failures()
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.data[name]
+
+    def report(self, failures: str | None = None) -> DataFrame:
+        return check_all(self.data, self.suites, failures, self.counted)
 
 
 def read_all(spark: SparkSession, folder: str, schemas: Mapping, out: str | None = None) -> dict[str, DataFrame]:
@@ -41,29 +66,23 @@ def build_o2c(
 ) -> DataFrame:
     """Store staged tables, order-to-cash marts and the aging of open invoices under ``out``; returns the report of all
     declared checks. Raw rows with unreadable text or without a key go to ``out/rejected``."""
-    data = stage_all(O2C_STAGING, raw, out)
-    data["stg_payments"] = write_table(o2c.stg_payments(raw["raw_payments"]), f"{out}/stg_payments")
+    marts = stage_all(O2C_STAGING, raw, Marts(out, checks.O2C))
+    marts.store("stg_payments", o2c.stg_payments(raw["raw_payments"]))
     store_rejected("stg_payments", o2c.payments_staging(), raw["raw_payments"], out)
-    orders = data["stg_sales_orders"]
-    data["dim_customers"] = write_table(
-        o2c.dim_customers(data["stg_customers"], orders, as_of), f"{out}/dim_customers"
-    )
-    data["dim_products"] = write_table(o2c.dim_products(data["stg_products"]), f"{out}/dim_products")
-    data["fct_order_lines"] = write_table(
+    orders = marts["stg_sales_orders"]
+    marts.store("dim_customers", o2c.dim_customers(marts["stg_customers"], orders, as_of))
+    marts.store("dim_products", o2c.dim_products(marts["stg_products"]))
+    marts.store(
+        "fct_order_lines",
         o2c.build_fct_order_lines(
-            data["stg_order_lines"], orders, data["stg_shipments"], data["dim_customers"], data["dim_products"]
+            marts["stg_order_lines"], orders, marts["stg_shipments"], marts["dim_customers"], marts["dim_products"]
         ),
-        f"{out}/fct_order_lines",
     )
-    invoices = o2c.int_invoices_enriched(data["stg_invoices"], orders, data["stg_payments"], as_of)
+    invoices = o2c.int_invoices_enriched(marts["stg_invoices"], orders, marts["stg_payments"], as_of)
     by_date = range_sort("invoice_date")
-    data["fct_invoices"] = write_table(
-        o2c.fct_invoices(invoices, data["dim_customers"]), f"{out}/fct_invoices", layout=by_date
-    )
-    data["fct_invoice_aging"] = write_table(
-        receivables.invoice_aging(data["fct_invoices"], as_of), f"{out}/fct_invoice_aging", layout=by_date
-    )
-    return check_all(data, checks.O2C, f"{out}/test_failures" if store_failures else None)
+    marts.store("fct_invoices", o2c.fct_invoices(invoices, marts["dim_customers"]), by_date)
+    marts.store("fct_invoice_aging", receivables.invoice_aging(marts["fct_invoices"], as_of), by_date)
+    return marts.report(f"{out}/test_failures" if store_failures else None)
 
 
 O2C_STAGING = {
@@ -81,14 +100,13 @@ RETAIL_STAGING = {
 }
 
 
-def stage_all(stagings: Mapping, raw: Mapping[str, DataFrame], out: str) -> dict[str, DataFrame]:
+def stage_all(stagings: Mapping, raw: Mapping[str, DataFrame], marts: Marts) -> Marts:
     """Store every staged table, and beside it the raw rows with unreadable text or without a key."""
-    data = {}
     for name, (source, make) in stagings.items():
         staging = make()
-        data[name] = write_table(staging.rows(raw[source]), f"{out}/{name}")
-        store_rejected(name, staging, raw[source], out)
-    return data
+        marts.store(name, staging.rows(raw[source]))
+        store_rejected(name, staging, raw[source], marts.out)
+    return marts
 
 
 def store_rejected(name: str, staging: Staging, raw: DataFrame, out: str) -> None:
@@ -105,32 +123,40 @@ def build_retail(
 ) -> DataFrame:
     """Store staged tables and the retail marts under ``out``: dimensions anew, the order fact incrementally, customer
     history with a snapshot at ``now``. Returns the report of all declared checks."""
-    data = stage_all(RETAIL_STAGING, raw, out)
-    data["int_orders_enriched"] = retail.int_orders_enriched(data["stg_orders"], data["stg_products"])
-    data["dim_customers"] = write_table(
-        retail.dim_customers(data["stg_customers"], as_of), f"{out}/dim_customers"
+    marts = stage_all(RETAIL_STAGING, raw, Marts(out, checks.RETAIL))
+    marts.data["int_orders_enriched"] = retail.int_orders_enriched(marts["stg_orders"], marts["stg_products"])
+    marts.store("dim_customers", retail.dim_customers(marts["stg_customers"], as_of))
+    marts.store("dim_products", retail.dim_products(marts["stg_products"]))
+    marts.data["fct_orders"] = retail.load_fct_orders(
+        marts["int_orders_enriched"], marts["dim_customers"], f"{out}/fct_orders", loaded_at=now, **load_options
     )
-    data["dim_products"] = write_table(retail.dim_products(data["stg_products"]), f"{out}/dim_products")
-    data["fct_orders"] = retail.load_fct_orders(
-        data["int_orders_enriched"], data["dim_customers"], f"{out}/fct_orders", loaded_at=now, **load_options
-    )
-    retail.snapshot_customers(data["stg_customers"], f"{out}/customer_history", now)
-    return check_all(data, checks.RETAIL, f"{out}/test_failures" if store_failures else None)
+    retail.snapshot_customers(marts["stg_customers"], f"{out}/customer_history", now)
+    return marts.report(f"{out}/test_failures" if store_failures else None)
 
 
 def check_all(
-    data: Mapping[str, DataFrame], suites: Mapping[str, list[quality.Check]], failures: str | None = None
+    data: Mapping[str, DataFrame],
+    suites: Suites,
+    failures: str | None = None,
+    counted: Mapping[str, dict[str, int]] | None = None,
 ) -> DataFrame:
-    """One report over all suites, with a ``dataset`` column. Failing rows go under ``failures``, and the report is then
-    counted from them, so that no table is looked at a second time."""
+    """One report over all suites, with a ``dataset`` column. Failing rows go under ``failures``.
+
+    Of datasets in ``counted`` the row-level failures are known from their write: keys are compared in one scan of their
+    columns, and rows are read only for checks that fail. Of others the report is counted from the failing rows, so that no table
+    is looked at a second time.
+    """
     report = None
     for dataset, suite in suites.items():
-        if failures is None:
-            part = quality.run_checks(data[dataset], suite, data)
-        else:
-            at = f"{failures}/{dataset}"
-            quality.store_failures(data[dataset], suite, at, data)
-            part = quality.stored_report(data[dataset].sparkSession, suite, at)
+        rows, at, known = data[dataset], f"{failures}/{dataset}", (counted or {}).get(dataset)
+        part = quality.run_checks(rows, suite, data) if known is None else quality.report_written(rows, suite, known, data)
+        if failures is not None and known is not None:
+            found = part.collect()  # a row per check
+            quality.store_failures(rows, suite, at, data, [r["check"] for r in found if r["passed"]])
+            part = rows.sparkSession.createDataFrame(found, part.schema)
+        elif failures is not None:
+            quality.store_failures(rows, suite, at, data)
+            part = quality.stored_report(rows.sparkSession, suite, at)
         part = part.select(F.lit(dataset).alias("dataset"), "*")
         report = part if report is None else report.unionByName(part)
     return report

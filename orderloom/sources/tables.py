@@ -19,6 +19,7 @@ from orderloom.operators.changes import UNCHANGED
 from orderloom.operators.dedupe import dedupe_first
 from orderloom.operators.history import VALIDITY, scd2_changes, scd2_start
 from orderloom.operators.incremental import assert_schema
+from orderloom.operators.quality import RowCounts
 from orderloom.operators.upsert import match_keys, upsert
 from orderloom.sources.folders import Folder
 from orderloom.sources.index import ABOUT, INDEX, KeyIndex, existing, load_numbers
@@ -71,12 +72,17 @@ def write_table(
     path: str,
     partition_by: Sequence[str] = (),
     layout: Layout | None = None,
+    counts: RowCounts | None = None,
 ) -> DataFrame:
-    """Rebuild a table from ``df``, which may read the table itself: the old version stays as it is."""
+    """Rebuild a table from ``df``, which may read the table itself: the old version stays as it is.
+
+    ``counts`` takes the failures of its checks from the rows as they are written.
+    """
     spark = df.sparkSession
     versions = [v for v in Folder(spark, path).folders() if v.startswith("v_")]
     number = int(versions[-1][2:]) + 1 if versions else 1
     rows = (layout or (balanced(*partition_by) if partition_by else lambda d: d))(df)
+    rows = rows if counts is None else counts.watch(rows)
     target = f"{path.rstrip('/')}/v_{number:06d}"
     Folder(spark, target).write_json(SCHEMA, df.schema.jsonValue())
     rows.write.mode("append").partitionBy(*partition_by).parquet(target)

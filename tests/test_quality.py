@@ -5,9 +5,11 @@ import pytest
 from comparing import tuples
 
 from orderloom.operators.quality import (
-    accepted, between, failing, matches, not_null, read_failures, relationships, run_checks, store_failures, stored_report, unique,
+    RowCounts, accepted, between, failing, matches, not_null, read_failures, relationships, report_written, run_checks, store_failures,
+    stored_report, unique,
 )
-from orderloom.plans import checks
+from orderloom.plans import build, checks
+from orderloom.sources.tables import range_sort, write_table
 
 SCHEMA = "id string, ref string, status string, amount decimal(10,2), d date"
 
@@ -62,6 +64,51 @@ def test_row_checks_share_one_scan(rows, spark, folder):
     assert plan._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
 
 
+@pytest.mark.parametrize("layout", [None, range_sort("amount")])
+def test_rows_are_counted_as_they_are_written(rows, frame, folder, layout):
+    counts = RowCounts(SUITE)
+    stored = write_table(rows, folder, layout=layout, counts=counts)
+    parents = {"parent": frame("k string", ("p",), (None,))}
+    assert tuples(report_written(stored, SUITE, counts.failures(), parents)) == tuples(run_checks(rows, SUITE, parents))
+
+
+def test_counts_of_an_empty_table_and_of_no_checks(rows, folder):
+    counts = RowCounts(SUITE)
+    write_table(rows.filter("amount > 100"), f"{folder}/a", counts=counts)
+    assert set(counts.failures().values()) == {0} and len(counts.failures()) == 7
+    counts = RowCounts([])
+    write_table(rows, f"{folder}/b", counts=counts)
+    assert counts.failures() == {}
+
+
+def test_report_of_a_written_table_reads_keys_only(rows, frame, folder):
+    """Nothing for row-level checks, and one scan of two columns for all others."""
+    plan_of = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    by_row, counts = [c for c in SUITE if c.kind not in ("unique", "relationships")], RowCounts(SUITE)
+    stored = write_table(rows, folder, counts=counts)
+    assert "FileScan" not in plan_of(report_written(stored, by_row, counts.failures()))
+    plan = plan_of(report_written(stored, SUITE, counts.failures(), {"parent": frame("k string", ("p",))}))
+    assert plan.count("FileScan") == 1 and "ReadSchema: struct<id:string,ref:string>" in plan
+
+
+def test_failing_rows_are_stored_for_failing_checks_only(rows, frame, spark, folder):
+    suite = [unique("id"), not_null("amount"), accepted("status", ["OK"]), relationships("ref", "parent", "k")]
+    data = {"parent": frame("k string", ("p",), ("q",))}
+
+    def run(df):
+        counts = RowCounts(suite)
+        data["t"] = write_table(df, f"{folder}/t", counts=counts)
+        return build.check_all(data, {"t": suite}, f"{folder}/bad", {"t": counts.failures()}).drop("dataset")
+
+    assert tuples(run(rows)) == tuples(run_checks(rows, suite, data))
+    for check in suite:
+        assert tuples(read_failures(spark, check, f"{folder}/bad/t")) == tuples(failing(rows, check, data))
+    good = rows.filter("id = 'Y_2'")
+    assert {r.passed for r in run(good).collect()} == {True}
+    for check in suite:  # what the first run had stored is gone
+        assert read_failures(spark, check, f"{folder}/bad/t").count() == 0
+
+
 def test_failures_are_stored_and_read_back(rows, frame, spark, folder):
     parents = {"parent": frame("k string", ("p",))}
     suite = [unique("id"), not_null("id"), accepted("status", ["OK"]), relationships("ref", "parent", "k")]
