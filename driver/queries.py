@@ -27,6 +27,7 @@ from orderloom.plans import build, checks, o2c, receivables, retail
 from orderloom.session import apply_scale_defaults, work_dir
 from orderloom.sources import schemas
 from orderloom.sources.readers import read_malformed, read_raw
+from orderloom.sources.snapshots import put_snapshot, read_versions
 from orderloom.sources.tables import range_sort, read_changes, read_history, read_table, upsert_table, write_table
 from orderloom.streaming.upserts import stream_upsert
 
@@ -487,6 +488,45 @@ def _snapshot(spark, d):
     return read_history(spark, path)
 
 
+LATE_RUN = dt.datetime(1999, 9, 1)
+
+
+def _late_sql() -> str:
+    """Versions of what was seen in three snapshots, by what a key was before and after; no notion of runs."""
+    number = "CAST(substr(customer_id, 3) AS BIGINT)"
+    seen = f"""
+        SELECT TIMESTAMP '{FIRST_RUN}' AS seen_at, customer_id, CASE WHEN {number} % 3 = 0 THEN 'BRONZE' ELSE tier END AS tier,
+               CASE WHEN {number} % 7 <> 1 THEN country_code END AS country_code, is_marketing_opted_in
+        FROM retail_stg_customers WHERE {number} % 10 <> 9
+        UNION ALL SELECT TIMESTAMP '{LATE_RUN}', customer_id, CASE WHEN {number} % 5 = 0 THEN 'GOLD' ELSE tier END,
+               country_code, is_marketing_opted_in FROM retail_stg_customers WHERE {number} % 4 <> 1
+        UNION ALL SELECT TIMESTAMP '{SECOND_RUN}', customer_id, tier, country_code, is_marketing_opted_in
+        FROM retail_stg_customers WHERE {number} % 10 <> 4"""
+    return f"""
+        SELECT * FROM (WITH seen AS ({seen}), beside AS (
+            SELECT *, lag((tier, country_code, is_marketing_opted_in)) OVER (PARTITION BY customer_id ORDER BY seen_at) AS old,
+                   row_number() OVER (PARTITION BY customer_id ORDER BY seen_at) AS place FROM seen),
+        starts AS (SELECT * FROM beside WHERE place = 1 OR old IS DISTINCT FROM (tier, country_code, is_marketing_opted_in))
+        SELECT customer_id, tier, country_code, is_marketing_opted_in, CAST(seen_at AS VARCHAR) AS valid_from,
+               CAST(lead(seen_at) OVER (PARTITION BY customer_id ORDER BY seen_at) AS VARCHAR) AS valid_to,
+               sha256(length(customer_id) || ':' || customer_id || '|' || CAST(epoch_us(seen_at) AS VARCHAR)) AS version_id
+        FROM starts) AS versions"""
+
+
+@register("snapshot_late", oracle.with_models(_late_sql()))
+def _snapshot_late(spark, d):
+    """Three snapshots, the middle one last, and one of them twice."""
+    before, after = _customer_runs(spark, d)
+    now = Retail(spark, d).stg_customers.select(*_VERSIONED)
+    number = F.substring("customer_id", 3, 18).cast("bigint")
+    golden = F.when(number % 5 == 0, F.lit("GOLD")).otherwise(F.col("tier"))
+    late = now.filter(number % 4 != 1).withColumn("tier", golden)
+    path = scratch(spark, "customer_sightings")
+    for rows, at in ((after, SECOND_RUN), (before, FIRST_RUN), (late, LATE_RUN), (after, SECOND_RUN)):
+        put_snapshot(rows, path, ["customer_id"], at)
+    return read_versions(spark, path, ["customer_id"], retail.HISTORY_CHECK)
+
+
 _AS_OF = oracle.with_models(f"""
     SELECT f.order_id, f.product_id, CAST(f.order_date AS VARCHAR) AS order_date, f.customer_id,
            CAST(f.quantity AS BIGINT) AS quantity, v.tier AS tier, v.country_code

@@ -12,6 +12,7 @@ from orderloom.operators.history import scd2_apply
 from orderloom.operators import lookup
 from orderloom.operators.lookup import as_of_join, left_lookup
 from orderloom.operators.quality import relationships, run_checks, unique
+from orderloom.sources.snapshots import known_moments, put_snapshot, read_versions
 from orderloom.sources.tables import read_history, read_table, snapshot_table, upsert_table
 
 SEEDS = [1, 2, 3]
@@ -88,6 +89,26 @@ def test_history_and_point_in_time(spark, frame, folder, seed):
         assert tuples(got.select("i", "tier")) == expected
 
 
+@pytest.mark.parametrize("seed", SEEDS)
+def test_snapshots_in_any_order(spark, frame, folder, seed):
+    """Late ones, repeats, a correction, an empty one: the history is that of all snapshots in order of time."""
+    r = random.Random(seed)
+    state = lambda: [(f"k{k}", r.choice(["A", "A", "B", None]), r.choice(["x", "y"])) for k in r.sample(range(6), r.randrange(6))]
+    runs = {dt.datetime(2024, 1, 1) + dt.timedelta(days=17 * step): state() for step in range(6)}
+    schema, stored = "k string, tier string, note string", {}
+    arrivals = [*r.sample(sorted(runs), len(runs)), r.choice(sorted(runs))]
+    wrong = r.choice(arrivals[:3])
+    put_snapshot(frame(schema, *state()), folder, ["k"], wrong)
+    for at in arrivals:
+        put_snapshot(frame(schema, *runs[at]), folder, ["k"], at)
+        stored[at] = runs[at]
+        if set(stored) >= {wrong}:
+            by_hand = history_by_hand(sorted(stored.items()))
+            got = read_versions(spark, folder, ["k"], ["tier"]).drop("version_id")
+            assert tuples(got) == sorted(by_hand, key=lambda row: tuple((v is not None, str(v)) for v in row))
+    assert len(known_moments(spark, folder)) == len(runs)
+
+
 @pytest.mark.parametrize("seed", SEEDS)
 def test_lookups_and_key_checks(frame, seed):
     r = random.Random(seed)

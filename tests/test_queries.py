@@ -64,7 +64,7 @@ def test_datasets_have_the_declared_schema(spark, family, declared):
 
 STORED = {"upsert_table", "fct_orders_incremental", "snapshot_customers", "stored_failures", "csv_round_trip",
           "table_by_invoice_date", "stream_upsert", "build_o2c", "build_retail", "upsert_unpartitioned", "upsert_replayed",
-          "table_by_postal_code", "csv_malformed", "change_feed"}
+          "table_by_postal_code", "csv_malformed", "change_feed", "snapshot_late"}
 
 
 #: Their windows are over parts of a key.
