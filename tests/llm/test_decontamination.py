@@ -1,3 +1,4 @@
+import pickle
 import random
 import re
 
@@ -64,3 +65,33 @@ def test_edges(spark, edges, nothing):
     assert kept.columns == edges.columns and {r.hits for r in kept.collect()} == {"own"}
     assert d.mark(nothing, items).collect() == []
     assert all(r.hits == [] for r in d.mark(edges, items.where("false")).collect())
+
+
+def test_several_blocks_give_what_one_gives(spark, edges, nothing):
+    items = spark.createDataFrame(
+        [(1, "lorem ipsum"), (None, "one"), (2, " ".join(f"w{i}" for i in range(80))), (2, "sit amet lorem"), (3, "two")],
+        "item_id long, text string",
+    )
+    key = lambda r: (str(r.doc_id), str(r.text))
+    for docs in (edges, nothing, edges.withColumn("_digest", d.F.lit("own"))):
+        one, many = (d.mark(docs, items, block_bytes=b) for b in (1 << 20, 40))
+        assert many.columns == one.columns
+        assert sorted(many.collect(), key=key) == sorted(one.collect(), key=key)
+
+
+def test_windows_with_equal_hashes_and_other_words_are_told_apart(monkeypatch):
+    monkeypatch.setattr(d.Words, "ranges", lambda self, start, stop: (start * 0).astype("uint64"))
+    windows = d.Windows([("1", b"a b"), ("2", b"c d"), ("3", b"a b"), ("4", b"c"), ("2", b"c d")], 10)
+    words = d.Words([b"a b c d a c"], d.ALNUM, d.LOWER)
+    assert sorted(windows.find(words)) == [
+        (0, 2, ["1", "3"]), (2, 1, ["4"]), (2, 2, ["2"]), (5, 1, ["4"]),
+    ]
+
+
+def test_a_set_takes_a_few_bytes_for_each_byte_of_text():
+    rnd = random.Random(3)
+    sizes = []
+    for items in (1000, 2000):
+        texts = [(str(i), " ".join(f"{rnd.randrange(10**6):x}" for _ in range(100)).encode()) for i in range(items)]
+        sizes.append(len(pickle.dumps(d.Windows(texts, 10))) / sum(len(t) for _, t in texts))
+    assert max(sizes) < 8
