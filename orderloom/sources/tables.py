@@ -60,6 +60,12 @@ def balanced(*columns: str) -> Layout:
     return lambda df: df.hint("rebalance", *columns)
 
 
+def balanced_sorted(partition_by: Sequence[str], *columns: str) -> Layout:
+    """The same, and files sorted by ``columns``, of which scans then read the pages they look for."""
+    spread = balanced(*partition_by) if partition_by else lambda df: df
+    return lambda df: spread(df).sortWithinPartitions(*partition_by, *columns)
+
+
 # --- full rebuild ---------------------------------------------------------------------------------
 def current_version(spark: SparkSession, path: str) -> str | None:
     table = Folder(spark, path)
@@ -150,6 +156,7 @@ def replace_partitions(
     touched: Sequence[str] = (),
     entries: DataFrame | None = None,
     load: int = 0,
+    layout: Layout | None = None,
 ) -> None:
     """Put ``rows`` in place of the partitions they belong to; ``touched`` partition folders that
     get no rows are removed. ``entries`` become the index's folder of ``load`` in the same swap.
@@ -162,7 +169,7 @@ def replace_partitions(
     table, staged = Folder(spark, version), Folder(spark, f"{version}/{STAGED}")
     finish_replacing(spark, version)
     staged.delete()
-    balanced(*partition_by)(rows).write.partitionBy(*partition_by).parquet(staged.path)
+    (layout or balanced(*partition_by))(rows).write.partitionBy(*partition_by).parquet(staged.path)
     beside = []
     if entries is not None:
         beside.append(f"{INDEX}/load={load}")

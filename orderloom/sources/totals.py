@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from orderloom.sources.folders import Folder
 from orderloom.sources.tables import (
+    balanced_sorted,
     current_version,
     drop_old_versions,
     finish_replacing,
@@ -34,6 +35,7 @@ class Totals:
 
     ``by`` names the groups; ``sums``, ``least`` and ``greatest`` what is summed up and of what the smallest and the largest
     value is kept. Nulls count for nothing, and a group of nothing but nulls has null. Only rows with ``where`` are looked at.
+    Files are sorted by the groups ``sorted_by``, for readers of some groups.
     """
 
     path: str
@@ -43,6 +45,7 @@ class Totals:
     least: Mapping[str, Column] = field(default_factory=dict)
     greatest: Mapping[str, Column] = field(default_factory=dict)
     where: Column | None = None
+    sorted_by: Sequence[str] = ()
 
     def __post_init__(self):
         names = [c.lower() for part in (self.partition_by, self.by, self.sums, self.least, self.greatest) for c in part]
@@ -65,8 +68,9 @@ class Totals:
         now, about = self._leaves(stored), {"source": source, "definition": self._definition()}
         kept = current_version(spark, self.path)
         seen = self._seen(spark, kept, about)
+        layout = balanced_sorted(self.partition_by, *self.sorted_by) if self.sorted_by else None
         if seen is None:
-            write_table(self._added_up(stored), self.path, self.partition_by)
+            write_table(self._added_up(stored), self.path, self.partition_by, layout)
             changed = sorted(now)
         else:
             finish_replacing(spark, kept)
@@ -78,20 +82,20 @@ class Totals:
             rows = spark.read.schema(stored.schema).option("basePath", source).parquet(*paths) if paths else stored.filter("false")
             Folder(spark, kept).delete(ABOUT)  # a refresh lost from here on is made up for by a whole one
             if self.partition_by:
-                replace_partitions(self._added_up(rows), kept, self.partition_by, [*changed, *gone])
+                replace_partitions(self._added_up(rows), kept, self.partition_by, [*changed, *gone], layout=layout)
             else:
-                write_table(self._added_up(rows), self.path)
+                write_table(self._added_up(rows), self.path, layout=layout)
         drop_old_versions(spark, self.path)
         kept = current_version(spark, self.path)
         Folder(spark, kept).write_json(ABOUT, about | {"seen": now})
         return changed
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """The totals of each group, as of the last refresh."""
-        return read_table(spark, self.path).groupBy(*self.by).agg(*self._merged({n: F.col(f"`{n}`") for n in self._names()}))
-
-    def _names(self) -> list[str]:
-        return [*self.sums, *self.least, *self.greatest]
+    def read(self, spark: SparkSession, groups: Column | None = None) -> DataFrame:
+        """The totals of each group, or of those ``groups`` is true for, as of the last refresh."""
+        kept = read_table(spark, self.path)
+        kept = kept if groups is None else kept.filter(groups)
+        names = [*self.sums, *self.least, *self.greatest]
+        return kept.groupBy(*[F.col(f"`{n}`") for n in self.by]).agg(*self._merged({n: F.col(f"`{n}`") for n in names}))
 
     def _merged(self, values: Mapping[str, Column]) -> list[Column]:
         kinds = ((F.sum, self.sums), (F.min, self.least), (F.max, self.greatest))
