@@ -304,21 +304,27 @@ def _bands(sets: list[np.ndarray], bands: int = BANDS, rows: int = ROWS) -> np.n
     return out
 
 
-def _sketches(raw: list[bytes], shingle: int, parts: int) -> tuple[list[bytes], list[int], list[bytes], list]:
-    """For each text a name and the size of its set of runs of words, a sketch of 64 * parts bits of that set, and its bands (none
-    without words)."""
+PAIR = 2  # words of the runs that fingerprints of near duplicates are made of
+
+
+def _sketches(raw: list[bytes], shingle: int, parts: int) -> tuple[list[bytes], list[int], list[int], list[bytes], list]:
+    """For each text a name and the size of its set of runs of words, a SimHash fingerprint of its distinct word pairs, a sketch of
+    64 * parts bits of the set of runs, and its bands (none without words)."""
     salts = np.array([(0x9E3779B97F4A7C15 * (k + 1)) % 2**64 for k in range(parts)], dtype=np.uint64)
-    sets = _run_sets(Words(raw, SPACED, LOWER), len(raw), shingle)
+    words = Words(raw, SPACED, LOWER)
+    sets = _run_sets(words, len(raw), shingle)
     names = [xxhash.xxh3_128_digest(h.tobytes()) for h in sets]
+    prints = [_signed(majority(h)) for h in _run_sets(words, len(raw), min(PAIR, shingle))]
     sketches = [b"".join(majority(mix(h ^ s)).to_bytes(8, "little") for s in salts) for h in sets]
-    return names, list(map(len, sets)), sketches, [k.tolist() if len(h) else [] for h, k in zip(sets, _bands(sets).view(np.int64), strict=True)]
+    return names, list(map(len, sets)), prints, sketches, [k.tolist() if len(h) else [] for h, k in zip(sets, _bands(sets).view(np.int64), strict=True)]
 
 
 def sketched(docs: DataFrame, shingle: int = 5, parts: int = 4, text: str = "text") -> DataFrame:
-    """``docs`` without the text, with ``runs`` (a name of the set of distinct runs of ``shingle`` words), ``n_runs``, ``sketch`` (SimHash
-    of 64 * parts bits of that set, each run counted once) and ``bands`` (hashes of minima of that set)."""
+    """``docs`` without the text, with ``runs`` (a name of the set of distinct runs of ``shingle`` words), ``n_runs``, ``fingerprint`` (SimHash of
+    the distinct word pairs, which that set determines), ``sketch`` (SimHash of 64 * parts bits of that set, each run counted once) and
+    ``bands`` (hashes of minima of that set)."""
     ready(docs)
-    made = [("runs", T.BinaryType()), ("n_runs", T.LongType()), ("sketch", T.BinaryType()), ("bands", T.ArrayType(T.LongType()))]
+    made = [("runs", T.BinaryType()), ("n_runs", T.LongType()), ("fingerprint", T.LongType()), ("sketch", T.BinaryType()), ("bands", T.ArrayType(T.LongType()))]
     own = [f for f in docs.schema.fields if f.name not in dict(made) and f.name != text]
     schema = T.StructType([*own, *(T.StructField(*m) for m in made)])
     arrow = to_arrow_schema(schema)
@@ -484,20 +490,24 @@ def _cells(batches, cell, shingle):
 
 
 def near_duplicates(
-    docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text: str = "text"
+    docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text: str = "text", radius: int = 3
 ) -> DataFrame:
     """``id_col`` and ``group_id`` (the smallest id of the group) of every document with an id.
 
     Documents are linked if the Jaccard similarity of their sets of distinct runs of ``shingle`` words, compared exactly, is
-    ``similarity`` or more. Candidates share one of 20 bands of five minima each (at 0.8 all but one pair in 2,700 does) and have
-    SimHash sketches that do not rule the similarity out; what they connect is a cell, and the exact comparison takes place within
-    cells. Equal sets of runs are one node. Null and empty texts have no words and form one group; null ids are left out; repeated ids share a row.
+    ``similarity`` or more. Candidates are all pairs whose SimHash fingerprints of distinct word pairs differ in ``radius`` bits or fewer,
+    found by the covering tables; less alike texts, whose fingerprints lie farther apart, are candidates too if they share one of 20
+    bands of five minima each (at 0.8 all but one pair in 2,700 does). Either way their SimHash sketches must not rule the similarity
+    out. What candidates connect is a cell, and the exact comparison takes place within cells. Equal sets of runs are one node. Null and empty texts have no words and form one group; null ids are left out; repeated ids share a row.
     """
     slim = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     prints = stored(sketched(slim, shingle), "sketches")
-    nodes = prints.groupBy("runs").agg(F.min("id").alias("node"), F.first("n_runs").alias("n_runs"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
+    nodes = prints.groupBy("runs").agg(F.min("id").alias("node"), *[F.first(c).alias(c) for c in ("n_runs", "fingerprint", "sketch", "bands")])
     nodes = stored(nodes, "nodes")
-    near = band_links(nodes.select(F.col("node").alias("id"), "sketch", "bands"), sketch_bits(similarity))
+    far, named = sketch_bits(similarity), nodes.withColumnRenamed("node", "id")
+    # texts without words have neither runs nor bands, and no partner but each other
+    near = links(named.where("n_runs > 0").select("id", "fingerprint", "sketch"), radius, max_sketch_bits=far)
+    near = near.unionByName(band_links(named.select("id", "sketch", "bands"), far))
     sizes = nodes.groupBy(F.col("node").alias("id")).agg(F.sum("n_runs").alias("n_runs"))
     pairs = exact_links(slim, components(near).join(sizes, "id"), similarity, shingle)
     comp = components(pairs).withColumnRenamed("id", "node")

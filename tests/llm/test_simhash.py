@@ -184,3 +184,14 @@ def test_edges(edges, nothing):
     ids = [r.doc_id for r in kept.collect()]
     assert ids.count(None) == 2 and ids.count(1) == 1 and 2 not in ids and 5 not in ids
     assert s.groups(nothing).collect() == [] and s.keep_one(nothing).collect() == []
+
+
+def test_fingerprints_within_the_radius_are_candidates_without_any_band(spark, monkeypatch):
+    base = [[f"n{k}x{i}" for i in range(1500)] for k in range(6)]
+    docs = [(10 * k + copy, " ".join(w[: 1500 - 2 * copy])) for k, w in enumerate(base) for copy in (0, 1)]
+    df = spark.createDataFrame([*docs, (900, ""), (901, None)], "doc_id long, text string")
+    monkeypatch.setattr(s, "band_links", lambda nodes, *_: nodes.sparkSession.createDataFrame([], "a long, b long"))
+    found = {r.doc_id: r.group_id for r in s.near_duplicates(df).collect()}
+    assert found == {i: i - i % 10 for i, _ in docs} | {900: 900, 901: 900}
+    alone = s.near_duplicates(spark.createDataFrame([(1, "a b c d e f"), (2, "t u v w x y")], "doc_id long, text string"))
+    assert {r.doc_id: r.group_id for r in alone.collect()} == {1: 1, 2: 2}
