@@ -818,7 +818,8 @@ def _stream(spark, d):
     landing, target, progress = (scratch(spark, name) for name in ("landing", "streamed_orders", "stream_checkpoint"))
     raw = O2C(spark, d).raw("raw_sales_orders")
     moved = raw.filter("cast(substr(order_id, 4) as bigint) % 7 = 0").withColumn("order_date", F.lit("2002-01-15"))
-    for rows, files in ((raw, 1), (moved, 3)):
+    splits = raw.rdd.getNumPartitions()  # as many times more files, and files a batch, as the input has splits: no task writes more than a share
+    for rows, files in ((raw, splits), (moved, 3 * splits)):
         rows.repartition(files, "order_id").write.mode("append").parquet(landing)
         query = stream_upsert(
             spark,
@@ -832,7 +833,7 @@ def _stream(spark, d):
                 "order_month", F.date_format("order_date", "yyyy-MM")
             ),
             order_by=[F.col(c) for c in schemas.O2C["stg_sales_orders"]],
-            max_files_per_trigger=2,
+            max_files_per_trigger=2 * splits,
         )
         query.awaitTermination()
     return read_table(spark, target).drop("order_month")
