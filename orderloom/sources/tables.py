@@ -247,23 +247,26 @@ def _upsert_indexed(
     fresh: DataFrame, version: str, keys: Sequence[str], partition_by: Sequence[str], ignore: Sequence[str]
 ) -> None:
     """The upsert by the index of keys."""
-    spark, scratch, seen = fresh.sparkSession, f"{version}/_batch", Observation()
+    spark, scratch, changes, seen = fresh.sparkSession, f"{version}/_batch", f"{version}/_changes", Observation()
     index = KeyIndex.of(
         spark, version, fresh.columns, keys, partition_by, ignore, lambda: _read_version(spark, version, fresh.schema)
     )
-    # Read several times below: written once, so that a load time or a source that moves on cannot
-    # make the reads differ.
+    # Read twice below: written once, so that a load time or a source that moves on cannot make the reads differ.
     marked = index.marked(fresh)
     marked.observe(seen, F.collect_set("_bucket").alias("buckets")).write.mode("overwrite").parquet(scratch)
     marked = spark.read.schema(marked.schema).parquet(scratch)
     judged = index.judged(marked, sorted(seen.get["buckets"])).filter(F.col("change") != UNCHANGED)
+    # read three times below: what is written is searched for in the index once
+    judged.write.mode("overwrite").parquet(changes)
+    judged = spark.read.schema(judged.schema).parquet(changes)
     # one row per touched partition
     places = judged.select(F.explode(F.array_append("_old", F.col("_place"))).alias("place")).distinct().collect()
     if places:
         leaves = ["/".join(map(partition_folder, partition_by, p["place"])) for p in places]
         merged = _merged(judged.select(*fresh.columns), version, keys, leaves)
         replace_partitions(merged, version, partition_by, leaves, index.entries(judged), index.next_load())
-    Folder(spark, scratch).delete()
+    for folder in (changes, scratch):
+        Folder(spark, folder).delete()
 
 
 def _upsert_searched(

@@ -183,3 +183,24 @@ def test_detected_changes(frame):
     }
     assert len(found) == 6
     assert detect_changes(before, after, ["k"]).where("change = 'unchanged'").count() == 0
+
+
+def test_a_load_looks_its_keys_up_once(spark, frame, folder, monkeypatch):
+    rows, real = spark.sparkContext.accumulator(0), indexes.KeyIndex.judged
+
+    def counted(self, marked, buckets):
+        judged = real(self, marked, buckets)
+
+        def run(batches):
+            for batch in batches:
+                rows.add(batch.num_rows)
+                yield batch
+
+        return judged.mapInArrow(run, judged.schema)
+
+    upsert_table(frame(SCHEMA, *[(k, D(2024, 1, 1), 0) for k in "abcd"]), folder, ["id"], ["d"])
+    monkeypatch.setattr(indexes.KeyIndex, "judged", counted)
+    got = upsert_table(frame(SCHEMA, ("a", D(2024, 1, 2), 1), ("e", D(2024, 1, 1), 1)), folder, ["id"], ["d"])
+    assert rows.value == 2
+    assert [r[0] for r in tuples(got.select("id"))] == list("abcde")
+    assert not [n for n in os.listdir(current_version(spark, folder)) if n in ("_batch", "_changes", "_staged")]
