@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from driver import queries
 from driver.datasets import O2C
+from orderloom.plans import receivables
 
 
 @pytest.fixture
@@ -35,3 +36,16 @@ def test_raw_orders_arrive_in_as_many_shares_as_the_input_has_splits(spark, tabl
     (landing,) = set(glob.glob(f"{queries.work_dir(spark)}/landing-*")) - before
     splits = O2C(spark, tables).raw("raw_sales_orders").rdd.getNumPartitions()
     assert splits > 1 and len(glob.glob(f"{landing}/part-*")) > 4  # one file and three before
+
+
+def test_kept_receivables_compare_payments_once(spark, tables, monkeypatch):
+    real, plans = receivables.changed_balances, []
+
+    def seen(invoices, payments, changed):
+        plans.extend(df._jdf.queryExecution().optimizedPlan().toString() for df in (payments, changed))
+        return real(invoices, payments, changed)
+
+    monkeypatch.setattr(receivables, "changed_balances", seen)
+    kept = {tuple(r) for r in queries.QUERIES["dso_kept"](spark, tables).collect()}
+    assert len(plans) == 2 and not any("Window" in plan for plan in plans)
+    assert kept == {tuple(r) for r in queries.QUERIES["dso_customer"](spark, tables).collect()} and len(kept) == 9
