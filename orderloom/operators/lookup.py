@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,6 +68,30 @@ def left_lookup(
     return _isolated_lookup(left, side, on, isolate_share, broadcast_bytes, salts)
 
 
+def lookups_in_place(left: DataFrame, sides: Mapping[str, DataFrame], within: str) -> DataFrame:
+    """``left_lookup`` of several sides, each under its key, for wide rows that an earlier join has brought together by ``within``:
+    the rows stay where they are.
+
+    What moves are the distinct pairs of ``within`` and a key, to the side by its key and back with what is found by ``within``.
+    Spark leaves joins that only add columns out of the pairs. It pays where the columns of a side are narrow beside the rows
+    and the side is too large to broadcast; otherwise it moves pairs that ``left_lookup`` would not. Rows without ``within`` are
+    looked up plainly.
+    """
+    columns = left.columns
+    known = left.filter(F.col(within).isNotNull())
+    rows, plain = known, left.filter(F.col(within).isNull())
+    for on, side in sides.items():
+        others = [c for c in side.columns if c != on]
+        # all rows of a key as one: a pair stays one row, and a key held more than once multiplies rows at the end, as in any join
+        found = side.filter(F.col(on).isNotNull()).groupBy(on).agg(F.collect_list(F.struct(*others)).alias("_found"))
+        answers = known.select(within, on).distinct().join(found, on, "left").repartition(within)
+        rows = rows.join(answers, [within, on], "left").select(*columns, F.explode_outer("_found").alias("_row"))
+        rows = rows.select(*columns, *[F.col(f"_row.{c}").alias(c) for c in others])
+        plain = left_lookup(plain, side, on)
+        columns = rows.columns
+    return rows.unionByName(plain)
+
+
 def frequent_keys(df: DataFrame, key: str, share: float) -> list:
     """Every key with at least ``share`` of the rows, and maybe some rarer ones.
 

@@ -8,13 +8,15 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # A left join on a hot key is split at run time (skewJoin); forcing the split matters for chains of
-# joins on one key, where Spark would otherwise keep the skewed partition to save a shuffle.
+# joins on one key, where Spark would otherwise keep the skewed partition to save a shuffle. Rows that lie together by one key
+# of a join stay there (``lookups_in_place``), instead of being moved because the join has a second key.
 SCALE_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
 }
 

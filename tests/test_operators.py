@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from comparing import tuples
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from orderloom.operators.dedupe import dedupe_first
 from orderloom.operators.history import scd2_apply
 from orderloom.operators.incremental import SchemaChangedError, assert_schema, incremental_filter
-from orderloom.operators.lookup import NotUniqueError, as_of_join, frequent_keys, left_lookup, orphans
+from orderloom.operators.lookup import NotUniqueError, as_of_join, frequent_keys, left_lookup, lookups_in_place, orphans
 from orderloom.operators.rollup import first_orders, order_rollup, payment_totals
 from orderloom.operators.upsert import upsert
 
@@ -182,3 +183,30 @@ def test_uniqueness_guarded_in_the_plan(spark, frame):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert plan.count("Exchange hashpartitioning") == 2 and "raise_error" in plan
+
+
+def test_wide_rows_stay_where_they_are(spark, frame):
+    """Two further lookups of rows that a join has brought together by order: only keys move. Null and repeated keys are as in plain lookups."""
+    lines = frame(
+        "line string, o string, p string",
+        *[("a", "1", "x"), ("b", "1", "x"), ("c", "1", "y"), ("d", "2", None), ("e", None, "x"), ("f", "9", "z"), ("a", "1", "x"), ("g", "3", "y")],
+    )
+    orders = frame("o string, c string, ship string", ("1", "k", "s1"), ("2", "m", "s2"), ("3", None, "s3"), (None, "k", "s4"), ("2", "k", "s5"))
+    products = frame("p string, name string, n int", ("x", "X", 1), ("y", "Y", None), ("y", None, None), (None, "none", 3))
+    customers = frame("c string, city string", ("k", "K"), ("m", "M"), (None, "nowhere"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.getAll.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        left = left_lookup(lines, orders, "o")
+        plain = left_lookup(left_lookup(left, products, "p"), customers, "c")
+        stayed = lookups_in_place(left, {"p": products, "c": customers}, within="o").select(*plain.columns)
+        plan = stayed._jdf.queryExecution().executedPlan().toString()
+        for key in ("p", "c"):  # the first exchange below the join is the one by order
+            below = re.split(rf"SortMergeJoin \[o#\d+, {key}#\d+\]", plan)[1]
+            assert re.search(r"Exchange hashpartitioning\((.*?)\)", below)[1].count("#") == 1
+        assert tuples(stayed) == tuples(plain) and stayed.count() == 11
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
