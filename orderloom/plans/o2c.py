@@ -258,14 +258,14 @@ def int_invoices_enriched(
     exclude_flagged: bool = False,
 ) -> DataFrame:
     """Invoices with order context and what has been paid. Payments are summed up before the join,
-    so an invoice stays one row."""
+    so an invoice stays one row. They come first, while invoices are narrow."""
     order_context = ["order_date", "sales_rep", "channel", "currency", "order_status", "po_number"]
     own = [
         *("invoice_date", "due_date", "invoice_amount", "tax_amount", "total_amount"),
         *("payment_terms", "payment_status", "notes"),
     ]
-    joined = left_lookup(invoices, orders, "order_id", order_context)
-    joined = left_lookup(joined, payment_totals(payments, exclude_flagged=exclude_flagged), "invoice_id")
+    joined = left_lookup(invoices, payment_totals(payments, exclude_flagged=exclude_flagged), "invoice_id")
+    joined = left_lookup(joined, orders, "order_id", order_context)
     paid = parsing.or_zero(F.col("amount_paid"), metrics.MONEY)
     status = F.col("payment_status")
     return joined.select(

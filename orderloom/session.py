@@ -17,6 +17,7 @@ SCALE_DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -1,6 +1,7 @@
 """Small raw inputs with the usual dirt, and what must come out of them."""
 
 import datetime as dt
+import re
 from decimal import Decimal as D
 
 import pytest
@@ -321,3 +322,16 @@ def test_raw_files_are_read_by_header_name(spark, folder):
         out.write("id,zip,extra\nq,1,2\n")
     with pytest.raises(Exception, match="header"):
         read_raw(spark, folder, schema).collect()
+
+
+def test_invoices_meet_their_payments_while_narrow(trade, spark):
+    """The move by invoice carries no order column."""
+    before = {k: spark.conf.getAll.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = o2c.int_invoices_enriched(trade.invoices, trade.orders, trade.payments, AS_OF)._jdf.queryExecution().executedPlan().toString()
+        joins = re.findall(r"SortMergeJoin \[(\w+)#", plan)  # printed top down
+        assert joins[:2] == ["order_id", "invoice_id"]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

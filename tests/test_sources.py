@@ -1,4 +1,5 @@
 import datetime as dt
+import glob
 
 import pytest
 from pyspark.sql.types import StringType, StructField, StructType
@@ -6,7 +7,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from orderloom.plans import build
 from orderloom.session import apply_scale_defaults, work_dir
 from orderloom.sources import readers, schemas
-from orderloom.sources.tables import read_history, read_table
+from orderloom.sources.tables import read_history, read_table, write_table
 
 SHOP = {
     "raw_orders": "id,cust_id,prod_id,order_dt,stat,qty,disc_pct,channel,promo_cd\nO_1001,K1,G1,2024-01-05,comp,2,0.1,web,\nO_1002,K2,G1,2024-01-06,refund,1,,web,\n",
@@ -129,3 +130,10 @@ def test_every_raw_line_is_in_a_staged_or_a_rejected_table(spark, folder):
         assert kept + without_key + len(malformed[source]) == files[source].count("\n") - 1, staged
     # the raw files are read from what was parsed
     assert all("/out/raw/raw_orders/" in name for name in raw["raw_orders"].inputFiles())
+
+
+def test_stored_tables_are_packed_tightly(spark, folder):
+    """What a build writes is much of what it moves: files are compressed with zstd."""
+    write_table(spark.range(10), f"{folder}/t")
+    files = glob.glob(f"{folder}/t/v_000001/*.parquet")
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
