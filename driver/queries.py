@@ -422,10 +422,10 @@ def _fct_incremental(spark, d):
     """First load up to a day, then everything after it; later rows replace earlier ones by id."""
     r = Retail(spark, d)
     path = scratch(spark, "fct_orders")
-    early = r.int_orders_enriched.filter(F.col("order_date") < F.lit(CUT))
-    options = {"period": "month", "loaded_at": LOADED_AT}
+    early = r.stg_orders.filter(F.col("order_date") < F.lit(CUT))
+    options = {"period": "month", "loaded_at": LOADED_AT, "products": r.stg_products}
     retail.load_fct_orders(early, r.dim_customers, path, **options)
-    return retail.load_fct_orders(r.int_orders_enriched, r.dim_customers, path, **options)
+    return retail.load_fct_orders(r.stg_orders, r.dim_customers, path, **options)
 
 
 # --- history -----------------------------------------------------------------------------------------

@@ -128,7 +128,7 @@ def build_retail(
     marts.store("dim_customers", retail.dim_customers(marts["stg_customers"], as_of))
     marts.store("dim_products", retail.dim_products(marts["stg_products"]))
     marts.data["fct_orders"] = retail.load_fct_orders(
-        marts["int_orders_enriched"], marts["dim_customers"], f"{out}/fct_orders", loaded_at=now, **load_options
+        marts["stg_orders"], marts["dim_customers"], f"{out}/fct_orders", loaded_at=now, products=marts["stg_products"], **load_options
     )
     retail.snapshot_customers(marts["stg_customers"], f"{out}/customer_history", now)
     return marts.report(f"{out}/test_failures" if store_failures else None)

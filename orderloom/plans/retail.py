@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions import mapping, metrics, parsing, text
 from orderloom.functions.metrics import AsOf
+from orderloom.operators.dedupe import dedupe_first
 from orderloom.operators.incremental import high_water_mark, newer_than
 from orderloom.operators.lookup import left_lookup
 from orderloom.operators.staging import Staging
@@ -18,6 +20,8 @@ PRICE = "decimal(14,4)"
 SHARE = "decimal(9,6)"
 PERIOD = "order_period"
 PERIOD_FORMATS = {"day": "yyyy-MM-dd", "month": "yyyy-MM", "year": "yyyy"}
+DESCRIBED = ["product_name", "category", "brand"]
+PRODUCT_COLUMNS = ["list_price", "cost_price", *DESCRIBED]
 HISTORY_CHECK = ("tier", "country_code", "is_marketing_opted_in")
 
 
@@ -94,32 +98,45 @@ def stg_products(raw: DataFrame, mode: str = "try") -> DataFrame:
 # --- marts ----------------------------------------------------------------------------------------
 def int_orders_enriched(orders: DataFrame, products: DataFrame) -> DataFrame:
     """Orders priced with the current list price of their product."""
-    priced = left_lookup(
-        orders,
-        products,
-        "product_id",
-        ["list_price", "cost_price", "product_name", "category", "brand"],
-    )
-    discount = parsing.or_zero(F.col("discount_pct"), SHARE)
+    return _enriched(left_lookup(orders, products, "product_id", PRODUCT_COLUMNS))
+
+
+def _enriched(priced: DataFrame, *others: str) -> DataFrame:
+    """Enriched orders from staged ones that have the columns of their product; ``others`` stay as they are."""
+    line = _of_line()
+    discount = line["discount_pct"]
     amounts = metrics.line_amounts(F.col("quantity"), F.col("list_price"), F.col("cost_price"), discount)
     return priced.select(
         "order_id",
         "customer_id",
         "product_id",
         "order_date",
-        mapping.map_values(F.col("status"), mapping.ORDER_STATUS, mapping.ORDER_STATUS_DEFAULT).alias("status"),
+        line["status"].alias("status"),
         "quantity",
         F.col("list_price").alias("unit_price"),
         discount.alias("discount_pct"),
-        mapping.map_values(F.col("channel"), mapping.SALES_CHANNEL, mapping.SALES_CHANNEL_DEFAULT).alias("channel"),
+        line["channel"].alias("channel"),
         "promo_code",
         *[value.alias(name) for name, value in amounts.items()],
-        "product_name",
-        "category",
-        "brand",
+        *DESCRIBED,
+        *others,
     )
 
 
+def _of_line() -> dict[str, Column]:
+    """What an enriched order has of its staged order alone, the order date first, then in column order."""
+    return {
+        "order_date": F.col("order_date"),
+        "customer_id": F.col("customer_id"),
+        "product_id": F.col("product_id"),
+        "status": mapping.map_values(F.col("status"), mapping.ORDER_STATUS, mapping.ORDER_STATUS_DEFAULT),
+        "quantity": F.col("quantity"),
+        "discount_pct": parsing.or_zero(F.col("discount_pct"), SHARE),
+        "channel": mapping.map_values(F.col("channel"), mapping.SALES_CHANNEL, mapping.SALES_CHANNEL_DEFAULT),
+        "promo_code": F.col("promo_code"),
+    }
+
+
 def dim_customers(customers: DataFrame, as_of: AsOf = None) -> DataFrame:
     registered = F.col("registered_date")
     return customers.select(
@@ -148,11 +165,35 @@ def dim_products(products: DataFrame) -> DataFrame:
 
 def fct_orders(enriched: DataFrame, customers: DataFrame, loaded_at: dt.datetime | None = None) -> DataFrame:
     """Orders with the tier of their customer; ``customers`` is the dimension."""
-    tiers = customers.select("customer_id", F.col("tier").alias("customer_tier"))
-    facts = left_lookup(enriched, tiers, "customer_id")
-    described = ["product_name", "category", "brand"]
-    own = [c for c in enriched.columns if c not in described]
-    return with_loaded_at(facts.select(*own, "customer_tier", *described), loaded_at)
+    tiered = left_lookup(enriched, _tiers(customers), "customer_id")
+    return _order_fact(tiered.select(*enriched.columns, "customer_tier"), loaded_at)
+
+
+def _tiers(customers: DataFrame) -> DataFrame:
+    return customers.select("customer_id", F.col("tier").alias("customer_tier"))
+
+
+def _order_fact(tiered: DataFrame, loaded_at: dt.datetime | None, *others: str) -> DataFrame:
+    """The columns of the fact, and ``others``, of enriched orders that have the tier of their customer."""
+    own = [c for c in tiered.columns if c not in ("customer_tier", *DESCRIBED, *others)]
+    return with_loaded_at(tiered.select(*own, "customer_tier", *DESCRIBED, *others), loaded_at)
+
+
+def priced_once(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """Staged orders, one row per order id, with the tier of their customer and the columns of their product: what the stored fact
+    is computed from.
+
+    Of several rows with one id the one stays whose enriched row comes first by order date, then by the remaining columns, the
+    larger value first. What a row has of its product comes after its product id in that order, and all rows of one product id meet
+    the same products. So the first by its own columns is found while rows are narrow, and a second look, where the rows lie by
+    product, is only for products and customers that are there more than once.
+    """
+    first = dedupe_first(orders, ["order_id"], [c.desc() for c in _of_line().values()])
+    tiered = left_lookup(first, _tiers(customers), "customer_id")
+    priced = left_lookup(tiered, products, "product_id", PRODUCT_COLUMNS)
+    amounts = metrics.line_amounts(F.col("quantity"), F.col("list_price"), F.col("cost_price"), _of_line()["discount_pct"])
+    order = [F.col("list_price"), amounts["cost"], amounts["gross_profit"], *map(F.col, DESCRIBED), F.col("customer_tier")]
+    return dedupe_first(priced, ["product_id", "order_id"], [c.desc() for c in order])
 
 
 # --- loads ----------------------------------------------------------------------------------------
@@ -174,6 +215,7 @@ def load_fct_orders(
     lookback_days: int = 0,
     loaded_at: dt.datetime | None = None,
     old_rows_in: Column | str | None = None,
+    products: DataFrame | None = None,
 ) -> DataFrame:
     """Incremental load of the order fact, stored in one partition per ``period`` of order dates:
     days for volumes of gigabytes a day, months or years below that.
@@ -185,14 +227,21 @@ def load_fct_orders(
 
     Of several rows with one order id in a batch the latest order date wins, then the larger of the
     remaining values in column order.
+
+    With ``products`` staged orders are given in place of enriched ones: they are cut to one per id and get their tier while they are
+    narrow, and amounts are computed by the tasks that write them. The same rows are stored.
     """
     mark = None if full_refresh else loaded_until(enriched.sparkSession, path)
     new = newer_than(
         enriched, "order_date", mark, inclusive=inclusive, lookback_days=lookback_days, undated=True
     )
-    facts = fct_orders(new, customers, loaded_at)
-    facts = facts.withColumn(PERIOD, F.date_format("order_date", PERIOD_FORMATS[period]))
-    order = [F.col("order_date").desc(), *[F.col(c).desc() for c in enriched.columns if c != "order_date"]]
+    period_of = F.date_format("order_date", PERIOD_FORMATS[period])
+    if products is None:
+        facts, order, derive = fct_orders(new, customers, loaded_at).withColumn(PERIOD, period_of), _latest(enriched.columns), None
+    else:
+        facts, order, derive = priced_once(new, customers, products).withColumn(PERIOD, period_of), None, lambda rows: (
+            _order_fact(_enriched(rows, "customer_tier", PERIOD), loaded_at, PERIOD)
+        )
     stored = upsert_table(
         facts,
         path,
@@ -202,10 +251,16 @@ def load_fct_orders(
         old_rows_in=old_rows_in,
         full_refresh=full_refresh,
         ignore=["loaded_at"],
+        derive=derive,
     )
     return stored.drop(PERIOD)
 
 
+def _latest(columns: Sequence[str]) -> list[Column]:
+    """Order date first, then the remaining columns, the larger value first."""
+    return [F.col("order_date").desc(), *[F.col(c).desc() for c in columns if c != "order_date"]]
+
+
 def snapshot_customers(customers: DataFrame, path: str, now: dt.datetime) -> DataFrame:
     """Stored type-2 history of staged customers."""
     order = [F.col(c) for c in customers.columns]

@@ -9,7 +9,9 @@ from pyspark.sql import SparkSession
 
 # A left join on a hot key is split at run time (skewJoin); forcing the split matters for chains of
 # joins on one key, where Spark would otherwise keep the skewed partition to save a shuffle. Rows that lie together by one key
-# of a join stay there (``lookups_in_place``), instead of being moved because the join has a second key.
+# of a join stay there (``lookups_in_place``), instead of being moved because the join has a second key. Shuffle files go once
+# what they were made for is done, not when the driver happens to collect garbage: a build takes the disk of its largest step, not
+# of all steps. Generated methods that the JVM would only interpret (over 8,000 bytes) are split by operator instead.
 SCALE_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -17,6 +19,8 @@ SCALE_DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.session.timeZone": "UTC",
 }

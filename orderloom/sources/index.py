@@ -67,11 +67,13 @@ class KeyIndex:
         while buckets < MOST_BUCKETS and buckets * KEYS_PER_BUCKET < count:
             buckets *= 2
         index = cls(spark, version, list(keys), list(partition_by), sorted(ignore), buckets, last)
-        rows = index.marked(stored).groupBy("_key", "_place", "_bucket")
+        # hashes move once, to the task that writes their bucket
+        hashes = index.marked(stored).select("_key", "_place", "_content.*", "_bucket").repartition("_bucket")
         # a key that is there more than once has no content to compare with
-        once = rows.agg(F.when(F.count("*") == 1, F.first("_content")).alias("_content"))
+        content = F.when(F.count("*") == 1, F.struct(F.max("a").alias("a"), F.max("b").alias("b"))).alias("_content")
+        once = hashes.groupBy("_bucket", "_key", "_place").agg(content)
         entries = index.entries(once.withColumn("change", F.lit(INSERTED)))
-        entries.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{version}/{INDEX}/load={last}")
+        entries.write.partitionBy("bucket").parquet(f"{version}/{INDEX}/load={last}")
         folder.write_json(ABOUT, wanted | {"buckets": buckets, "base": last})
         return index
 

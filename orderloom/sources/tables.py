@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from orderloom.operators.changes import UNCHANGED
+from orderloom.operators.changes import UNCHANGED, fingerprint
 from orderloom.operators.dedupe import dedupe_first
 from orderloom.operators.history import VALIDITY, scd2_changes, scd2_start
 from orderloom.operators.incremental import assert_schema
@@ -28,6 +28,8 @@ Layout = Callable[[DataFrame], DataFrame]
 STAGED = "_staged"
 SCHEMA = "_schema"
 OPEN_SEGMENT = "open"
+#: Rows of a partition that one task merges in an upsert.
+SHARE_ROWS = 4_000_000
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
@@ -90,9 +92,9 @@ def write_table(
     rows = (layout or (balanced(*partition_by) if partition_by else lambda d: d))(df)
     rows = rows if counts is None else counts.watch(rows)
     target = f"{path.rstrip('/')}/v_{number:06d}"
-    Folder(spark, target).write_json(SCHEMA, df.schema.jsonValue())
+    Folder(spark, target).write_json(SCHEMA, rows.schema.jsonValue())
     rows.write.mode("append").partitionBy(*partition_by).parquet(target)
-    return spark.read.schema(df.schema).parquet(target)
+    return spark.read.schema(rows.schema).parquet(target)
 
 
 def _read_version(spark: SparkSession, version: str, schema: StructType | None = None) -> DataFrame:
@@ -214,6 +216,7 @@ def upsert_table(
     old_rows_in: Column | str | None = None,
     full_refresh: bool = False,
     ignore: Sequence[str] = (),
+    derive: Layout | None = None,
 ) -> DataFrame:
     """Upsert ``batch`` into a table, rewriting only the partitions it changes; all of a table without any.
 
@@ -225,12 +228,18 @@ def upsert_table(
     index is given up. The list of touched partitions (one short text each)
     comes to the driver, which swaps them; choose partitions of a size that a load touches thousands of them
     at most. A null key is a key like any other. A first load or ``full_refresh`` writes the whole table.
+
+    ``derive`` makes the rows of the table from those of the batch, each from one and in the same partition; a load of the whole table moves
+    them before that, while they are narrow.
     """
     spark = batch.sparkSession
     fresh = batch if order_by is None else dedupe_first(batch, keys, order_by)
+    derive = derive or (lambda rows: rows)
     version = None if full_refresh else current_version(spark, path)
     if version is None:
-        return write_table(fresh, path, partition_by)
+        spread = balanced(*partition_by) if partition_by else lambda rows: rows
+        return write_table(fresh, path, partition_by, lambda rows: derive(spread(rows)))
+    batch, fresh = derive(batch), derive(fresh)
     finish_replacing(spark, version)
     # without a stored schema the types of partition columns are only guessed from folder names
     assert_schema(_without(_stored_schema(spark, version), partition_by), _without(batch.schema, partition_by))
@@ -263,8 +272,8 @@ def _upsert_indexed(
     places = judged.select(F.explode(F.array_append("_old", F.col("_place"))).alias("place")).distinct().collect()
     if places:
         leaves = ["/".join(map(partition_folder, partition_by, p["place"])) for p in places]
-        merged = _merged(judged.select(*fresh.columns), version, keys, leaves)
-        replace_partitions(merged, version, partition_by, leaves, index.entries(judged), index.next_load())
+        merged = _merged_in_place(judged, fresh.columns, version, index, leaves)
+        replace_partitions(merged, version, partition_by, leaves, index.entries(judged), index.next_load(), layout=lambda rows: rows)
     for folder in (changes, scratch):
         Folder(spark, folder).delete()
 
@@ -287,15 +296,38 @@ def _upsert_searched(
     Folder(spark, scratch).delete()
 
 
-def _merged(changed: DataFrame, version: str, keys: Sequence[str], leaves: Sequence[str]) -> DataFrame:
-    """The rows of the partitions ``leaves`` after the upsert."""
-    spark = changed.sparkSession
+def _merged_in_place(judged: DataFrame, columns: Sequence[str], version: str, index: KeyIndex, leaves: Sequence[str]) -> DataFrame:
+    """The rows of the partitions ``leaves`` after the upsert of ``judged``, dealt by partition as they are written.
+
+    Stored rows move once, to the task that writes their partition; the keys that are replaced travel to where the index says they are. A
+    partition of over ``SHARE_ROWS`` rows is cut into shares by key. One row per partition comes to the driver for that.
+    """
+    changed = balanced(*index.partition_by)(judged.select(*columns))
+    old = _stored_in(changed, version, leaves)
+    if old is None:
+        return changed
+    place = F.xxhash64("_place")
+    sizes = {r["at"]: r["count"] for r in index.marked(old).groupBy(place.alias("at")).count().collect()}
+    large, most = [at for at, n in sizes.items() if n > SHARE_ROWS], max(sizes.values(), default=0)
+    at = F.when(place.isin(large), F.xxhash64(place, F.pmod("_key.b", F.lit(-(-most // SHARE_ROWS))))).otherwise(place) if large else place
+    gone = judged.select("_key", F.explode("_old").alias("_place")).select("_key", at.alias("_at")).repartition("_at")
+    dealt = index.marked(old).select(*columns, at.alias("_at")).repartition("_at")
+    kept = dealt.withColumn("_key", fingerprint(index.keys)).join(gone, ["_at", "_key"], "left_anti")
+    return kept.select(*columns).unionByName(changed)
+
+
+def _stored_in(like: DataFrame, version: str, leaves: Sequence[str]) -> DataFrame | None:
+    """The stored rows of the partitions ``leaves``, null if none of these is there."""
+    spark = like.sparkSession
     table = Folder(spark, version)
     there = [f"{version}/{leaf}" for leaf, found in zip(leaves, table.each(table.exists, leaves), strict=True) if found]
-    if not there:
-        return changed
-    old = spark.read.schema(changed.schema).option("basePath", version).parquet(*there)
-    return upsert(old, changed, keys)
+    return spark.read.schema(like.schema).option("basePath", version).parquet(*there) if there else None
+
+
+def _merged(changed: DataFrame, version: str, keys: Sequence[str], leaves: Sequence[str]) -> DataFrame:
+    """The rows of the partitions ``leaves`` after the upsert."""
+    old = _stored_in(changed, version, leaves)
+    return changed if old is None else upsert(old, changed, keys)
 
 
 # --- what loads have changed ----------------------------------------------------------------------
