@@ -143,8 +143,8 @@ def check_all(
     """One report over all suites, with a ``dataset`` column. Failing rows go under ``failures``.
 
     Of datasets in ``counted`` the row-level failures are known from their write: keys are compared in one scan of their
-    columns, and rows are read only for checks that fail. Of others the report is counted from the failing rows, so that no table
-    is looked at a second time.
+    columns, and rows are read only for checks that fail. Of others the report is counted from the failing rows; keys are compared first,
+    in one scan of their columns, so that whole rows move only for key checks that fail.
     """
     report = None
     for dataset, suite in suites.items():
@@ -155,7 +155,9 @@ def check_all(
             quality.store_failures(rows, suite, at, data, [r["check"] for r in found if r["passed"]])
             part = rows.sparkSession.createDataFrame(found, part.schema)
         elif failures is not None:
-            quality.store_failures(rows, suite, at, data)
+            by_key = [c for c in suite if c.kind not in quality.ROW_KINDS]
+            found = quality.run_checks(rows, by_key, data).collect() if by_key else []  # a row per check
+            quality.store_failures(rows, suite, at, data, [r["check"] for r in found if r["passed"]])
             part = quality.stored_report(rows.sparkSession, suite, at)
         part = part.select(F.lit(dataset).alias("dataset"), "*")
         report = part if report is None else report.unionByName(part)

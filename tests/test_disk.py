@@ -5,7 +5,9 @@ import random
 import time
 from decimal import Decimal as D
 
-from orderloom.plans import retail
+from orderloom.operators import quality
+from orderloom.operators.quality import relationships, unique
+from orderloom.plans import build, retail
 from orderloom.sources import index, tables
 from orderloom.sources.folders import Folder
 
@@ -89,6 +91,18 @@ def test_the_index_is_built_in_one_move(spark, frame, folder, monkeypatch):
         assert len(list(spark.sparkContext._jvm.java.io.File(f"{first.path}/{bucket}").list())) <= 2  # a file and its checksum
 
 
+def test_whole_rows_move_for_failing_key_checks_only(frame, folder, monkeypatch):
+    real, looked = quality._none, []
+    monkeypatch.setattr(quality, "_none", lambda rows: looked.append(rows.columns) or real(rows))
+    data = {"parent": frame("id int", (1,), (2,)), "child": frame("k int, p int, q int", (1, 1, 1), (2, 2, 7), (2, None, None))}
+    suites = {"child": [unique("k"), relationships("p", "parent", "id"), relationships("q", "parent", "id")]}
+    got = {r["check"]: r["failures"] for r in build.check_all(data, suites, folder).collect()}
+    assert list(got.values()) == [1, 0, 1]
+    assert looked == [["k", "p", "q"]]  # the one that passes; rows of the others are looked for
+    rows = [quality.read_failures(data["child"].sparkSession, c, f"{folder}/child").collect() for c in suites["child"]]
+    assert [len(r) for r in rows] == [1, 0, 1] and rows[2][0]["k"] == 2
+
+
 def test_shuffle_files_go_with_the_step_that_made_them(spark):
     def files():
         manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
