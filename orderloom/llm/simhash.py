@@ -363,10 +363,12 @@ def in_blocks(rows: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     return marked.withColumn("met", F.explode(met)).select(*rows.columns, "met.low", "met.high")
 
 
-def band_links(nodes: DataFrame, max_sketch_bits: int, bucket_rows: int = 4096) -> DataFrame:
+def band_links(nodes: DataFrame, max_sketch_bits: int | None, bucket_rows: int = 4096) -> DataFrame:
     """Pairs (``a``, ``b``) of ids that connect all ids (``id``, ``sketch``, ``bands``) that share a band and whose sketches differ
     in ``max_sketch_bits`` or fewer. Each bucket gives a spanning forest of its links, never all pairs; one of over ``bucket_rows``
-    ids is compared block against block, by tasks of at most about that many rows."""
+    ids is compared block against block, by tasks of at most about that many rows. Without a number of bits sketches are not looked at."""
+    if max_sketch_bits is None:
+        return band_pairs(nodes)
     ready(nodes)
     keyed = nodes.select("id", "sketch", F.explode("bands").alias("key"))
     hot = nodes.select(F.explode("bands").alias("key")).groupBy("key").count().where(F.col("count") > bucket_rows)
@@ -422,6 +424,23 @@ def sketch_forest(ids, sketches, max_sketch_bits, block: int = 64):
     return ids[root[part]], ids[part]
 
 
+def print_links(nodes: DataFrame, radius: int) -> DataFrame:
+    """Pairs (``a``, ``b``) of ids that connect all ids (``id``, ``fingerprint``) whose fingerprints lie within ``radius`` bits. Ids of one
+    fingerprint are linked to the least of them, which alone takes part in the covering tables: their large buckets split because
+    fingerprints differ."""
+    named = nodes.groupBy("fingerprint").agg(F.min("id").alias("a"))
+    equal = nodes.join(named, "fingerprint").where("id <> a").select("a", F.col("id").alias("b"))
+    return links(named.withColumnRenamed("a", "id"), radius).unionByName(equal)
+
+
+def band_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs (``a``, ``b``) that connect all ids (``id``, ``bands``) sharing a band: every id with the least one of each of its bands,
+    never all pairs."""
+    keyed = nodes.select("id", F.explode("bands").alias("key"))
+    least = keyed.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
+    return keyed.join(least, "key").where("id <> a").select("a", F.col("id").alias("b"))
+
+
 def similar_pairs(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """Positions (a, b) of links that span the parts connected by an exact Jaccard similarity of ``similarity`` or more."""
     n = len(sets)
@@ -497,17 +516,16 @@ def near_duplicates(
     Documents are linked if the Jaccard similarity of their sets of distinct runs of ``shingle`` words, compared exactly, is
     ``similarity`` or more. Candidates are all pairs whose SimHash fingerprints of distinct word pairs differ in ``radius`` bits or fewer,
     found by the covering tables; less alike texts, whose fingerprints lie farther apart, are candidates too if they share one of 20
-    bands of five minima each (at 0.8 all but one pair in 2,700 does). Either way their SimHash sketches must not rule the similarity
-    out. What candidates connect is a cell, and the exact comparison takes place within cells. Equal sets of runs are one node. Null and empty texts have no words and form one group; null ids are left out; repeated ids share a row.
+    bands of five minima each (at 0.8 all but one pair in 2,700 does). Nothing else rules a candidate out: what candidates connect
+    is a cell, and the exact comparison takes place within cells. Equal sets of runs are one node. Null and empty texts have no words and form one group; null ids are left out; repeated ids share a row.
     """
     slim = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-    prints = stored(sketched(slim, shingle), "sketches")
-    nodes = prints.groupBy("runs").agg(F.min("id").alias("node"), *[F.first(c).alias(c) for c in ("n_runs", "fingerprint", "sketch", "bands")])
+    prints = stored(sketched(slim, shingle, parts=0), "sketches")
+    nodes = prints.groupBy("runs").agg(F.min("id").alias("node"), *[F.first(c).alias(c) for c in ("n_runs", "fingerprint", "bands")])
     nodes = stored(nodes, "nodes")
-    far, named = sketch_bits(similarity), nodes.withColumnRenamed("node", "id")
     # texts without words have neither runs nor bands, and no partner but each other
-    near = links(named.where("n_runs > 0").select("id", "fingerprint", "sketch"), radius, max_sketch_bits=far)
-    near = near.unionByName(band_links(named.select("id", "sketch", "bands"), far))
+    named = nodes.withColumnRenamed("node", "id").where("n_runs > 0")
+    near = print_links(named.select("id", "fingerprint"), radius).unionByName(band_links(named.select("id", "bands"), None))
     sizes = nodes.groupBy(F.col("node").alias("id")).agg(F.sum("n_runs").alias("n_runs"))
     pairs = exact_links(slim, components(near).join(sizes, "id"), similarity, shingle)
     comp = components(pairs).withColumnRenamed("id", "node")
