@@ -306,7 +306,7 @@ def _merged_in_place(judged: DataFrame, columns: Sequence[str], version: str, in
     old = _stored_in(changed, version, leaves)
     if old is None:
         return changed
-    place = F.xxhash64("_place")
+    place = F.xxhash64(F.transform("_place", lambda p: F.nullif(p, F.lit(""))))  # empty text is read back as null
     sizes = {r["at"]: r["count"] for r in index.marked(old).groupBy(place.alias("at")).count().collect()}
     large, most = [at for at, n in sizes.items() if n > SHARE_ROWS], max(sizes.values(), default=0)
     at = F.when(place.isin(large), F.xxhash64(place, F.pmod("_key.b", F.lit(-(-most // SHARE_ROWS))))).otherwise(place) if large else place

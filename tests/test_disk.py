@@ -81,6 +81,14 @@ def test_large_partitions_are_merged_in_shares(spark, frame, folder, monkeypatch
         assert sorted(str((row.k, row.p, row.v)) for row in got.collect()) == sorted(str((k, *v)) for k, v in want.items())
 
 
+def test_rows_are_replaced_in_the_partition_of_empty_text(frame, folder):
+    schema = "k int, p string, v int"
+    tables.upsert_table(frame(schema, (1, "", 0), (2, None, 0), (3, "a", 0)), folder, ["k"], ["p"])
+    for load in (1, 2):
+        got = tables.upsert_table(frame(schema, (1, "", load), (2, "", load)), folder, ["k"], ["p"])
+        assert sorted((r["k"], r["v"]) for r in got.collect()) == [(1, load), (2, load), (3, 0)]
+
+
 def test_the_index_is_built_in_one_move(spark, frame, folder, monkeypatch):
     monkeypatch.setattr(index, "KEYS_PER_BUCKET", 10)
     tables.upsert_table(frame("k int, p string", *((k, "ab"[k % 2]) for k in range(40))), folder, ["k"], ["p"])
